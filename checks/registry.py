@@ -170,7 +170,7 @@ def position_values(spark, sf):
         key_number("pubkey").alias("pubkey"), "slot", "write_version",
         *[F.round(c, 6).alias(c) for c in ("deposited", "borrowed", "max_borrow", "headroom")],
         F.round("ltv", 9).alias("ltv"), "liquidation_ltv_pct",
-        F.round(F.coalesce("health", F.lit(-1.0)), 4).alias("health"),
+        F.coalesce("health", F.lit(-1.0)).alias("health"),
     )
 
 

@@ -285,7 +285,7 @@ def build_wire_updates(spark: SparkSession, sf: str) -> DataFrame:
 
     obligation = F.concat(
         tag("Obligation"), _zeros(24), key32(F.col("supp")), key32(F.col("part")),
-        _wide(high, dep), _wide(zero, debt), _wide(zero, debt),
+        _wide(high, dep), _wide(F.expr("q div 10"), debt), _wide(zero, debt),
         _wide(q, F.expr("dep * 8 div 10")), _wide(q, F.expr("dep * 9 div 10")),
         to_le(some, 1), to_le(line % 3, 1), _zeros(6), to_le(F.when(line == 5, dep).otherwise(zero), 8),
         to_le(F.lit(8500).cast("bigint") + line, 8), key32(q),

@@ -159,19 +159,24 @@ def decode_fields(df: DataFrame, layout: Layout, data: str = "data") -> DataFram
 
 
 def decode(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
-    """Silver rows of one kind plus `decode_status`: ok, or overflow when a value cannot be held.
+    """Silver rows of one kind plus `decode_status`.
 
-    Rows with another tag and rows that are too short are not decoded and do not appear.
+    `overflow` marks rows with a stored value that cannot be held; they must not be written. Rows with
+    `health_overflow` are sound but for a health factor beyond 10^20, which is null. Rows with another
+    tag and rows that are too short are not decoded and do not appear.
     """
     fields = decode_fields(df, layout, data)
     have = {f.name for f in layout.fields}
-    fields = fields.withColumns(_derived(layout.kind, have)) if _derived(layout.kind, have) else fields
-    unsigned = [f.name for f in layout.fields if f.kind == "uint"]
-    if "health_factor_bps" in fields.columns:
-        unsigned.append("health_factor_bps")
+    derived = _derived(layout.kind, have)
+    fields = fields.withColumns(derived) if derived else fields
     overflow = F.lit(False)
-    for name in unsigned:
-        overflow = overflow | F.col(name).isNull()
+    for f in layout.fields:
+        if f.kind == "uint":
+            overflow = overflow | F.col(f.name).isNull()
+    status = F.when(overflow, "overflow")
+    if "health_factor_bps" in derived:
+        status = status.when(F.col("health_factor_bps").isNull(), "health_overflow")
+    status = status.otherwise("ok").alias("decode_status")
     table = SILVER_TABLE[layout.kind]
     columns = []
     for column in SCHEMAS[table].fields:
@@ -181,5 +186,4 @@ def decode(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
             columns.append(F.lit(0).cast(column.dataType).alias(column.name))
         else:
             columns.append(F.lit(None).cast(column.dataType).alias(column.name))
-    status = F.when(overflow, F.lit("overflow")).otherwise(F.lit("ok")).alias("decode_status")
     return fields.select(*columns, status)

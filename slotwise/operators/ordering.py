@@ -7,33 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.session import pin
+from slotwise.session import stored
 
-_ROW_BITS = 33  # monotonically_increasing_id keeps the partition number above the lower 33 bits
+PART, PLACE = "__part", "__place"
+_PLACE_BITS = 33  # monotonically_increasing_id keeps the partition number above the lower 33 bits
 
 
-def global_rank(df: DataFrame, order: Sequence[str], name: str = "n") -> DataFrame:
-    """Number all rows 1..N in the given total order, in parallel.
+def sorted_table(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Write all rows in the given order to the shared folder and read them back with their position.
 
-    Rows are range-partitioned and sorted, then pinned by a reliable checkpoint so that partition
-    boundaries can never be drawn a second time. A row's number is its place inside its partition plus
-    the sizes of the partitions before it; that table has one row per partition, which bounds both the
-    window over it and the broadcast.
+    Rows are range-partitioned and sorted in parallel. `__part` numbers the partitions in order and
+    `__place` the rows inside one, from 0. Both are stored, so nothing that reads the table, however
+    often and after whatever loss of executors, can see other partition boundaries.
     """
-    placed = pin(df.repartitionByRange(*order).sortWithinPartitions(*order))
-    placed = placed.withColumn("__id", F.monotonically_increasing_id())
-    part = F.shiftright("__id", _ROW_BITS)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__size"))
-    before = sizes.select(
-        "__part", (F.sum("__size").over(Window.orderBy("__part")) - F.col("__size")).alias("__before")
-    )
-    place = F.col("__id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        placed.withColumn("__part", part)
-        .join(F.broadcast(before), "__part")
-        .withColumn(name, F.col("__before") + place + 1)
-        .drop("__id", "__part", "__before")
+    row_id = F.monotonically_increasing_id()
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "*",
+        F.shiftright(row_id, _PLACE_BITS).alias(PART),
+        row_id.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(PLACE),
     )
+    return stored(placed, "sorted")
+
+
+def global_rank(df: DataFrame, order: Sequence[str], name: str = "n") -> DataFrame:
+    """Number all rows 1..N in the given total order, without sorting them in one task.
+
+    A row's number is its place in its partition plus the sizes of the partitions before it. The table of
+    sizes has one row per partition, which bounds both the window over it and the broadcast.
+    """
+    placed = sorted_table(df, order)
+    sizes = placed.groupBy(PART).agg(F.count(F.lit(1)).alias("__size"))
+    before = sizes.select(PART, (F.sum("__size").over(Window.orderBy(PART)) - F.col("__size")).alias("__before"))
+    ranked = placed.join(F.broadcast(before), PART)
+    return ranked.withColumn(name, F.col("__before") + F.col(PLACE) + 1).drop(PART, PLACE, "__before")
 
 
 def steps(df: DataFrame, column: str, width: int, by: Sequence[str] = ()) -> DataFrame:

@@ -7,97 +7,72 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_STEP = 1 << 21  # distinct digits per level; three levels cover 63 bits and more
+from slotwise.operators.ordering import PART, sorted_table
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows (v, n): how often each value occurs.
-
-    The value is carried as an aggregate beside the grouping key. A filter on it can therefore not move
-    below the aggregation, and every reader of the counts shares one shuffle.
-    """
-    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("__key"))
-    return counts.agg(F.max(column).alias("v"), F.count(F.lit(1)).alias("n")).select("v", "n")
+    """How often each value occurs, as a stored table (v, n) sorted by value over many partitions."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return sorted_table(counts, ["v"])
 
 
 def percentiles_of_counts(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Rows (p, value): linearly interpolated percentiles of non-negative integers given as (v, n).
+    """Rows (p, value): linearly interpolated percentiles of the values in a `value_counts` table.
 
     Spark's own `percentile` keeps a count per distinct value in one buffer, which at scale is one
-    task's memory. Here the value is split into three digits. Each level counts rows per digit (a
-    map-side aggregate), locates the wanted ranks in the running count, and descends into the digits
-    that hold them. No task ever sees more than 2^21 digit counts of one parent (2^22 on the first
-    level), and what is broadcast is at most two ranks per probability.
-
-    Decimal values up to 2^64 are accepted as well as integers.
+    task's memory. Here the sizes of the sorted partitions (one row each) tell which partition holds
+    each wanted rank, and only those partitions are read again to find the value. What is broadcast is
+    at most two ranks per probability. `counts` may be filtered by value first.
     """
     probs = [float(p) for p in probabilities]
     if not probs or min(probs) < 0 or max(probs) > 1:
         raise ValueError("probabilities must lie in [0, 1]")
-    digits = counts.select(
-        F.expr(f"cast(v div {_STEP * _STEP} as bigint)").alias("d1"),
-        F.expr(f"cast((v div {_STEP}) % {_STEP} as bigint)").alias("d2"),
-        F.expr(f"cast(v % {_STEP} as bigint)").alias("d3"),
-        "n",
+    sizes = counts.groupBy(PART).agg(F.sum("n").alias("size"))
+    sizes = sizes.select(
+        PART,
+        "size",
+        (F.sum("size").over(Window.orderBy(PART)) - F.col("size")).alias("before"),
+        F.sum("size").over(Window.partitionBy()).alias("total"),
     )
+    # Every percentile lies between two neighbouring ranks.
+    def ranks(side, near):
+        def rank(p):
+            position = p * (F.col("total") - 1)
+            return F.struct(p.alias("p"), F.lit(side).alias("side"), position.alias("position"), near(position).alias("rank"))
 
-    level = digits.groupBy("d1").agg(F.sum("n").alias("n"))
-    ordered = Window.orderBy("d1")  # at most one row per leading digit
-    level = level.select(
-        "d1", "n", (F.sum("n").over(ordered) - F.col("n")).alias("below"), F.sum("n").over(Window.partitionBy()).alias("total")
-    )
-    wanted = F.array(*[F.lit(p) for p in probs])
-    position = lambda p: p * (F.col("total") - 1)
-    ranks = F.flatten(
-        F.transform(
-            wanted,
-            lambda p: F.array(
-                F.struct(p.alias("p"), F.lit(0).alias("side"), position(p).alias("pos"), F.floor(position(p)).alias("rank")),
-                F.struct(p.alias("p"), F.lit(1).alias("side"), position(p).alias("pos"), F.ceil(position(p)).alias("rank")),
-            ),
-        )
-    )
-    inside = F.filter(
-        ranks, lambda r: (r["rank"] >= F.col("below")) & (r["rank"] < F.col("below") + F.col("n"))
+        return F.transform(F.array(*[F.lit(p) for p in probs]), rank)
+
+    here = F.filter(
+        F.concat(ranks("lo", F.floor), ranks("hi", F.ceil)),
+        lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("size")),
     )
-    hits = level.select("d1", "below", F.inline(inside)).withColumn("rank", F.col("rank") - F.col("below")).drop("below")
-
-    for parents, digit in ((["d1"], "d2"), (["d1", "d2"], "d3")):
-        bounded = F.broadcast(hits.select(*parents).distinct())
-        level = digits.join(bounded, parents, "left_semi").groupBy(*parents, digit).agg(F.sum("n").alias("n"))
-        ordered = Window.partitionBy(*parents).orderBy(digit)
-        level = level.withColumn("below", F.sum("n").over(ordered) - F.col("n"))
-        hits = (
-            level.join(F.broadcast(hits), parents)
-            .filter((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("below") + F.col("n")))
-            .withColumn("rank", F.col("rank") - F.col("below"))
-            .drop("below", "n")
-        )
-
-    value = F.col("d1") * F.lit(float(_STEP * _STEP)) + F.col("d2") * F.lit(float(_STEP)) + F.col("d3")
-    return (
-        hits.select("p", "side", "pos", value.alias("v"))
-        .groupBy("p")
-        .agg(
-            F.max("pos").alias("pos"),
-            F.max(F.when(F.col("side") == 0, F.col("v"))).alias("lo"),
-            F.max(F.when(F.col("side") == 1, F.col("v"))).alias("hi"),
-        )
-        .select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos"))).alias("value"))
+    wanted = sizes.select(PART, "before", F.inline(here)).withColumn("rank", F.col("rank") - F.col("before")).drop("before")
+    wanted = F.broadcast(wanted)
+
+    inside = counts.join(wanted.select(PART).distinct(), PART, "left_semi")
+    running = F.sum("n").over(Window.partitionBy(PART).orderBy("v"))
+    inside = inside.select(PART, "v", (running - F.col("n")).alias("first"), running.alias("end"))
+    found = inside.join(wanted, PART).filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
+    ends = found.groupBy("p").agg(
+        F.max("position").alias("position"),
+        F.max(F.when(F.col("side") == "lo", F.col("v"))).cast("double").alias("lo"),
+        F.max(F.when(F.col("side") == "hi", F.col("v"))).cast("double").alias("hi"),
     )
-
-
-def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
-    """`percentiles_of_counts` for a plain column."""
-    return percentiles_of_counts(value_counts(df, column), probabilities)
+    weight = F.col("position") - F.floor("position")
+    return ends.select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * weight).alias("value"))
 
 
 def percentile_row(counts: DataFrame, named: dict[str, float]) -> DataFrame:
-    """One row with a column per named percentile of (v, n) counts."""
+    """One row with a column per named percentile of a `value_counts` table."""
     found = percentiles_of_counts(counts, sorted(set(named.values())))
     return found.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for name, p in named.items()])
 
 
+def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """Rows (p, value) for a plain numeric column."""
+    return percentiles_of_counts(value_counts(df, column), probabilities)
+
+
 def approximate_row(df: DataFrame, column: str, named: dict[str, float]) -> DataFrame:
     """`percentile_row` in a single pass over a plain column, with a relative rank error of 1/10000."""
     found = df.agg(F.percentile_approx(F.col(column).cast("double"), list(named.values()), 10_000).alias("q"))

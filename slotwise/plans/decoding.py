@@ -17,13 +17,16 @@ def redecode(bronze: DataFrame, layouts: dict[str, Layout]) -> dict[str, DataFra
     tables = {}
     for kind, layout in layouts.items():
         if kind in SILVER_TABLE:
-            rows = decode(bronze, layout).filter(F.col("decode_status") == "ok")
+            rows = decode(bronze, layout).filter(F.col("decode_status") != "overflow")
             tables[SILVER_TABLE[kind]] = rows.drop("decode_status")
     return tables
 
 
 def decode_report(bronze: DataFrame, layouts: dict[str, Layout], by_bucket: bool = False) -> DataFrame:
-    """Records per kind (and slot bucket) by outcome: decoded, too short, overflow; and the decoded share."""
+    """Records per kind (and slot bucket) by outcome: decoded, too short, overflow; and the decoded share.
+
+    `health_overflow` records count as decoded.
+    """
     keys = ["kind", BUCKET_COLUMN] if by_bucket else ["kind"]
     parts = []
     for kind, layout in layouts.items():
@@ -32,7 +35,7 @@ def decode_report(bronze: DataFrame, layouts: dict[str, Layout], by_bucket: bool
         mine = bronze.filter(F.col("kind") == kind)
         short = mine.filter(~long_enough(layout)).select("slot", F.lit(kind).alias("kind"), F.lit("short").alias("outcome"))
         done = decode(mine, layout).select(
-            "slot", F.lit(kind).alias("kind"), F.when(F.col("decode_status") == "ok", "decoded").otherwise("overflow").alias("outcome")
+            "slot", F.lit(kind).alias("kind"), F.col("decode_status").alias("outcome")
         )
         parts.append(short.unionByName(done))
     rows = reduce(DataFrame.unionByName, parts)
@@ -40,8 +43,9 @@ def decode_report(bronze: DataFrame, layouts: dict[str, Layout], by_bucket: bool
         rows = rows.withColumn(BUCKET_COLUMN, slot_bucket())
     counts = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("records"),
-        F.count_if(F.col("outcome") == "decoded").alias("decoded"),
+        F.count_if(F.col("outcome").isin("ok", "health_overflow")).alias("decoded"),
         F.count_if(F.col("outcome") == "short").alias("short"),
         F.count_if(F.col("outcome") == "overflow").alias("overflow"),
+        F.count_if(F.col("outcome") == "health_overflow").alias("health_overflow"),
     )
     return counts.withColumn("decoded_share", F.round(F.col("decoded") / F.col("records"), 4))

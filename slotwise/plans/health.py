@@ -14,6 +14,7 @@ from slotwise.operators.ordering import page_after
 from slotwise.operators.quantiles import approximate_row, percentile_row, value_counts
 from slotwise.operators.rows import side_by_side
 from slotwise.schemas import AT_RISK_HEALTH, HEALTH_SCALE, RADAR_HEALTH, VERSION_KEY
+from slotwise.session import stored
 
 HEALTH = "health_factor_bps"
 DISTRIBUTION = {
@@ -88,6 +89,7 @@ def overview(reserves: DataFrame, snapshots: DataFrame, collapsed: bool = False)
     `active` counts keys that are not at the no-debt value, zero health included, unlike the others.
     """
     rows = _rows(snapshots, ["pubkey", HEALTH], collapsed)
+    rows = rows if collapsed else stored(rows, "health")
     not_free = health_ratio().isNotNull() | (F.col(HEALTH) == 0)
     keys = rows.filter(not_free).select("pubkey").distinct().agg(F.count(F.lit(1)).alias("active"))
     counts = value_counts(rows.filter(active_debt()), HEALTH)

@@ -14,6 +14,7 @@ from slotwise.operators.rows import side_by_side
 from slotwise.plans.activity import _at
 from slotwise.plans.quality import current_gaps
 from slotwise.schemas import AT_RISK_HEALTH, DEFAULT_STREAM, HEALTH_SCALE, SLOTS_PER_BUCKET, STATE_DUMP_WRITE_VERSION
+from slotwise.session import stored
 
 
 def _count(df: DataFrame, alias: str) -> DataFrame:
@@ -67,7 +68,7 @@ def ingest_stats(
 def dataset_summary(updates: DataFrame, snapshots: DataFrame, gaps: DataFrame, as_of) -> DataFrame:
     """The published figures in one row."""
     millis = F.unix_millis(F.col("ingested_at").cast("timestamp"))
-    health = collapse(snapshots, columns=["pubkey", "health_factor_bps"])
+    health = stored(collapse(snapshots, columns=["pubkey", "health_factor_bps"]), "health")
     debt = health.filter(active_debt())
     counts = value_counts(debt, "health_factor_bps")
     figures = counts.agg(

@@ -29,18 +29,22 @@ def local_session(cpus: int | str = "*", app: str = "slotwise", memory: str = "8
     return spark
 
 
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors all see: `spark.checkpoint.dir` when the cluster names one.
 
-    Only a session without that setting (tests, local runs) gets a folder of its own, and it is then
-    stored in the setting so that later calls agree on it.
+    Only a local session without that setting (tests, single-machine runs) gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="slotwise-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_ROOTS:
+            _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="slotwise-")
+        root = _OWN_ROOTS[app]
     return root.rstrip("/")
 
 
@@ -49,10 +53,8 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/slotwise/{purpose}-{uuid.uuid4().hex}"
 
 
-def pin(df):
-    """Materialise `df` through a reliable checkpoint, so that its partitions never change again."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{shared_dir(spark)}/slotwise/pins")
-    return df.checkpoint(eager=True)
+def stored(df, purpose: str = "stored"):
+    """Write `df` to a new folder in the shared place and read it back, for results read more than once."""
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -69,8 +69,9 @@ def _collapse_once(df: DataFrame) -> DataFrame:
 def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: bool = False) -> ExportResult:
     """Write or continue the cold copy of a table.
 
-    Without `full`, closed buckets that exist are skipped and the newest one is always redone: the
-    stream only moves forward, so no other bucket can still grow. Rows are range-partitioned on the
+    Without `full`, closed buckets that exist are skipped: the stream only moves forward, so they cannot
+    grow. Two are always redone, the newest bucket of the source and the newest one that exists, which
+    may have been exported while it was still filling. Rows are range-partitioned on the
     full file order rather than on the bucket, so a bucket that holds a large share of all rows becomes
     several files with disjoint slot ranges. Spark's commit protocol publishes each bucket whole.
     """
@@ -82,7 +83,7 @@ def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: b
     if not present:
         return ExportResult(table, path, (), ())
     have = existing_buckets(spark, path)
-    skipped = [] if full else [b for b in present[:-1] if b in have]
+    skipped = [] if full else [b for b in present[:-1] if b in have and b < max(have)]
     todo = [b for b in present if b not in set(skipped)]
     if not full and len(skipped) > 0:
         df = df.filter(F.expr(f"slot div {SLOTS_PER_BUCKET}").isin([int(b) // SLOTS_PER_BUCKET for b in todo]))
