@@ -15,7 +15,7 @@ from slotwise.functions.slots import hot_bucket, slot_between, slot_bucket
 from slotwise.operators.dedup import collapse, collapse_table, drop_replays, latest
 from slotwise.operators.quantiles import approximate_row
 from slotwise.plans import activity, dashboard, decoding, health, quality, summary
-from slotwise.session import work_dir
+from slotwise.session import ship_package, work_dir
 from slotwise.sources import cold, updates
 from slotwise.sources import state_dump as dumps
 from slotwise.streaming import ingest, monitors
@@ -27,6 +27,7 @@ QUERIES: dict[str, Query] = {}
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        ship_package(spark)
         return fn(spark, sf)
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__

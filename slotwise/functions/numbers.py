@@ -19,29 +19,6 @@ def whole(value: int) -> Column:
     return F.expr(f"{value}BD")
 
 
-def le_slice(data: str, offset: int, width: int) -> Column:
-    """The bytes of a field as hex text, the form `le_uint` reads."""
-    return F.hex(F.substring(data, offset + 1, width))
-
-
-def le_uint(text: str, width: int, skip: int = 0) -> Column:
-    """Little-endian unsigned integer from the hex text of its bytes, `skip` bytes into it.
-
-    Up to 8 bytes give an exact integer type; 16 bytes give decimal(38,0), null above 10^38 - 1.
-    The caller must have checked the length: a short slice would read as a smaller number.
-    """
-    if width == 16:
-        low, high = le_uint(text, 8), le_uint(text, 8, skip=8)
-        return F.try_add(
-            F.try_multiply(high, whole(1 << 64)).cast("decimal(38,0)"),
-            low.cast("decimal(38,0)"),
-        )
-    places = [2 * (skip + i) + 1 for i in reversed(range(width))]
-    digits = F.concat(*[F.substring(text, at, 2) for at in places])
-    kind = {1: "smallint", 2: "int", 4: "bigint", 8: "decimal(20,0)"}[width]
-    return F.conv(digits, 16, 10).cast(kind)
-
-
 def parse_fraction(text: str) -> Column:
     """Unsigned decimal text as decimal(38,0); anything else, and anything above 10^38 - 1, is null."""
     # try_cast alone would round "1.5" and accept "-1".

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -58,3 +60,16 @@ def stored(df, purpose: str = "stored"):
     path = work_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once per application; the same as --py-files."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        here = os.path.dirname(os.path.abspath(__file__))
+        base = os.path.join(tempfile.mkdtemp(prefix="slotwise-package-"), "slotwise")
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(here), "slotwise"))
+        _SHIPPED.add(app)

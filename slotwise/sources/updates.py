@@ -60,17 +60,15 @@ def read_updates_stream(
     return only_kinds(rows, kinds) if kinds is not None else rows
 
 
-def split_valid(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with proper keys and non-negative numbers, the others with a reason)."""
-    reason = (
+def reject_reason():
+    """Why a wire record cannot be stored; null for a proper one."""
+    return (
         F.when(~valid_key("pubkey"), "pubkey is not 32 bytes")
         .when(~valid_key("owner"), "owner is not 32 bytes")
         .when(F.coalesce(F.col("slot") < 0, F.lit(True)), "slot is missing or negative")
         .when(F.coalesce(F.col("write_version") < 0, F.lit(True)), "write_version is missing or negative")
         .when(F.coalesce(F.col("lamports") < 0, F.lit(True)), "lamports is missing or negative")
     )
-    marked = rows.withColumn("reason", reason)
-    return marked.filter(F.col("reason").isNull()).drop("reason"), marked.filter(F.col("reason").isNotNull())
 
 
 def with_late_columns(df: DataFrame, table: str) -> DataFrame:

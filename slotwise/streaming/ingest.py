@@ -9,20 +9,20 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.functions.kinds import with_derived
 from slotwise.functions.layouts import Layout
 from slotwise.functions.verdicts import is_fault
-from slotwise.operators.dedup import collapse_table
 from slotwise.plans.decoding import redecode
 from slotwise.plans.quality import gap_rows
 from slotwise.schemas import DEFAULT_STREAM, SCHEMAS
-from slotwise.sources.updates import split_valid
+from slotwise.sources.updates import reject_reason
 
 # Fixed value: how often a partial batch is written.
 FLUSH_SECONDS = 2
@@ -40,27 +40,21 @@ def write_tables(rows: DataFrame, root: str, batch: str, layouts: dict[str, Layo
         _put(decoded, root, table, batch)
 
 
-def _position(rows: DataFrame, stream: str) -> DataFrame:
-    """High-water mark of a batch, or no row when the batch is empty."""
-    top = rows.agg(F.max(F.struct("slot", "write_version")).alias("p")).filter(F.col("p").isNotNull())
-    return top.select(
-        F.lit(stream).alias("stream"),
-        F.col("p.slot").alias("last_slot"),
-        F.col("p.write_version").alias("last_write_version"),
-        F.current_timestamp().alias("updated_at"),
-    )
-
-
-def _guard(rows: DataFrame, batch: str) -> DataFrame:
-    """Payload shapes of one batch; totals over the stream are sums of these rows."""
-    fault = is_fault()
-    return rows.agg(
-        F.count(F.lit(1)).alias("updates"),
+def _figures(marked: DataFrame) -> Row:
+    """What the position, the guard and the seam need to know about a batch, in one row."""
+    good = F.col("reason").isNull()
+    fault = is_fault() & good
+    slot = F.when(good, F.col("slot"))
+    return marked.agg(
+        F.count_if(good).alias("updates"),
+        F.count_if(~good).alias("rejected"),
+        F.max(F.when(good, F.struct("slot", "write_version"))).alias("top"),
+        F.min(slot).alias("first_account_slot"),
         F.count_if(fault).alias("impossible"),
-        F.count_if((F.col("data_len") == 0) & (F.col("lamports") == 0)).alias("closed"),
+        F.count_if(good & (F.col("data_len") == 0) & (F.col("lamports") == 0)).alias("closed"),
         F.min(F.when(fault, F.col("slot"))).alias("first_slot"),
         F.max(F.when(fault, F.col("slot"))).alias("last_slot"),
-    ).withColumn("batch", F.lit(batch))
+    ).first()
 
 
 def read_batches(spark: SparkSession, root: str, table: str, schema=None) -> DataFrame | None:
@@ -72,16 +66,26 @@ def read_batches(spark: SparkSession, root: str, table: str, schema=None) -> Dat
     return reader.parquet(f"{root}/{table}")
 
 
-GUARD_SCHEMA = "updates bigint, impossible bigint, closed bigint, first_slot bigint, last_slot bigint, batch string"
+GUARD_SCHEMA = "updates bigint, impossible bigint, closed bigint, first_slot bigint, last_slot bigint"
 
 
 def read_position(spark: SparkSession, root: str, stream: str = DEFAULT_STREAM) -> int | None:
-    """Slot to resume from, inclusive; None on a first run. Position 0 is a position."""
-    rows = read_batches(spark, root, "ingest_checkpoint")
-    if rows is None:
+    """Slot to resume from, inclusive; None on a first run. Position 0 is a position.
+
+    Only the newest batch is read: there is one small file per batch, and their names sort by age.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/ingest_checkpoint")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
         return None
-    found = collapse_table(rows.filter(F.col("stream") == stream), "ingest_checkpoint").select("last_slot").take(1)
-    return found[0].last_slot if found else None
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    mine = [n for n in names if n.startswith(f"batch_id={stream}-")]
+    # A batch that failed before its commit leaves a folder without rows; the one before it counts.
+    for name in sorted(mine, reverse=True):
+        rows = spark.read.schema(SCHEMAS["ingest_checkpoint"]).parquet(f"{root}/ingest_checkpoint/{name}").take(1)
+        if rows:
+            return rows[0].last_slot
+    return None
 
 
 @dataclass
@@ -97,34 +101,32 @@ class Ingest:
     judged: bool = False
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        name = f"{batch_id:09d}"
-        rows, rejected = split_valid(batch)
-        rows = with_derived(rows).persist(StorageLevel.MEMORY_AND_DISK)
+        name = f"{self.stream}-{batch_id:09d}"
+        marked = with_derived(batch).withColumn("reason", reject_reason()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            seen = _figures(marked)
+            if seen.rejected:
+                _put(marked.filter(F.col("reason").isNotNull()), self.root, "rejected_updates", name)
+            if not seen.updates:
                 return
-            write_tables(rows, self.root, name, self.layouts)
-            _put(rejected, self.root, "rejected_updates", name)
-            _put(_guard(rows, name), self.root, "payload_guard", name)
-            self._judge(rows, name)
-            _put(_position(rows, self.stream), self.root, "ingest_checkpoint", name)
+            write_tables(marked.filter(F.col("reason").isNull()).drop("reason"), self.root, name, self.layouts)
+            self._put_row("payload_guard", name, GUARD_SCHEMA, seen.updates, seen.impossible, seen.closed, seen.first_slot, seen.last_slot)
+            if not self.judged:
+                self._judge(seen.first_account_slot, name)
+                self.judged = True
+            position = (self.stream, seen.top.slot, seen.top.write_version, datetime.now(timezone.utc))
+            self._put_row("ingest_checkpoint", name, SCHEMAS["ingest_checkpoint"], *position)
         finally:
-            rows.unpersist()
+            marked.unpersist()
+
+    def _put_row(self, table: str, name: str, schema, *values) -> None:
+        _put(self.spark.createDataFrame([values], schema).coalesce(1), self.root, table, name)
 
-    def _judge(self, rows: DataFrame, name: str) -> None:
+    def _judge(self, first_slot: int, name: str) -> None:
         """Compare the first account slot of the session with the position it resumed from."""
-        if self.judged:
-            return
-        first = rows.agg(F.min("slot").alias("first_account_slot")).filter(F.col("first_account_slot").isNotNull())
-        seam = first.select(
-            F.lit(self.session).alias("session_id"),
-            F.lit(self.resume_from).cast("bigint").alias("resume_from"),
-            "first_account_slot",
-            F.current_timestamp().alias("detected_at"),
-        )
-        if not rows.isEmpty():
-            _put(gap_rows(seam, self.stream), self.root, "slot_gaps", f"{self.session}-{name}")
-            self.judged = True
+        seam = (self.session, self.resume_from, first_slot, datetime.now(timezone.utc))
+        schema = "session_id string, resume_from bigint, first_account_slot bigint, detected_at timestamp"
+        _put(gap_rows(self.spark.createDataFrame([seam], schema), self.stream), self.root, "slot_gaps", f"{self.session}-{name}")
 
 
 def start_ingest(
