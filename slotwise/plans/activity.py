@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from slotwise.functions.base58 import readable
 from slotwise.functions.slots import slot_bucket
 from slotwise.operators.dedup import collapse, latest
-from slotwise.operators.rows import side_by_side
+from slotwise.operators.rows import side_by_side, top
 from slotwise.schemas import BUCKET_COLUMN, DECODED_KINDS, MILLIS_PER_SLOT
 
 
@@ -54,18 +54,14 @@ def hot_accounts(updates: DataFrame, limit: int = 20, render: bool = True) -> Da
     The two-step aggregation counts distinct slots without holding a set of them for any account.
     """
     per_slot = updates.groupBy("pubkey", "slot").agg(F.max("kind").alias("kind"), F.count(F.lit(1)).alias("n"))
-    top = (
-        per_slot.groupBy("pubkey")
-        .agg(
-            F.max("kind").alias("kind"),
-            F.sum("n").alias("updates"),
-            F.count(F.lit(1)).alias("slots_touched"),
-            F.max("slot").alias("last_seen"),
-        )
-        .orderBy(F.desc("updates"), "pubkey")
-        .limit(limit)
+    accounts = per_slot.groupBy("pubkey").agg(
+        F.max("kind").alias("kind"),
+        F.sum("n").alias("updates"),
+        F.count(F.lit(1)).alias("slots_touched"),
+        F.max("slot").alias("last_seen"),
     )
-    return top.withColumn("pubkey", readable(top)) if render else top
+    hottest = top(accounts, limit, F.desc("updates"), "pubkey")
+    return hottest.withColumn("pubkey", readable(hottest)) if render else hottest
 
 
 def kind_mix(updates: DataFrame, by_length: bool = False) -> DataFrame:
@@ -181,11 +177,10 @@ def liquidity_depth(
     rows = reserves.select(*columns) if collapsed else collapse(reserves, columns=columns)
     found = latest(rows, state)
     if below is not None:
-        found = found.filter(F.col("available_amount") < below).orderBy("available_amount", "pubkey")
+        found, order = found.filter(F.col("available_amount") < below), F.asc("available_amount")
     else:
-        found = found.orderBy(F.desc("available_amount"), "pubkey")
-    if limit is not None:
-        found = found.limit(limit)
+        order = F.desc("available_amount")
+    found = top(found, limit, order, "pubkey") if limit is not None else found
     key = readable(found) if render else F.col("pubkey")
     mint = readable(found, "liquidity_mint") if render else F.col("liquidity_mint")
     return found.select(

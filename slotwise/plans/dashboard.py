@@ -33,10 +33,11 @@ def dashboard_document(spark: SparkSession, queries: dict[str, Callable[[], Data
     """Run the queries in sequence. Any failure, or a result over the bound, fails the whole document."""
     document: dict[str, object] = {"generated_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds")}
     for name, query in queries.items():
-        lines = query().limit(MAX_ROWS + 1).toJSON().collect()  # at most MAX_ROWS + 1 short rows
+        line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line")
+        lines = query().select(line).limit(MAX_ROWS + 1).collect()  # at most MAX_ROWS + 1 short rows
         if len(lines) > MAX_ROWS:
             raise ValueError(f"dashboard query {name!r} has more than {MAX_ROWS} rows")
-        document[name] = [json.loads(line) for line in lines]
+        document[name] = [json.loads(row.line) for row in lines]
     return json.dumps(document)
 
 

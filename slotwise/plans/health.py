@@ -12,7 +12,7 @@ from slotwise.functions.numbers import active_debt, flag_text, fraction, health_
 from slotwise.operators.dedup import collapse, latest
 from slotwise.operators.ordering import page_after
 from slotwise.operators.quantiles import approximate_row, percentile_row, value_counts
-from slotwise.operators.rows import side_by_side
+from slotwise.operators.rows import side_by_side, top
 from slotwise.schemas import AT_RISK_HEALTH, HEALTH_SCALE, RADAR_HEALTH, VERSION_KEY
 from slotwise.session import stored
 
@@ -122,7 +122,7 @@ def risk_radar(
         found = latest(rows, state).filter(active_debt())
     else:
         found = latest(rows.filter(active_debt()), state)
-    found = found.filter(F.col(HEALTH) < RADAR_HEALTH).orderBy(HEALTH, "pubkey").limit(limit)
+    found = top(found.filter(F.col(HEALTH) < RADAR_HEALTH), limit, HEALTH, "pubkey")
     key = readable(found) if render else F.col("pubkey")
     owner = readable(found, "owner") if render else F.col("owner")
     return found.select(
