@@ -187,6 +187,8 @@ def decode_fields(df: DataFrame, layout: Layout, data: str = "data") -> DataFram
     carried = [df.schema[c] for c in ("slot", "write_version", "pubkey", "ingested_at") if c in df.columns]
     keys = [f for f in layout.fields if f.kind == "bytes"]
     numbers = [f for f in layout.fields if f.kind != "bytes"]
+    if "kind" in df.columns:
+        df = df.filter(F.col("kind") == layout.kind)  # implied by the tag, but reaches the scan
     rows = only_kinds(df, (layout.kind,), data).filter(long_enough(layout, data))
     cut = [c for f in numbers for c in f.cuts(data)]
     rows = rows.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slotwise.session import stored
 
-PART, PLACE = "__part", "__place"
+PART, PLACE, _TIE = "__part", "__place", "__tie"
 _PLACE_BITS = 33  # monotonically_increasing_id keeps the partition number above the lower 33 bits
 
 
@@ -35,7 +35,8 @@ def global_rank(df: DataFrame, order: Sequence[str], name: str = "n") -> DataFra
     A row's number is its place in its partition plus the sizes of the partitions before it. The table of
     sizes has one row per partition, which bounds both the window over it and the broadcast.
     """
-    placed = sorted_table(df, order)
+    # Equal rows may change places, but a range cannot split them; the last column can.
+    placed = sorted_table(df.withColumn(_TIE, F.monotonically_increasing_id()), [*order, _TIE]).drop(_TIE)
     sizes = placed.groupBy(PART).agg(F.count(F.lit(1)).alias("__size"))
     before = sizes.select(PART, (F.sum("__size").over(Window.orderBy(PART)) - F.col("__size")).alias("__before"))
     ranked = placed.join(F.broadcast(before), PART)

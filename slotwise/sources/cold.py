@@ -15,12 +15,12 @@ from slotwise.operators.dedup import collapse
 from slotwise.plans.quality import gaps_companion
 from slotwise.plans.summary import freeze_manifest
 from slotwise.schemas import BUCKET_COLUMN, SCHEMAS, SLOTS_PER_BUCKET, VERSION_KEY
-from slotwise.session import work_dir
+from slotwise.session import stored
 from slotwise.sources.updates import with_late_columns
 
 FILE_ORDER = ("slot", "write_version", "pubkey")
 COLD_TABLES = {"account_updates": True, "obligation_snapshots": False}  # name -> required
-# About 60 bytes per key: what a broadcast of repeated keys may hold at most.
+# What a broadcast of repeated keys may hold at most; about 150 bytes each in memory.
 MAX_BROADCAST_KEYS = 1_000_000
 
 
@@ -47,23 +47,31 @@ def existing_buckets(spark: SparkSession, path: str) -> set[str]:
     return {n.split("=", 1)[1] for n in names if n.startswith(f"{BUCKET_COLUMN}=")}
 
 
-def _collapse_once(df: DataFrame) -> DataFrame:
-    """Collapse wide rows with as little payload in the shuffle as possible.
+def _collapse_once(df: DataFrame, version: str = "ingested_at") -> DataFrame:
+    """Collapse wide rows while reading and moving the payload as little as possible.
 
-    A first pass over the three key columns writes down which keys occur more than once. When these
-    are few, they are broadcast: all other rows pass without any shuffle and only copies are ranked.
-    Otherwise every row goes through `collapse`, which prunes copies before its shuffle.
+    A first pass over the key and version columns writes down which keys occur more than once and which
+    version wins. When these are few, they are broadcast, and one scan of the wide rows keeps or drops
+    each row where it is. Keys whose newest version occurs several times go through `collapse`, and so
+    does everything when there are too many repeated keys to broadcast.
     """
-    spark = df.sparkSession
-    path = work_dir(spark, "repeated-keys")
-    repeated = df.groupBy(*VERSION_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    repeated.select(*VERSION_KEY).write.parquet(path)
-    keys = spark.read.schema(T.StructType([df.schema[c] for c in VERSION_KEY])).parquet(path)
-    if keys.count() > MAX_BROADCAST_KEYS:
+    spark, keys = df.sparkSession, list(VERSION_KEY)
+    per_version = df.groupBy(*keys, version).agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_version.groupBy(*keys).agg(
+        F.sum("n").alias("__copies"), F.max(version).alias("__newest"), F.max_by("n", version).alias("__ties")
+    )
+    # A key without any version cannot be decided here either.
+    ties = F.when(F.col("__newest").isNull(), 2).otherwise(F.col("__ties")).alias("__ties")
+    repeated = stored(per_key.filter(F.col("__copies") > 1).select(*keys, "__newest", ties), "repeated-keys")
+    if repeated.count() > MAX_BROADCAST_KEYS:
         return collapse(df)
-    known = F.broadcast(keys)
-    single = df.join(known, list(VERSION_KEY), "left_anti")
-    return single.unionByName(collapse(df.join(known, list(VERSION_KEY), "left_semi")))
+    marked = df.join(F.broadcast(repeated), keys, "left")
+    decided = F.col("__ties").isNull() | ((F.col("__ties") == 1) & (F.col(version) == F.col("__newest")))
+    rows = marked.filter(decided).select(*df.columns)
+    tied = repeated.filter(F.col("__ties") > 1)
+    if tied.isEmpty():
+        return rows
+    return rows.unionByName(collapse(df.join(F.broadcast(tied), keys, "left_semi"), keys, version))
 
 
 def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: bool = False) -> ExportResult:

@@ -92,8 +92,13 @@ def owner_page(data: str = "data", offset: int = OWNER_OFFSET):
     return F.hex(F.substring(data, offset + 1, 1))
 
 
-def by_owner_page(rows: DataFrame, data: str = "data", offset: int = OWNER_OFFSET, salts: int = 16) -> DataFrame:
-    """Spread a load over its pages. One owner may hold a large share of all rows, so pages are salted."""
+def by_owner_page(rows: DataFrame, data: str = "data", offset: int = OWNER_OFFSET, salts: int | None = None) -> DataFrame:
+    """Spread a load over its pages.
+
+    One owner, and so one page, may hold a large share of all rows; pages are therefore salted with as
+    many values as there are shuffle partitions.
+    """
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     paged = rows.withColumn("owner_page", owner_page(data, offset))
     return paged.repartition("owner_page", F.pmod(F.xxhash64("pubkey"), F.lit(salts)))
 

@@ -122,6 +122,12 @@ def test_global_rank_numbers_every_row_once(spark):
     assert [r.n for r in ranked.orderBy("n").collect()] == list(range(1, 1001))
 
 
+def test_equal_rows_spread_over_partitions(spark):
+    df = spark.range(4000).select(F.lit(7).alias("slot"))
+    placed = global_rank(df.repartition(6), ["slot"])
+    assert sorted(r.n for r in placed.collect()) == list(range(1, 4001))
+
+
 def test_pages_concatenate_to_the_whole(spark):
     rows = sorted({(random.Random(i).randrange(20), i) for i in range(97)})
     df = spark.createDataFrame(rows, "slot bigint, wv bigint")

@@ -76,6 +76,16 @@ def test_many_repeated_keys_take_the_other_way(spark, tmp_path, monkeypatch):
     assert cold.read_cold_table(spark, out, "account_updates").count() == 4300
 
 
+def test_tied_copies_leave_one_row(spark, tmp_path):
+    source = history(spark)
+    tied = source.filter("write_version = 9")  # the same version three times, content differs once
+    source = source.unionByName(tied).unionByName(tied.withColumn("lamports", F.lit(6).cast("bigint")))
+    source = source.unionByName(source.filter("write_version = 11").withColumn("ingested_at", F.lit(None).cast("timestamp")))
+    out = str(tmp_path / "cold")
+    cold.export_cold(source, out)
+    assert cold.read_cold_table(spark, out, "account_updates").count() == 4300
+
+
 def test_incremental_export(spark, tmp_path):
     out = str(tmp_path / "cold")
     rows = history(spark, n=3000, start=437_000_000).unionByName(history(spark, n=10, start=438_000_000).withColumn("write_version", F.col("write_version") + 10**6))
