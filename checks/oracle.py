@@ -431,6 +431,7 @@ SQL: dict[str, str] = {
               qualify row_number() over (partition by part order by slot desc, write_version desc) = 1)
         select part as pubkey, {_YES.replace("as emergency", "as emergency_mode")}, q * 10 / 100.0 as referral_fee_pct, 'market-' || supp as name_str from m"""),
     "redecode_counts": _select(WIRE, _STORED_OBL, "select table_name, count(*) as n, max(slot) as max_slot from stored where table_name <> 'account_updates' group by 1"),
+    "redecode_stored": "select kind, records, decoded, short, overflow from (" + _select(WIRE, _REPORT.format(extra="", group="")) + ")",
     "decode_report": _select(WIRE, _REPORT.format(extra="", group="")),
     "decode_report_by_bucket": _select(WIRE, _REPORT.format(extra=f", {_BUCKET}", group=", cell")),
     "obligation_flags": """

@@ -581,6 +581,12 @@ def redecode_counts(spark, sf):
     return summary.table_status(silver)
 
 
+@query
+def redecode_stored(spark, sf):
+    """Silver tables rebuilt with one scan of the payloads."""
+    return decoding.store_redecoded(S.bronze(spark, sf), S.LAYOUTS, work_dir(spark, "silver"))
+
+
 @query
 def decode_report(spark, sf):
     return decoding.decode_report(S.bronze(spark, sf), S.LAYOUTS)

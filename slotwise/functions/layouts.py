@@ -21,7 +21,8 @@ from slotwise.functions import numbers as N
 from slotwise.functions.kinds import only_kinds
 from slotwise.schemas import LATE_COLUMNS, MAX_FRACTION, SCHEMAS, SILVER_TABLE, U64, U128
 
-_NUMBERS = "__numbers"
+CUT = "__cut"
+CARRIED = ("slot", "write_version", "pubkey", "ingested_at")
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,9 @@ class Field:
     def array(self, raw: np.ndarray) -> pa.Array:
         """Arrow column from the field's bytes, one row per record."""
         rows = len(raw)
+        if self.kind == "bytes":
+            ends = np.arange(rows + 1, dtype=np.int32) * self.width
+            return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))])
         if self.kind == "entries":
             used = raw.reshape(rows, self.count, self.probe).any(axis=2).sum(axis=1)
             return pa.array(used.astype(np.int16))
@@ -99,6 +103,14 @@ class Layout:
             if f.end > self.size:
                 raise ValueError(f"{self.kind}.{f.name} ends at {f.end}, beyond the record's {self.size} bytes")
 
+    @property
+    def cut_size(self) -> int:
+        return sum(f.size for f in self.fields)
+
+    def cut(self, data: str = "data") -> Column:
+        """The bytes that decoding needs, field after field."""
+        return F.concat(*[c for f in self.fields for c in f.cuts(data)])
+
     def with_fields(self, *more: Field) -> "Layout":
         named = {f.name: f for f in self.fields} | {f.name: f for f in more}
         return replace(self, fields=tuple(named.values()))
@@ -175,43 +187,45 @@ def long_enough(layout: Layout, data: str = "data") -> Column:
     return F.coalesce(F.length(data) >= layout.size, F.lit(False))
 
 
-def decode_fields(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
-    """Raw fields of every record of the layout's kind that is long enough, beside the version key.
+def _carried(df: DataFrame) -> list[str]:
+    return [c for c in CARRIED if c in df.columns]
 
-    A null in an unsigned field can only mean a value beyond decimal(38,0).
 
-    The payload itself stays in the JVM: only the bytes of the numeric fields are handed to Python, one
-    Arrow batch at a time, and numpy reads them as columns. The same in Spark's own functions (hex,
-    reverse, conv, bit operations) takes several microseconds per number; this takes that per row.
-    """
-    carried = [df.schema[c] for c in ("slot", "write_version", "pubkey", "ingested_at") if c in df.columns]
-    keys = [f for f in layout.fields if f.kind == "bytes"]
-    numbers = [f for f in layout.fields if f.kind != "bytes"]
+def cut_records(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
+    """Records of the layout's kind that are long enough: version key and the bytes to decode."""
     if "kind" in df.columns:
         df = df.filter(F.col("kind") == layout.kind)  # implied by the tag, but reaches the scan
     rows = only_kinds(df, (layout.kind,), data).filter(long_enough(layout, data))
-    cut = [c for f in numbers for c in f.cuts(data)]
-    rows = rows.select(
-        *[c.name for c in carried],
-        *[f.cuts(data)[0].alias(f.name) for f in keys],
-        (F.concat(*cut) if cut else F.lit(b"")).alias(_NUMBERS),
-    )
-    passed = len(carried) + len(keys)
-    names = [c.name for c in carried] + [f.name for f in keys] + [f.name for f in numbers]
-    width = sum(f.size for f in numbers)
+    return rows.select(*_carried(df), layout.cut(data).alias(CUT))
+
+
+def read_cuts(cuts: DataFrame, layout: Layout) -> DataFrame:
+    """Fields from cut records. A null in an unsigned field can only mean a value beyond decimal(38,0).
+
+    The payload itself stays in the JVM: only the cut bytes are handed to Python, one Arrow batch at a
+    time, and numpy reads them as columns. The same in Spark's own functions (hex, reverse, conv, bit
+    operations) takes several microseconds per number; this takes that per row.
+    """
+    carried, width, fields = _carried(cuts), layout.cut_size, layout.fields
+    names = [*carried, *[f.name for f in fields]]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = b"".join(batch.column(passed).to_pylist())
+            packed = b"".join(batch.column(len(carried)).to_pylist())
             raw = np.frombuffer(packed, dtype=np.uint8).reshape(batch.num_rows, width)
-            columns, at = batch.columns[:passed], 0
-            for f in numbers:
+            columns, at = batch.columns[: len(carried)], 0
+            for f in fields:
                 columns.append(f.array(raw[:, at : at + f.size]))
                 at += f.size
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = T.StructType([*carried, *[T.StructField(f.name, f.type) for f in (*keys, *numbers)]])
-    return rows.mapInArrow(read, schema)
+    schema = T.StructType([*[cuts.schema[c] for c in carried], *[T.StructField(f.name, f.type) for f in fields]])
+    return cuts.select(*carried, CUT).mapInArrow(read, schema)
+
+
+def decode_fields(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
+    """Raw fields of every record of the layout's kind that is long enough, beside the version key."""
+    return read_cuts(cut_records(df, layout, data), layout)
 
 
 def decode(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
@@ -221,7 +235,11 @@ def decode(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
     `health_overflow` are sound but for a health factor beyond 10^20, which is null. Rows with another
     tag and rows that are too short are not decoded and do not appear.
     """
-    fields = decode_fields(df, layout, data)
+    return silver_rows(decode_fields(df, layout, data), layout)
+
+
+def silver_rows(fields: DataFrame, layout: Layout) -> DataFrame:
+    """Columns of the layout's silver table and `decode_status` from raw fields."""
     have = {f.name for f in layout.fields}
     derived = _derived(layout.kind, have)
     fields = fields.withColumns(derived) if derived else fields

@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.layouts import Layout, decode, long_enough
+from slotwise.functions.layouts import CARRIED, CUT, Layout, decode, long_enough, read_cuts, silver_rows
 from slotwise.functions.slots import slot_bucket
+from slotwise.operators.rows import side_by_side
 from slotwise.schemas import BUCKET_COLUMN, SILVER_TABLE
+from slotwise.session import work_dir
 
 
 def redecode(bronze: DataFrame, layouts: dict[str, Layout]) -> dict[str, DataFrame]:
@@ -22,6 +24,38 @@ def redecode(bronze: DataFrame, layouts: dict[str, Layout]) -> dict[str, DataFra
     return tables
 
 
+def store_redecoded(bronze: DataFrame, layouts: dict[str, Layout], root: str) -> DataFrame:
+    """Rebuild the silver tables below `root` with a single scan of the payloads; returns the counts.
+
+    The scan keeps only the bytes that decoding needs, filed by kind, and each table is decoded from
+    its own file set. `redecode` alone would read all payloads once per kind. `bronze` has a `kind` column.
+    """
+    spark = bronze.sparkSession
+    layouts = {kind: layout for kind, layout in layouts.items() if kind in SILVER_TABLE}
+    carried = [c for c in CARRIED if c in bronze.columns]
+    cut = F.lit(None).cast("binary")
+    for kind, layout in layouts.items():
+        cut = F.when((F.col("kind") == kind) & long_enough(layout), layout.cut()).otherwise(cut)
+    wanted = bronze.filter(F.col("kind").isin(list(layouts))).select(*carried, cut.alias(CUT), "kind")
+    path = work_dir(spark, "cuts")
+    wanted.write.partitionBy("kind").parquet(path)
+    cuts = spark.read.schema(wanted.schema).parquet(path)
+
+    reports = []
+    for kind, layout in layouts.items():
+        mine = cuts.filter(F.col("kind") == kind)
+        rows = silver_rows(read_cuts(mine.filter(F.col(CUT).isNotNull()), layout), layout)
+        target = f"{root}/{SILVER_TABLE[kind]}"
+        rows.filter(F.col("decode_status") != "overflow").drop("decode_status").write.mode("overwrite").parquet(target)
+        stored = spark.read.schema(rows.drop("decode_status").schema).parquet(target)
+        short = mine.filter(F.col(CUT).isNull()).agg(F.count(F.lit(1)).alias("short"))
+        whole = mine.agg(F.count(F.lit(1)).alias("records"))
+        done = stored.agg(F.count(F.lit(1)).alias("decoded"))
+        reports.append(side_by_side(whole, done, short).select(F.lit(kind).alias("kind"), "records", "decoded", "short"))
+    counts = reduce(DataFrame.unionByName, reports)
+    return counts.withColumn("overflow", F.col("records") - F.col("decoded") - F.col("short"))
+
+
 def decode_report(bronze: DataFrame, layouts: dict[str, Layout], by_bucket: bool = False) -> DataFrame:
     """Records per kind (and slot bucket) by outcome: decoded, too short, overflow; and the decoded share.
 
