@@ -208,6 +208,15 @@ SQL: dict[str, str] = {
         select s.stream, last_slot - s.back as last_slot, last_wv as last_write_version, (epoch_us(last_at) // 1000) as updated_ms
         from days, (values ('main', 0), ('staging', 5)) s(stream, back)
         qualify row_number() over (partition by s.stream order by last_at desc) = 1"""),
+    "collapse_reserves": _select(RES, """select slot, write_version, pubkey, avail as available_amount, borr as borrowed_amount_sf,
+        (epoch_us(ingested_at) // 1000) as ingested_ms from resc"""),
+    "collapse_markets": _select(WIRE, f"""select slot, write_version, part as pubkey, cast({_MARKET_FLAGS} as int) as flags
+        from records where kind = 'LendingMarket' and size = 160"""),
+    "collapse_gaps": _select(UPD, SESSIONS, GAPS, """select stream, start_slot, end_slot, filled, reason from recorded
+        union all select 'main', first_account_slot + 7, 0, 0, 'no end' from sess where resume_from is not null"""),
+    "collapse_runs": _select(DUMP, """select max(slot) as slot, 'known' as scope, count(*) as accounts, 5::bigint as duration_ms
+        from dumped group by slot >= 4264000000"""),
+    "distinct_accounts": _select(UPD, OBL, RES, DUMP, _TABLES, "select table_name, count(distinct pubkey) as accounts from everything group by 1"),
     "intra_slot_versions": _select(RES, "select pubkey, slot, count(*) as versions from resc group by 1, 2 having count(*) > 1"),
     "latest_state": f"""{OBL_S} select pubkey, slot, write_version, cast(hf as varchar) as hf, owner, cast(num_borrows as bigint) as flags from oblc
         qualify row_number() over (partition by pubkey order by slot desc, write_version desc) = 1""",
@@ -478,6 +487,11 @@ SQL: dict[str, str] = {
                round((max(slot) + 17 - (select s from p)) * 0.4::double, 1) as behind_s,
                round(({AS_OF_S}000 - (epoch_us(max(ingested_at)) // 1000)) / 1000.0, 1) as stream_lag_s,
                round((select n from p) / 10.0, 4) as updates_per_s from upd""",
+    "stream_lag_monitor": f"""{UPD_S}, m as (select *, slot % 2 = 0 and slot < 4266000000 as account from upd),
+        t as (select max(slot) filter (where not account) as tip, max(slot) filter (where account) as done, count(*) filter (where account) as n,
+              (epoch_us(max(ingested_at)) // 1000) as newest from m)
+        select tip as tip_slot, done as processed_slot, tip - done as behind_slots, round((tip - done) * 0.4::double, 1) as behind_s,
+               n as updates, newest as newest_ms from t""",
     "running_shapes": f"""{UPD_S} select case when data_len > 0 then 'ok' when lamports = 0 then 'closed' else 'impossible_empty' end as shape,
         count(*) as n, min(slot) as first_slot, max(slot) as last_slot from upd group by 1""",
 }

@@ -65,6 +65,41 @@ def collapse_checkpoints(spark, sf):
     return rows.select("stream", "last_slot", "last_write_version", millis("updated_at").alias("updated_ms"))
 
 
+@query
+def collapse_reserves(spark, sf):
+    rows = collapse_table(S.reserve_snapshots(spark, sf), "reserve_snapshots")
+    return rows.select("slot", "write_version", "pubkey", "available_amount", "borrowed_amount_sf", millis("ingested_at").alias("ingested_ms"))
+
+
+@query
+def collapse_markets(spark, sf):
+    """Decoded market rows, every one stored twice by two runs."""
+    silver = decoding.redecode(S.bronze(spark, sf), S.LAYOUTS)["lending_market_snapshots"]
+    again = silver.withColumn("ingested_at", F.expr("ingested_at + interval 1 hour"))
+    rows = collapse_table(silver.unionByName(again), "lending_market_snapshots")
+    return rows.select("slot", "write_version", key_number("pubkey").alias("pubkey"), F.col("flags").cast("int").alias("flags"))
+
+
+@query
+def collapse_gaps(spark, sf):
+    rows = collapse_table(S.slot_gaps(spark, sf), "slot_gaps")
+    return rows.select("stream", "start_slot", "end_slot", F.col("filled").cast("int").alias("filled"), "reason")
+
+
+@query
+def collapse_runs(spark, sf):
+    """Run rows recorded twice, the second time with a duration."""
+    runs = S.snapshot_runs(spark, sf)
+    later = runs.withColumn("duration_ms", F.lit(5).cast("bigint")).withColumn("ingested_at", F.expr("ingested_at + interval 1 hour"))
+    return collapse_table(runs.unionByName(later), "snapshot_runs").select("slot", "scope", "accounts", "duration_ms")
+
+
+@query
+def distinct_accounts(spark, sf):
+    """Exact distinct keys of every table."""
+    return summary.distinct_accounts(_tables(spark, sf))
+
+
 @query
 def intra_slot_versions(spark, sf):
     """All versions of an account inside one slot survive collapsing."""
@@ -781,6 +816,19 @@ def stream_lag(spark, sf):
     return monitors.lag_line(done, tips, S.AS_OF, seconds=10)
 
 
+@query
+def stream_lag_monitor(spark, sf):
+    """Lag recorded while a stream of updates and tip notices is followed."""
+    u = S.account_updates(spark, sf)
+    event = F.when((F.col("slot") % 2 == 0) & (F.col("slot") < 4266000000), "account").otherwise("slot")
+    path, root = work_dir(spark, "messages"), work_dir(spark, "monitor")
+    messages = u.select(event.alias("event"), "slot", F.col("ingested_at").alias("produced_at"))
+    messages.coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(messages.schema).parquet(path)
+    monitors.start_lag_monitor(stream, root, available_now=True).awaitTermination()
+    return monitors.read_lag(spark, root)
+
+
 @query
 def running_shapes(spark, sf):
     return monitors.running_shapes(S.account_updates(spark, sf))

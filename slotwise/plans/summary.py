@@ -142,6 +142,15 @@ def provenance_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def distinct_accounts(tables: dict[str, DataFrame], approximate: bool = False) -> DataFrame:
+    """Distinct keys per table, exact unless asked otherwise."""
+    parts = []
+    for name, df in tables.items():
+        found = df.agg(F.approx_count_distinct("pubkey", 0.01).alias("accounts")) if approximate else _distinct(df, "pubkey", "accounts")
+        parts.append(found.select(F.lit(name).alias("table_name"), "accounts"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def table_status(tables: dict[str, DataFrame]) -> DataFrame:
     """One status row per table."""
     parts = [

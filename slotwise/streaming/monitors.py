@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.functions.verdicts import payload_shape
 from slotwise.operators.rows import side_by_side
@@ -54,3 +57,50 @@ def lag_line(updates: DataFrame, tips: DataFrame, as_of=None, seconds: int = 10)
         F.round(F.greatest((F.unix_millis(now) - newest) / 1000.0, F.lit(0.0)), 1).alias("stream_lag_s"),
         F.round(F.col("updates") / float(seconds), 4).alias("updates_per_s"),
     )
+
+
+MONITOR_SCHEMA = "tip_slot bigint, processed_slot bigint, updates bigint, newest_ms bigint"
+
+
+@dataclass
+class LagMonitor:
+    """Appends one row per micro-batch: the highest tip and update slots so far and the newest message time."""
+
+    root: str
+    tip_slot: int | None = None
+    processed_slot: int | None = None
+
+    def on_batch(self, batch: DataFrame, batch_id: int) -> None:
+        is_tip = F.col("event") == "slot"
+        seen = batch.agg(
+            F.max(F.when(is_tip, F.col("slot"))).alias("tip"),
+            F.max(F.when(~is_tip, F.col("slot"))).alias("done"),
+            F.count_if(~is_tip).alias("updates"),
+            F.unix_millis(F.max(F.col("produced_at").cast("timestamp"))).alias("newest"),
+        ).first()
+        if seen.newest is None:
+            return
+        # Notices of different kinds arrive slightly out of order; neither reading may move back.
+        self.tip_slot = max((s for s in (self.tip_slot, seen.tip) if s is not None), default=None)
+        self.processed_slot = max((s for s in (self.processed_slot, seen.done) if s is not None), default=None)
+        row = (self.tip_slot, self.processed_slot, seen.updates, seen.newest)
+        spark = batch.sparkSession
+        line = spark.createDataFrame([row], MONITOR_SCHEMA).coalesce(1)
+        line.write.mode("overwrite").parquet(f"{self.root}/lag/batch_id={batch_id:09d}")
+
+
+def start_lag_monitor(messages: DataFrame, root: str, seconds: int = 10, available_now: bool = False) -> StreamingQuery:
+    """Follow a stream of (event: slot | account, slot, produced_at) messages and record the lag."""
+    writer = messages.writeStream.foreachBatch(LagMonitor(root).on_batch).option("checkpointLocation", f"{root}/_lag_offsets")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
+    return writer.start()
+
+
+def read_lag(spark, root: str) -> DataFrame:
+    """Recorded lag rows with the distance to the tip in slots and seconds."""
+    rows = spark.read.schema(f"{MONITOR_SCHEMA}, batch_id string").parquet(f"{root}/lag")
+    behind = F.greatest(F.col("tip_slot") - F.col("processed_slot"), F.lit(0))
+    return rows.select(
+        "tip_slot", "processed_slot", behind.alias("behind_slots"),
+        F.round(behind * (MILLIS_PER_SLOT / 1000), 1).alias("behind_s"), "updates", "newest_ms",
+    )

@@ -228,3 +228,18 @@ def test_rendering_happens_after_the_limit(spark):
     plan = hottest._jdf.queryExecution().executedPlan().toString()
     assert plan.index("ArrowEvalPython") < plan.index("TakeOrderedAndProject") and "rangepartitioning" not in plan
     assert all(len(r.pubkey) > 30 for r in hottest.collect())
+
+
+def test_commands(spark, tmp_path, capsys):
+    from slotwise.__main__ import cold_command, main
+
+    out = str(tmp_path / "cold")
+    cold.export_cold(history(spark), out)
+    assert cold_command(spark, out, "activity").count() == 2
+    assert cold_command(spark, out, "gaps").count() == 0
+    assert cold_command(spark, out, "hot-accounts").count() == 20
+    main(["sql", "select count(*) as n from account_updates", "--dir", out])
+    assert "4300" in capsys.readouterr().out
+    for bad in ("sql", "nothing"):
+        with pytest.raises(ValueError):
+            cold_command(spark, out, bad)
