@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +20,10 @@ from slotwise.sources.updates import with_late_columns
 
 FILE_ORDER = ("slot", "write_version", "pubkey")
 COLD_TABLES = {"account_updates": True, "obligation_snapshots": False}  # name -> required
-# What a broadcast of repeated keys may hold at most; about 150 bytes each in memory.
+# What a broadcast of repeated keys or of cells may hold at most; about 150 bytes each in memory.
 MAX_BROADCAST_KEYS = 1_000_000
+CELL_SLOTS = 1000
+ROWS_PER_FILE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -74,31 +76,63 @@ def _collapse_once(df: DataFrame, version: str = "ingested_at") -> DataFrame:
     return rows.unionByName(collapse(df.join(F.broadcast(tied), keys, "left_semi"), keys, version))
 
 
+def _file_plan(df: DataFrame) -> DataFrame:
+    """Which file each cell of 1000 slots belongs to, from a scan of the slot column alone.
+
+    Cells of a bucket are filled into files in slot order. A cell that is larger than a file by itself,
+    down to a single busy slot, is cut into pieces. Stored, because it is read several times.
+    """
+    cells = df.groupBy(F.expr(f"slot div {CELL_SLOTS}").alias("__cell")).agg(F.count(F.lit(1)).alias("n"))
+    bucket = F.expr(f"__cell div {SLOTS_PER_BUCKET // CELL_SLOTS}")
+    filled = F.sum("n").over(Window.partitionBy(bucket).orderBy("__cell"))  # at most 1000 cells
+    return stored(
+        cells.select(
+            "__cell",
+            bucket.alias("__bucket"),
+            F.floor((filled - F.col("n")) / ROWS_PER_FILE).alias("__file"),
+            F.ceil(F.col("n") / ROWS_PER_FILE).alias("__pieces"),
+        ),
+        "file-plan",
+    )
+
+
+def _lay_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Bring the rows of each file together.
+
+    `repartitionByRange` would do the same, but samples its input first, and with it reads every payload
+    a second time. It remains for histories with more cells than may be broadcast.
+    """
+    if plan.count() > MAX_BROADCAST_KEYS:
+        return rows.repartitionByRange(*FILE_ORDER)
+    placed = rows.withColumn("__cell", F.expr(f"slot div {CELL_SLOTS}")).join(F.broadcast(plan), "__cell", "left")
+    piece = F.pmod(F.xxhash64("write_version", "pubkey"), F.col("__pieces"))
+    return placed.repartition("__bucket", "__file", piece).select(*rows.columns)
+
+
 def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: bool = False) -> ExportResult:
     """Write or continue the cold copy of a table.
 
     Without `full`, closed buckets that exist are skipped: the stream only moves forward, so they cannot
     grow. Two are always redone, the newest bucket of the source and the newest one that exists, which
-    may have been exported while it was still filling. Rows are range-partitioned on the
-    full file order rather than on the bucket, so a bucket that holds a large share of all rows becomes
-    several files with disjoint slot ranges. Spark's commit protocol publishes each bucket whole.
+    may have been exported while it was still filling. Files are planned by size, so a bucket that holds
+    a large share of all rows becomes several files. Spark's commit protocol publishes each bucket whole.
     """
     spark = df.sparkSession
     path = f"{out}/{table}"
-    bucket = F.expr(f"slot div {SLOTS_PER_BUCKET} * {SLOTS_PER_BUCKET}")
-    # One row per bucket; the slot column alone is read.
-    present = [bucket_name(r.b) for r in df.groupBy(bucket.alias("b")).count().orderBy("b").collect()]
+    plan = _file_plan(df)
+    numbers = [r.b for r in plan.select(F.col("__bucket").alias("b")).distinct().orderBy("b").collect()]  # one per bucket
+    present = [bucket_name(n * SLOTS_PER_BUCKET) for n in numbers]
     if not present:
         return ExportResult(table, path, (), ())
     have = existing_buckets(spark, path)
     skipped = [] if full else [b for b in present[:-1] if b in have and b < max(have)]
     todo = [b for b in present if b not in set(skipped)]
-    if not full and len(skipped) > 0:
+    if skipped:
         df = df.filter(F.expr(f"slot div {SLOTS_PER_BUCKET}").isin([int(b) // SLOTS_PER_BUCKET for b in todo]))
 
-    rows = _collapse_once(df).withColumn(BUCKET_COLUMN, slot_bucket())
     (
-        rows.repartitionByRange(*FILE_ORDER)
+        _lay_out(_collapse_once(df), plan)
+        .withColumn(BUCKET_COLUMN, slot_bucket())
         .sortWithinPartitions(BUCKET_COLUMN, *FILE_ORDER)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if full else "dynamic")

@@ -59,14 +59,29 @@ def test_export_splits_collapses_and_sorts(spark, tmp_path):
     assert {r.status for r in quality.reconcile_export(source, got).collect()} == {"ok"}
 
 
-def test_hot_bucket_becomes_several_files(spark, tmp_path):
+def test_hot_bucket_becomes_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cold, "ROWS_PER_FILE", 500)
     out = str(tmp_path / "cold")
+    source = history(spark).withColumn("slot", F.when(F.col("write_version") < 2000, 437_996_000).otherwise(F.col("slot")))  # a busy slot
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the fixture is tiny
     try:
-        cold.export_cold(history(spark), out)
+        cold.export_cold(source, out)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert len(glob.glob(f"{out}/account_updates/slot_bucket=000437000000/*.parquet")) > 1
+    files = glob.glob(f"{out}/account_updates/slot_bucket=000437000000/*.parquet")
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in files]
+    assert len(files) > 1 and sum(sizes) == 4100 and max(sizes) < 4000
+    for path in files:
+        rows = pq.ParquetFile(path).read(columns=["slot", "write_version"]).to_pylist()
+        assert rows == sorted(rows, key=lambda r: (r["slot"], r["write_version"]))
+
+
+def test_a_plan_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cold, "CELL_SLOTS", 1)
+    monkeypatch.setattr(cold, "MAX_BROADCAST_KEYS", 100)
+    out = str(tmp_path / "cold")
+    cold.export_cold(history(spark), out)
+    assert cold.read_cold_table(spark, out, "account_updates").count() == 4300
 
 
 def test_many_repeated_keys_take_the_other_way(spark, tmp_path, monkeypatch):
