@@ -44,8 +44,18 @@ def seam_reason(drift: Column) -> Column:
 
 
 # Reasons of the gaps that come with an error.
-REPLAY_WINDOW_EXCEEDED = "subscribe failed: replay window exceeded"
-STREAM_ENDED_EARLY = "stream failed before any data"
+FAILURE_REASONS = {
+    "replay_window": "position too old: the source no longer replays it",
+    "early_end": "stream broke before its first record",
+}
+
+
+def failure_reason(code: str) -> Column:
+    """Reason text of a failure code; an unknown code is its own text."""
+    text = F.col(code)
+    for name, reason in FAILURE_REASONS.items():
+        text = F.when(F.col(code) == name, F.lit(reason)).otherwise(text)
+    return text
 
 
 def freshness_state(

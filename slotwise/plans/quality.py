@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.slots import slot_bucket
 from slotwise.functions.verdicts import (
+    failure_reason,
     freshness_state,
     is_fault,
     payload_shape,
@@ -107,6 +108,21 @@ def gap_rows(sessions: DataFrame, stream: str = DEFAULT_STREAM, detected_at: str
     )
 
 
+def failure_gaps(failures: DataFrame, stream: str = DEFAULT_STREAM) -> DataFrame:
+    """`slot_gaps` rows for visible failures (code, start_slot, end_slot, detected_at)."""
+    return valid_gaps(
+        failures.select(
+            F.lit(stream).alias("stream"),
+            "start_slot",
+            "end_slot",
+            "detected_at",
+            F.lit(0).cast("smallint").alias("filled"),
+            failure_reason("code").alias("reason"),
+            F.col("detected_at").alias("ingested_at"),
+        )
+    )
+
+
 def valid_gaps(gaps: DataFrame) -> DataFrame:
     """A failure before the first row has no end yet; such rows (end <= start) are not gaps."""
     return gaps.filter(F.col("end_slot") > F.col("start_slot"))

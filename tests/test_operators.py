@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from slotwise.functions.verdicts import FAILURE_REASONS
 from slotwise.operators.dedup import collapse, collapsed_count, latest
 from slotwise.operators.ordering import global_rank, page_after, steps
 from slotwise.operators.quantiles import exact_percentiles, value_counts, percentiles_of_counts
@@ -177,6 +178,12 @@ def test_degenerate_gap_rows_are_dropped(spark):
     assert (r.total_missed_slots, r.gap_count) == (879, 1)
 
 
+def test_failure_gaps(spark):
+    rows = [("replay_window", 10, 900, T0), ("early_end", 20, 0, T0), ("power cut", 30, 31, T0)]
+    got = quality.failure_gaps(spark.createDataFrame(rows, "code string, start_slot bigint, end_slot bigint, detected_at timestamp")).collect()
+    assert [(r.start_slot, r.reason) for r in got] == [(10, FAILURE_REASONS["replay_window"]), (30, "power cut")]
+
+
 UPDATES = "slot bigint, write_version bigint, pubkey bigint, lamports bigint, data_len bigint, kind string, ingested_at timestamp"
 
 
