@@ -18,7 +18,7 @@ def duck(request):
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) - set(SQL) == WITHOUT_TWIN and set(SQL) <= set(QUERIES)
-    assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(SQL)
+    assert set(entry.queries()) >= set(QUERIES) and set(entry.oracle_sql()) >= set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
