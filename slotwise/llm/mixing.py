@@ -96,33 +96,34 @@ def _key(source: int, turn: int, seed: int) -> np.uint64:
 
 
 def _deal(shards: int, seed: int):
-    """(src, blocks, slots) to (src, blocks, shard, first, count): the multinomial draw of each source."""
+    """(src, number, blocks, slots) to (src, number, blocks, shard, first, count): the multinomial draw of each source."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                counts = np.random.default_rng([seed, row["src"]]).multinomial(row["slots"], np.full(shards, 1 / shards))
+                counts = np.random.default_rng([seed, row["number"]]).multinomial(row["slots"], np.full(shards, 1 / shards))
                 first = counts.cumsum() - counts
                 for at in range(0, shards, 1 << 16):
                     some = at + np.flatnonzero(counts[at : at + (1 << 16)])
-                    same = {c: pa.array(np.full(len(some), row[c], np.int64)) for c in ("src", "blocks")}
+                    same = {"src": pa.array([row["src"]] * len(some), pa.string())}
+                    same |= {c: pa.array(np.full(len(some), row[c], np.int64)) for c in ("number", "blocks")}
                     yield pa.RecordBatch.from_pydict(same | {"shard": pa.array(some), "first": pa.array(first[some]), "count": pa.array(counts[some])})
 
     return deal
 
 
 def _draw(seed: int):
-    """(src, blocks, shard, first, count) to one row per slot: src, shard, position, block."""
+    """(src, number, blocks, shard, first, count) to one row per slot: src, shard, position, slot, block."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                src, n = row["src"], row["blocks"]
+                number, n = row["number"], row["blocks"]
                 slot = np.arange(row["first"], row["first"] + row["count"])
-                turns = [_key(src, t, seed) for t in range(int(slot[-1]) // n + 1)]
+                turns = [_key(number, t, seed) for t in range(int(slot[-1]) // n + 1)]
                 block = permuted(slot % n, n, np.array(turns, np.uint64)[slot // n])
-                position = _mixed(slot.astype(np.uint64), _key(src, 96, seed)) >> np.uint64(1)
-                same = {"src": pa.array(np.full(len(slot), src)), "shard": pa.array(np.full(len(slot), row["shard"]))}
+                position = _mixed(slot.astype(np.uint64), _key(number, 96, seed)) >> np.uint64(1)
+                same = {"src": pa.array([row["src"]] * len(slot), pa.string()), "shard": pa.array(np.full(len(slot), row["shard"]))}
                 yield pa.RecordBatch.from_pydict(same | {"position": pa.array(position.astype(np.int64)), "slot": pa.array(slot), "block": pa.array(block)})
 
     return draw
@@ -178,28 +179,27 @@ class Mix:
         totals.sort(key=lambda r: (r.source is None, r.source or ""))
         wanted = targets([r.size for r in totals], weights)
         recipe = [
-            (i, r.source, r.size, float(t), _blocks(r.size, block_words), _slots(r.size, t, block_words, i, seed))
+            ("" if r.source is None else f"={r.source}", i, r.size, float(t), _blocks(r.size, block_words), _slots(r.size, t, block_words, i, seed))
             for i, (r, t) in enumerate(zip(totals, wanted))
         ]
-        shape = "src bigint, source string, source_size bigint, target double, blocks bigint, slots bigint"
+        shape = "src string, number bigint, source_size bigint, target double, blocks bigint, slots bigint"
         self.recipe = self.spark.createDataFrame(recipe, shape)
         self.buckets = max(1, -(-sum(r.rows for r in totals) // BUCKET_ROWS))
-        self.narrow = self._known(narrow)
+        self.narrow = self._dealt(narrow)
         shards = max(1, -(-sum(r[5] for r in recipe) // shard_slots))
-        deals = "src bigint, blocks bigint, shard bigint, first bigint, count bigint"
-        dealt = self.recipe.where("slots > 0").select("src", "blocks", "slots").repartition("src").mapInArrow(_deal(shards, seed), deals)
-        drawn = "src bigint, shard bigint, position bigint, slot bigint, block bigint"
+        deals = "src string, number bigint, blocks bigint, shard bigint, first bigint, count bigint"
+        dealt = self.recipe.where("slots > 0").select("src", "number", "blocks", "slots").repartition("src").mapInArrow(_deal(shards, seed), deals)
+        drawn = "src string, shard bigint, position bigint, slot bigint, block bigint"
         self.slots = dealt.repartition("src", "shard").mapInArrow(_draw(seed), drawn)
         before = Window.partitionBy("src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = self.narrow.groupBy("src", "_bucket").agg(F.sum("size").alias("_sum"))
         self.base = stored(sums.select("src", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")), "mix-base")
         self.docs = rows
-        self.places = self._placed(self.narrow)
+        self.places = self._placed(self.narrow).join(self.recipe.select("src", "source_size", "target"), "src")
 
-    def _known(self, rows: DataFrame) -> DataFrame:
-        """Rows with their source's figures and their bucket."""
-        facts = self.recipe.select("src", F.col("source").alias("_source"), "source_size", "target")
-        rows = rows.join(facts, rows.source.eqNullSafe(facts._source)).drop("_source")
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Rows with the key of their source and their bucket."""
+        rows = rows.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
         return rows.withColumn("_bucket", F.pmod("_row", F.lit(self.buckets)))
 
     def _placed(self, rows: DataFrame) -> DataFrame:
@@ -210,7 +210,7 @@ class Mix:
     def blocks(self) -> DataFrame:
         """One row per block: src, block and its pieces in order."""
         keep = ["doc_id", "text", "lang", "source", "n_chars", "_row"]
-        placed = self._placed(self._known(_sized(self.docs, keep).where("size > 0")))
+        placed = self._placed(self._dealt(_sized(self.docs, keep).where("size > 0")))
         cut, shape = _cut(self.words, dict(placed.dtypes))
         cols = ("doc_id", "text", "lang", "source", "n_chars", "src", "start")
         split = placed.select(*cols).mapInArrow(cut, shape)

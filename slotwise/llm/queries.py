@@ -102,8 +102,8 @@ def op9_histogram_shards(spark, sf):
 @query
 def op10_secret_scan(spark, sf):
     found = secrets.scan(read(spark, sf, "documents"))
-    counts = [f"n_{k}" for k in (*secrets.KINDS, "random")]
-    return found.select("doc_id", *counts, "base_sha256", "spans", F.length("redacted").alias("redacted_chars"))
+    counts = [f"n_{k}" for k in secrets.KINDS]
+    return found.select("doc_id", *counts, "base_sha256", "spans", "n_random", F.length("redacted").alias("redacted_chars"))
 
 
 _HOST = r"rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#@:]*)', 1)), '.')"
