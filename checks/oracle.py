@@ -13,13 +13,14 @@ TWO64 = 18446744073709551616
 
 UPD = """
 base as (
-  select (epoch_us(ts) // 1000) // 400 as slot, event_id as write_version, user_id as pubkey, event_type,
-         cast(floor(value * 100) as bigint) as lamports, props, ts from events),
+  select s + case when s >= 4262500001 then 73873 else 0 end as slot, write_version, pubkey, event_type, lamports, props, ts
+  from (select (epoch_us(ts) // 1000) // 400 as s, event_id as write_version, user_id as pubkey, event_type,
+               cast(floor(value * 100) as bigint) as lamports, props, ts from events)),
 known as (
   select slot, write_version, pubkey,
          case when event_type = 'signup' and slot >= 4265000000 then 'untagged:0b' else event_type end as kind, lamports,
          case when event_type = 'signup' and slot >= 4265000000 then '' else props end as data, ts as ingested_at
-  from base where slot not between 4262500001 and 4262573873),
+  from base),
 upd as (
   select *, length(data) as data_len, slot // 1000000 as cell from known
   union all
@@ -162,8 +163,7 @@ everything as (
   union all select 'reserve_snapshots', pubkey, slot, write_version from res)"""
 _RESTORED = """
 restored as (
-  select pubkey, slot from upd
-  where kind = 'purchase' and slot < 4262000000 or kind = 'click' and slot > 4266000000),
+  select c_custkey * 2 as pubkey, 4266000000 + c_custkey as slot from customer),
 lost as (select * from upd where data_len = 0 and lamports > 0)"""
 _STORED_OBL = """
 stored as (
@@ -349,6 +349,10 @@ SQL: dict[str, str] = {
         select 'main' as stream, start_slot, end_slot, (epoch_us(detected_at) // 1000) as detected_ms, 0 as filled,
                'silent start-up seam: stream opened ' || (end_slot - start_slot) || ' slots late' as reason from seams"""),
     "current_gaps": _select(UPD, SESSIONS, GAPS, "select stream, start_slot, end_slot, filled, reason from recorded"),
+    "failure_gaps": _select(UPD, SESSIONS, """
+        select 'main' as stream, resume_from as start_slot, first_account_slot as end_slot, (epoch_us(detected_at) // 1000) as detected_ms, 0 as filled,
+               case when session_id % 2 = 0 then 'position too old: the source no longer replays it' else 'stream broke before its first record' end as reason
+        from sess where resume_from is not null and session_id % 5 <> 0 and first_account_slot > resume_from"""),
     "gap_status": _select(UPD, SESSIONS, GAPS, """
         select cast(sum(end_slot - start_slot - 1) as bigint) as total_missed_slots, count(*) as gap_count,
                (epoch_us(max(detected_at)) // 1000) as latest_gap_ms from recorded where filled = 0"""),
@@ -365,7 +369,10 @@ SQL: dict[str, str] = {
     "gaps_companion": _select(UPD, STEPS, """
         select 'outage' as hole, 'all' as kind, prev as start_slot, slot as end_slot, slot - prev - 1 as size from stepped where slot - prev - 1 > 600
         union all
-        select 'payload', kind, min(slot), max(slot), count(*) from upd where data_len = 0 and lamports > 0 group by kind"""),
+        select 'payload', kind, min(slot), max(slot), cast(sum(bad) as bigint) from (
+          select *, count(*) filter (where bad = 0 and good > 0) over (partition by kind order by slot) as run from (
+            select kind, slot, count(*) filter (where data_len = 0 and lamports > 0) as bad, count(*) filter (where data_len > 0) as good
+            from upd group by kind, slot)) where bad > 0 group by kind, run"""),
     # --- payload shape and freshness
     "payload_shapes": f"""{UPD_S} select case when data_len > 0 then 'ok' when lamports = 0 then 'closed' else 'impossible_empty' end as shape,
         count(*) as n from upd group by 1""",
@@ -402,8 +409,10 @@ SQL: dict[str, str] = {
                case when {_AGE} <= 300 then 'HEALTHY' else 'STALE' end as status from upd""",
     # --- cold copy
     "export_cold": f"""{UPD_S} select {_BUCKET}, slot, write_version, pubkey, kind, lamports, data, data_len, (epoch_us(ingested_at) // 1000) as ingested_ms from updc""",
+    "export_cold_snapshots": f"""{OBL_S} select lpad(cast(slot // 1000000 * 1000000 as varchar), 12, '0') as slot_bucket, slot, write_version, pubkey,
+        cast(hf as varchar) as hf, dep as deposited_value, (epoch_us(ingested_at) // 1000) as ingested_ms from oblc""",
     "export_incremental": f"{UPD_S} select {_BUCKET}, count(*) as exported_rows, cell >= 4263 as rewritten from updc group by cell",
-    "reconcile_export": f"{UPD_S} select {_BUCKET}, count(*) as expected_rows, count(*) as exported_rows, 'ok' as status from updc where slot < 4266000000 group by cell",
+    "reconcile_export": f"{UPD_S} select {_BUCKET}, count(*) as expected_rows, count(*) as exported_rows, 'ok' as status from updc group by cell",
     "cold_activity": UPD_S + _ACTIVITY.format(table="updc"),
     "cold_sql": f"""{UPD_S}, per as (select cell, kind, count(*) as n from updc group by 1, 2)
         select {_BUCKET}, max(n) as most, count(*) as kinds from per group by cell""",
@@ -457,31 +466,40 @@ SQL: dict[str, str] = {
     "key_integrity": """
         select c_nationkey, count(*) filter (where c_nationkey < 20) as good, count(*) filter (where c_nationkey >= 20) as bad from customer group by 1""",
     # --- state dumps
-    "state_dump": _select(DUMP, "select slot, write_version, pubkey, owner, kind, lamports, 16 as data_len from loaded"),
+    "state_dump": _select(DUMP, "select slot, write_version, pubkey, owner, kind, lamports, case when pubkey % 2 = 0 then 320 else 16 end as data_len from loaded"),
     "state_dump_errors": _select(DUMP, """
         select case when pubkey % 50 = 7 then 'pubkey is not a base58 key' else 'data is not base64' end as reason, count(*) as n
         from dumped where pubkey % 50 in (7, 9) group by 1"""),
     "state_dump_run": _select(DUMP, """
-        select max(slot) as slot, 'known' as scope, count(*) as accounts, count(*) as rows_written, count(*) as decode_failures
-        from loaded where kind <> 'UserMetadata'"""),
+        select max(slot) as slot, 'known' as scope, (select count(*) from dumped) as accounts, count(*) as rows_written,
+               count(*) filter (where pubkey % 2 = 1) as decode_failures from loaded where kind <> 'UserMetadata'"""),
     "owner_pages": _select(WIRE, """
-        select printf('%02X', case when kind = 'Obligation' then part % 256 else 0 end) as owner_page, count(*) as accounts
-        from records where size >= 96 group by 1"""),
+        select case when size < 96 then '' else printf('%02X', case when kind = 'Obligation' then part % 256 else 0 end) end as owner_page,
+               count(*) as accounts from records group by 1"""),
     # --- streaming
     "stream_ingest": _select(WIRE, _STORED_OBL, "select table_name, count(*) as n, max(slot) as max_slot from stored group by 1"),
     "stream_resume": _select(WIRE, """
         select 'main' as stream, a as start_slot, b as end_slot, 0 as filled, 'silent start-up seam: stream opened ' || (b - a) || ' slots late' as reason
-        from (select max(slot) filter (where slot <= 2200000000) as a, min(slot) filter (where slot > 2210000000) as b from records) where b - a > 600"""),
+        from (select max(slot) filter (where slot <= 2200000000) as a, min(slot) filter (where slot > 2200000000) + 10000000 as b from records) where b - a > 600"""),
+    "stream_restart_new_offsets": _select(WIRE, _STORED_OBL, "select table_name, count(*) as n, max(slot) as max_slot from stored group by 1"),
+    "stream_positions": _select(WIRE, """
+        select 'main' as stream, max(slot) filter (where slot <= 2200000000) as position from records
+        union all select 'main-old', max(slot) from records"""),
+    "compacted_bronze": _select(WIRE, """
+        select lpad(cast(slot // 1000000 * 1000000 as varchar), 12, '0') as slot_bucket, count(*) as n, cast(sum(size) as bigint) as bytes,
+               cast(1 as bigint) as most_batches from records group by 1"""),
+    "decode_rejects": _select(WIRE, """
+        select kind, slot, write_version, part as pubkey, 'short' as reason, '' as field
+        from records where kind in ('Obligation', 'Reserve', 'LendingMarket') and size = 40
+        union all select kind, slot, write_version, part, 'overflow', 'deposited_value_sf' from oblrec where too_big"""),
     "stream_guard": _select(WIRE, """
         select count(*) filter (where size = 0 and lamports > 0) as impossible, count(*) filter (where size = 0 and lamports = 0) as closed,
                min(slot) filter (where size = 0 and lamports > 0) as first_slot, max(slot) filter (where size = 0 and lamports > 0) as last_slot from records"""),
     "stream_budget": _select(WIRE, """
         select count(*) as n, min(slot) as first_slot, max(slot) as last_slot from records where slot between 2100000000 and 2200000000"""),
     "stream_dedup": f"{UPD_S} select slot, write_version, pubkey, kind, data from updc",
-    "stream_flow": f"""{UPD_S}, w as (select max(ingested_at) - interval 2 minute as mark from upd),
-        m as (select date_trunc('minute', ingested_at) as t, * from upd)
-        select cast(epoch(t) as bigint) as minute, count(*) as writes, {_COUNTS}, cast(sum(data_len) as bigint) as bytes
-        from m group by t having t + interval 1 minute <= (select mark from w)""",
+    "stream_flow": f"""{UPD_S}, m as (select date_trunc('minute', ingested_at) as t, * from upd)
+        select cast(epoch(t) as bigint) as minute, count(*) as writes, {_COUNTS}, cast(sum(data_len) as bigint) as bytes from m group by t""",
     "stream_lag": f"""{UPD_S}, p as (select max(slot) as s, count(*) as n from upd where slot < 4266000000)
         select max(slot) + 17 as tip_slot, (select s from p) as processed_slot, max(slot) + 17 - (select s from p) as behind_slots,
                round((max(slot) + 17 - (select s from p)) * 0.4::double, 1) as behind_s,
@@ -495,3 +513,14 @@ SQL: dict[str, str] = {
     "running_shapes": f"""{UPD_S} select case when data_len > 0 then 'ok' when lamports = 0 then 'closed' else 'impossible_empty' end as shape,
         count(*) as n, min(slot) as first_slot, max(slot) as last_slot from upd group by 1""",
 }
+
+_P = ", ".join(f"('{n}', true)" for n in _PCTS)
+SQL["health_distribution_rank_error"] = f"select * from (values {_P}) t(percentile, within)"
+SQL["dashboard_risk"] = SQL["risk_radar"]
+SQL["dashboard_system"] = SQL["system_status"]
+SQL["dashboard_export"] = f"""select cast({AS_OF_S} as bigint) as generated_s, 'overview' as section, cast(1 as bigint) as n
+union all select {AS_OF_S}, 'system', 1
+union all select {AS_OF_S}, 'risk', (select count(*) from ({SQL["risk_radar"]}))
+union all select {AS_OF_S}, 'reserves', (select count(*) from ({SQL["liquidity_depth"]}))
+union all select {AS_OF_S}, 'flow', (with {UPD} select count(distinct date_trunc('minute', ingested_at)) from upd
+  where ingested_at >= {AS_OF} - interval 60 minute and ingested_at < {AS_OF})"""

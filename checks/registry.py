@@ -129,9 +129,25 @@ def health_distribution(spark, sf):
 
 @query
 def health_distribution_approximate(spark, sf):
-    """Single-pass form; the bounds hold for any sketch within its rank error, so the rows are the check."""
+    """Single-pass form; `health_distribution_rank_error` tests its bound."""
+    return health.health_distribution(S.obligation_snapshots(spark, sf), approximate=True)
+
+
+@query
+def health_distribution_rank_error(spark, sf):
+    """Whether each approximate percentile stands where it should, within the sketch's rank error of 1/10000."""
     rows = collapse(S.obligation_snapshots(spark, sf), columns=["health_factor_bps"]).filter(N.active_debt())
-    return approximate_row(rows, "health_factor_bps", health.DISTRIBUTION)
+    value, named = F.col("health_factor_bps").cast("double"), {n: p for n, p in health.DISTRIBUTION.items()}
+    at = approximate_row(rows, "health_factor_bps", named).first()  # one row
+    below = [F.count_if(value < at[n]).alias(f"{n}_below") for n in named]
+    upto = [F.count_if(value <= at[n]).alias(f"{n}_upto") for n in named]
+    counts = rows.agg(F.count(F.lit(1)).alias("n"), *below, *upto)
+    slack = F.col("n") / 10_000 + 1
+    within = [
+        F.struct(F.lit(n).alias("percentile"), ((F.col(f"{n}_below") - slack <= F.col("n") * p) & (F.col("n") * p <= F.col(f"{n}_upto") + slack)).alias("within"))
+        for n, p in named.items()
+    ]
+    return counts.select(F.inline(F.array(*within)))
 
 
 @query
@@ -396,6 +412,16 @@ def current_gaps(spark, sf):
     return rows.select("stream", "start_slot", "end_slot", F.col("filled").cast("int").alias("filled"), "reason")
 
 
+@query
+def failure_gaps(spark, sf):
+    """Gap rows of visible failures: one per known session seam, by turns of either code; some have no end yet."""
+    seams = S.sessions(spark, sf).filter("resume_from is not null")
+    code = F.when(F.col("session_id") % 2 == 0, "replay_window").otherwise("early_end")
+    end = F.when(F.col("session_id") % 5 == 0, F.col("resume_from")).otherwise(F.col("first_account_slot"))
+    rows = quality.failure_gaps(seams.select(code.alias("code"), F.col("resume_from").alias("start_slot"), end.alias("end_slot"), "detected_at"))
+    return rows.select("stream", "start_slot", "end_slot", millis("detected_at").alias("detected_ms"), F.col("filled").cast("int").alias("filled"), "reason")
+
+
 @query
 def gap_status(spark, sf):
     return quality.gap_status(S.slot_gaps(spark, sf))
@@ -440,10 +466,9 @@ def loss_report(spark, sf):
 
 
 def _restored(spark, sf):
-    """Snapshots on the updates' own clock, for some of their keys: the purchases and the later clicks."""
-    u = S.account_updates(spark, sf)
-    late = (F.col("kind") == "click") & (F.col("slot") > 4266000000)
-    return u.filter((F.col("kind") == "purchase") & (F.col("slot") < 4262000000) | late).select("pubkey", "slot", "write_version")
+    """Snapshots on the updates' own clock, one for each customer, of every other key."""
+    c = spark.read.parquet(f"{sf}/customer.parquet")
+    return c.select((F.col("c_custkey") * 2).alias("pubkey"), (F.col("c_custkey") + 4266000000).alias("slot"), F.lit(0).cast("bigint").alias("write_version"))
 
 
 @query
@@ -489,6 +514,16 @@ def export_cold(spark, sf):
     return rows.select("slot_bucket", "slot", "write_version", "pubkey", "kind", "lamports", "data", "data_len", millis("ingested_at").alias("ingested_ms"))
 
 
+@query
+def export_cold_snapshots(spark, sf):
+    """Read-back of the cold copy of the snapshots, exported anew over an earlier copy."""
+    rows, out = S.obligation_snapshots(spark, sf), work_dir(spark, "cold")
+    for full in (False, True):
+        cold.export_cold(rows, out, "obligation_snapshots", full=full)
+    back = cold.read_cold_table(spark, out, "obligation_snapshots", rows.schema)
+    return back.select("slot_bucket", "slot", "write_version", "pubkey", F.col("health_factor_bps").cast("string").alias("hf"), "deposited_value", millis("ingested_at").alias("ingested_ms"))
+
+
 @query
 def export_incremental(spark, sf):
     """Export of the first part of the history, then of all of it: closed buckets are skipped, the newest
@@ -504,7 +539,8 @@ def export_incremental(spark, sf):
 @query
 def reconcile_export(spark, sf):
     u, out, _ = _exported(spark, sf)
-    return quality.reconcile_export(u, cold.read_cold_table(spark, out, "account_updates", u.schema), upper_slot=4266000000)
+    end = u.agg(F.max("slot")).first()[0] + 1
+    return quality.reconcile_export(u, cold.read_cold_table(spark, out, "account_updates", u.schema), upper_slot=end)
 
 
 @query
@@ -547,8 +583,8 @@ def late_columns(spark, sf):
     root = work_dir(spark, "evolution")
     old, new = F.col("slot") < 2200000000, F.col("slot") >= 2200000000
     base = rows.select("slot", "write_version", key_of("pubkey"), "health_factor_bps", F.col("deposited_value").cast("decimal(38,0)").alias("deposited_value_sf"))
-    base.filter(old).drop("deposited_value_sf").write.parquet(f"{root}/obligation_snapshots/batch_id=1")
-    base.filter(new).write.parquet(f"{root}/obligation_snapshots/batch_id=2")
+    updates.write_batch(base.filter(old).drop("deposited_value_sf"), root, "obligation_snapshots", "1")
+    updates.write_batch(base.filter(new), root, "obligation_snapshots", "2")
     read = updates.read_table(spark, root, "obligation_snapshots")
     value = F.col("deposited_value_sf")
     return read.groupBy((F.col("slot") >= 2200000000).alias("late")).agg(
@@ -609,6 +645,13 @@ def market_settings(spark, sf):
     return health.market_settings(silver).withColumn("pubkey", key_number("pubkey"))
 
 
+@query
+def decode_rejects(spark, sf):
+    """Records of the three kinds that give no silver row, and why."""
+    rows = decoding.decode_rejects(S.bronze(spark, sf), S.LAYOUTS)
+    return rows.select("kind", "slot", "write_version", key_number("pubkey").alias("pubkey"), "reason", "field")
+
+
 @query
 def redecode_counts(spark, sf):
     """Rows of each silver table rebuilt from raw history."""
@@ -709,8 +752,8 @@ def state_dump_run(spark, sf):
 
 @query
 def owner_pages(spark, sf):
-    """Rows per page of the owner byte, and the whole they must add up to."""
-    rows = S.wire_updates(spark, sf).filter(F.length("data") >= 96)
+    """Rows per page of the owner byte; records too short to have one form a page of their own."""
+    rows = S.wire_updates(spark, sf)
     # The keys of the stand-ins differ in their last byte.
     pages = dumps.page_counts(dumps.by_owner_page(rows, offset=95), offset=95)
     return pages
@@ -719,17 +762,20 @@ def owner_pages(spark, sf):
 # --- streaming --------------------------------------------------------------------------------
 
 
-def _wire_files(spark, sf, where=None, files=4):
+def _wire_files(spark, sf, rows=None, files=4):
     path = work_dir(spark, "wire")
-    rows = S.wire_updates(spark, sf)
-    if where is not None:
-        rows = rows.filter(where)
+    rows = S.wire_updates(spark, sf) if rows is None else rows
     rows.repartitionByRange(files, "slot", "write_version").write.parquet(path)
     return path
 
 
-def _drain(wire, root):
-    ingest.start_ingest(wire, root, S.LAYOUTS, available_now=True).awaitTermination()
+def _drain(wire, root, **options):
+    ingest.start_ingest(wire, root, S.LAYOUTS, available_now=True, **options).awaitTermination()
+
+
+def _stored_tables(spark, root):
+    tables = {t: updates.read_table(spark, root, t) for t in ("account_updates", "obligation_snapshots", "reserve_snapshots", "lending_market_snapshots")}
+    return summary.table_status({name: collapse_table(df, name) for name, df in tables.items()})
 
 
 @query
@@ -738,29 +784,62 @@ def stream_ingest(spark, sf):
     path, root = _wire_files(spark, sf), work_dir(spark, "ingest")
     for _ in range(2):
         _drain(updates.read_updates_stream(spark, path, options={"maxFilesPerTrigger": "2"}), root)
-    tables = {t: updates.read_table(spark, root, t) for t in ("account_updates", "obligation_snapshots", "reserve_snapshots", "lending_market_snapshots")}
-    return summary.table_status({name: collapse_table(df, name) for name, df in tables.items()})
+    return _stored_tables(spark, root)
+
+
+CUT_SLOT = 2200000000
 
 
 @query
 def stream_resume(spark, sf):
-    """Two sessions with a hole between them: the second one resumes inclusively and records the seam."""
-    root = work_dir(spark, "ingest")
-    cut, back = 2200000000, 2210000000
-    first = _wire_files(spark, sf, F.col("slot") <= cut)
-    _drain(updates.read_updates_stream(spark, first), root)
-    # The next session reads another folder, so it takes the stored position instead of file offsets.
-    position = ingest.read_position(spark, root)
-    second = _wire_files(spark, sf, F.col("slot") > back)
-    job = ingest.Ingest(spark, root, S.LAYOUTS, resume_from=position)
-    wire = updates.read_updates_stream(spark, second, start_slot=position)
-    wire.writeStream.foreachBatch(lambda df, i: job.on_batch(df, 1000 + i)).option(
-        "checkpointLocation", f"{root}/_offsets-2"
-    ).trigger(availableNow=True).start().awaitTermination()
+    """Two sessions with a hole between them: the second one resumes inclusively and records the seam.
+
+    The hole is made by moving the second session's rows, none is left out.
+    """
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    first = _wire_files(spark, sf, wire.filter(F.col("slot") <= CUT_SLOT))
+    second = _wire_files(spark, sf, wire.filter(F.col("slot") > CUT_SLOT).withColumn("slot", F.col("slot") + 10_000_000))
+    # The next session reads another folder with new offsets, so it begins at the stored position.
+    for name, path in (("first", first), ("second", second)):
+        _drain(updates.read_updates_stream(spark, path), root, offsets=f"{root}/_offsets/{name}")
     found = quality.current_gaps(ingest.read_batches(spark, root, "slot_gaps"))
     return found.select("stream", "start_slot", "end_slot", F.col("filled").cast("int").alias("filled"), "reason")
 
 
+@query
+def stream_restart_new_offsets(spark, sf):
+    """Part of the source, then all of it with new offsets into the same tables: nothing stored is lost."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for name, rows in (("first", wire.filter(F.col("slot") <= CUT_SLOT)), ("second", wire)):
+        path = _wire_files(spark, sf, rows)
+        _drain(updates.read_updates_stream(spark, path, options={"maxFilesPerTrigger": "2"}), root, offsets=f"{root}/_offsets/{name}")
+    return _stored_tables(spark, root)
+
+
+@query
+def stream_positions(spark, sf):
+    """Positions of two streams of one root, the name of one being the beginning of the other's."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for stream, rows in (("main-old", wire), ("main", wire.filter(F.col("slot") <= CUT_SLOT))):
+        _drain(updates.read_updates_stream(spark, _wire_files(spark, sf, rows)), root, stream=stream)
+    positions = [(stream, ingest.read_position(spark, root, stream)) for stream in ("main", "main-old")]
+    return spark.createDataFrame(positions, "stream string, position bigint")
+
+
+@query
+def compacted_bronze(spark, sf):
+    """Raw rows per bucket after compaction: every closed bucket is one batch. The newest is left as it is."""
+    root, folder = work_dir(spark, "ingest"), work_dir(spark, "wire")
+    S.wire_updates(spark, sf).repartition(3).write.parquet(folder)  # batches that overlap in slots
+    _drain(updates.read_updates_stream(spark, folder, options={"maxFilesPerTrigger": "1"}), root)
+    updates.compact(spark, root, "account_updates")
+    filed = updates.read_filed(spark, root, "account_updates")
+    newest = F.col("slot_bucket") == filed.agg(F.max("slot_bucket")).first()[0]
+    counts = filed.groupBy("slot_bucket", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("data_len").alias("bytes"))
+    batches = F.when(F.max(newest), F.lit(1)).otherwise(F.count(F.lit(1))).cast("bigint")
+    return counts.groupBy("slot_bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), batches.alias("most_batches"))
+
+
 @query
 def stream_guard(spark, sf):
     """Payload guard summed over the batches of a stream."""
@@ -773,17 +852,19 @@ def stream_guard(spark, sf):
 def stream_budget(spark, sf):
     """A bounded sample of the stream: at most so many slots past the first one."""
     path, root = _wire_files(spark, sf), work_dir(spark, "ingest")
-    wire = ingest.within_budget(updates.read_updates_stream(spark, path), 2100000000, 100000000)
+    first = 2100000000  # where the sample begins: a limit is this query's feature
+    wire = ingest.within_budget(updates.read_updates_stream(spark, path), first, 100000000)
     _drain(wire, root)
     rows = updates.read_table(spark, root, "account_updates")
     return rows.agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
 
 
-def _update_files(spark, sf):
+def _update_files(spark, sf, rows=None):
+    """The updates as a stream of five micro-batches, in no order of time."""
     path = work_dir(spark, "updates")
-    rows = S.account_updates(spark, sf)
-    rows.coalesce(1).write.parquet(path)
-    return spark.readStream.schema(rows.schema).parquet(path)
+    rows = S.account_updates(spark, sf) if rows is None else rows
+    rows.repartition(5).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(path)
 
 
 def _sink(stream, mode="append"):
@@ -803,13 +884,15 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_flow(spark, sf):
-    """Writes per minute, emitted once the watermark has passed the minute."""
-    return _sink(monitors.flow_by_minute(_update_files(spark, sf), "2 minutes", FLOW_KINDS))
+    """Writes per minute of a stream, the newest minutes included."""
+    root = work_dir(spark, "monitor")
+    monitors.start_flow_monitor(_update_files(spark, sf), root, FLOW_KINDS, available_now=True).awaitTermination()
+    return monitors.read_flow(spark, root)
 
 
 @query
 def stream_lag(spark, sf):
-    """Lag figures of one batch: processed updates against tip notices."""
+    """Lag figures of one batch: processed updates against tip notices. That some are not processed yet is what it shows."""
     u = S.account_updates(spark, sf).withColumn("produced_at", F.col("ingested_at"))
     tips = u.select((F.col("slot") + 17).alias("slot"), "produced_at")
     done = u.filter(F.col("slot") < 4266000000)
@@ -818,15 +901,19 @@ def stream_lag(spark, sf):
 
 @query
 def stream_lag_monitor(spark, sf):
-    """Lag recorded while a stream of updates and tip notices is followed."""
+    """Lag recorded while a stream of updates and tip notices is followed, over a restart: the last reading."""
     u = S.account_updates(spark, sf)
     event = F.when((F.col("slot") % 2 == 0) & (F.col("slot") < 4266000000), "account").otherwise("slot")
-    path, root = work_dir(spark, "messages"), work_dir(spark, "monitor")
+    root = work_dir(spark, "monitor")
     messages = u.select(event.alias("event"), "slot", F.col("ingested_at").alias("produced_at"))
-    messages.coalesce(1).write.parquet(path)
-    stream = spark.readStream.schema(messages.schema).parquet(path)
-    monitors.start_lag_monitor(stream, root, available_now=True).awaitTermination()
-    return monitors.read_lag(spark, root)
+    stream = _update_files(spark, sf, messages)
+    for _ in range(2):
+        monitors.start_lag_monitor(stream, root, available_now=True).awaitTermination()
+    lag = monitors.read_lag(spark, root)
+    last = [F.max(c).alias(c) for c in ("tip_slot", "processed_slot")]
+    one = lag.agg(*last, F.sum("updates").alias("updates"), F.max("newest_ms").alias("newest_ms"))
+    behind = F.col("tip_slot") - F.col("processed_slot")
+    return one.select("tip_slot", "processed_slot", behind.alias("behind_slots"), F.round(behind * 0.4, 1).alias("behind_s"), "updates", "newest_ms")
 
 
 @query
@@ -837,9 +924,7 @@ def running_shapes(spark, sf):
 # --- dashboard --------------------------------------------------------------------------------
 
 
-@query
-def dashboard_export(spark, sf):
-    """All dashboard queries in one JSON document."""
+def _dashboard(spark, sf):
     tables = {
         "account_updates": S.account_updates(spark, sf),
         "obligation_snapshots": S.obligation_snapshots(spark, sf),
@@ -847,4 +932,29 @@ def dashboard_export(spark, sf):
         "ingest_checkpoint": S.ingest_checkpoint(spark, sf),
         "slot_gaps": S.slot_gaps(spark, sf),
     }
-    return dashboard.export_dashboard(spark, dashboard.dashboard_queries(tables, S.AS_OF), work_dir(spark, "dashboard"))
+    asked = dashboard.dashboard_queries(tables, S.AS_OF)
+    return asked, dashboard.export_dashboard(spark, asked, work_dir(spark, "dashboard"), S.AS_OF)
+
+
+@query
+def dashboard_export(spark, sf):
+    """All dashboard queries in one JSON document: when it is of, and the rows of each section."""
+    asked, document = _dashboard(spark, sf)
+    sections = [F.struct(F.lit(n).alias("section"), F.json_array_length(F.get_json_object("value", f"$.{n}")).cast("bigint").alias("n")) for n in asked]
+    made = F.unix_seconds(F.to_timestamp(F.get_json_object("value", "$.generated_at"))).alias("generated_s")
+    return document.select(made, F.inline(F.array(*sections)))
+
+
+@query
+def dashboard_risk(spark, sf):
+    """The risk section, read back from the document."""
+    asked, document = _dashboard(spark, sf)
+    found = dashboard.read_section(document, "risk", asked["risk"]().schema)
+    return found.withColumn("hf", F.col("hf").cast("bigint"))
+
+
+@query
+def dashboard_system(spark, sf):
+    """The system section, read back from the document."""
+    asked, document = _dashboard(spark, sf)
+    return dashboard.read_section(document, "system", asked["system"]().schema)

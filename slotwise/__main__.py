@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from slotwise.functions.layouts import KNOWN_LAYOUTS, load_layouts
 from slotwise.plans import activity, quality
-from slotwise.session import ship_package
+from slotwise.session import clear_work, ship_package
 from slotwise.sources import cold, state_dump, updates
 
 # The command names of cold queries.
@@ -36,6 +36,13 @@ def cold_command(spark: SparkSession, folder: str, name: str, statement: str | N
     return COLD_COMMANDS[name](tables)
 
 
+def print_all(rows: DataFrame) -> None:
+    """Every row as tab-separated text, fetched one partition at a time."""
+    print("\t".join(rows.columns))
+    for row in rows.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="slotwise", description=__doc__)
     parser.add_argument("command", help="gaps | activity | hot-accounts | sql | export | load-dump")
@@ -59,7 +66,8 @@ def main(argv: list[str] | None = None) -> None:
         layouts = load_layouts(open(args.layouts).read()) if args.layouts else KNOWN_LAYOUTS
         state_dump.store_state_dump(spark, args.pages, args.store, layouts, args.scope).show(truncate=False)
     else:
-        cold_command(spark, args.dir, args.command, args.statement).show(1000, truncate=False)
+        print_all(cold_command(spark, args.dir, args.command, args.statement))
+    clear_work(spark)
 
 
 if __name__ == "__main__":

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slotwise.schemas import TABLE_KEYS, VERSION_KEY
 
-_RANK = "__copy"
+_RANK, _ARRIVED = "__copy", "__arrived"
 
 
 def collapse(
@@ -64,8 +64,11 @@ def latest(
 
 
 def drop_replays(stream: DataFrame, keys: Sequence[str] = VERSION_KEY, delay: str = "30 minutes") -> DataFrame:
-    """Streaming form: drops copies that arrive within `delay`; keeps the first one.
+    """Streaming form: drops copies that arrive within `delay` of the first one, which is kept.
 
-    State is bounded by the watermark. Later copies reach the table, where `collapse` removes them on read.
+    The watermark runs on the time of arrival, not on a time in the data: no row is ever late, so only
+    copies are dropped, however old a row is. State is bounded by `delay`. Copies that arrive after that
+    reach the table, where `collapse` removes them on read.
     """
-    return stream.withWatermark("ingested_at", delay).dropDuplicatesWithinWatermark(list(keys))
+    arrived = stream.withColumn(_ARRIVED, F.current_timestamp()).withWatermark(_ARRIVED, delay)
+    return arrived.dropDuplicatesWithinWatermark(list(keys)).drop(_ARRIVED)

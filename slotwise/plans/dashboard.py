@@ -8,13 +8,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotwise.plans import activity, health, summary
 
-# Largest result a dashboard query may have. Beyond it the job fails instead of cutting rows off.
-MAX_ROWS = 1000
-
-
 def dashboard_queries(tables: dict[str, DataFrame], as_of) -> dict[str, Callable[[], DataFrame]]:
     """Everything the dashboard can ask, by name. No SQL is built from a request."""
     updates, snapshots, reserves = tables["account_updates"], tables["obligation_snapshots"], tables["reserve_snapshots"]
@@ -29,21 +26,28 @@ def dashboard_queries(tables: dict[str, DataFrame], as_of) -> dict[str, Callable
     }
 
 
-def dashboard_document(spark: SparkSession, queries: dict[str, Callable[[], DataFrame]]) -> str:
-    """Run the queries in sequence. Any failure, or a result over the bound, fails the whole document."""
-    document: dict[str, object] = {"generated_at": datetime.now(timezone.utc).isoformat(timespec="milliseconds")}
+def dashboard_document(spark: SparkSession, queries: dict[str, Callable[[], DataFrame]], as_of=None) -> str:
+    """Run the queries in sequence; any failure fails the whole document. Each query bounds its own rows.
+
+    The document is dated `as_of`, or now.
+    """
+    made = datetime.now(timezone.utc).isoformat(timespec="milliseconds") if as_of is None else str(as_of)
+    document: dict[str, object] = {"generated_at": made}
     for name, query in queries.items():
         line = F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line")
-        lines = query().select(line).limit(MAX_ROWS + 1).collect()  # at most MAX_ROWS + 1 short rows
-        if len(lines) > MAX_ROWS:
-            raise ValueError(f"dashboard query {name!r} has more than {MAX_ROWS} rows")
-        document[name] = [json.loads(row.line) for row in lines]
+        document[name] = [json.loads(row.line) for row in query().select(line).collect()]
     return json.dumps(document)
 
 
-def export_dashboard(spark: SparkSession, queries: dict[str, Callable[[], DataFrame]], out: str) -> DataFrame:
+def read_section(document: DataFrame, name: str, schema: T.StructType) -> DataFrame:
+    """The rows of one section of a document, under the schema of its query."""
+    rows = F.from_json(F.get_json_object("value", f"$.{name}"), T.ArrayType(schema))
+    return document.select(F.inline(rows))
+
+
+def export_dashboard(spark: SparkSession, queries: dict[str, Callable[[], DataFrame]], out: str, as_of=None) -> DataFrame:
     """Write the document once, complete, to the folder `out`; returns it as a one-row frame."""
-    text = dashboard_document(spark, queries)
+    text = dashboard_document(spark, queries, as_of)
     document = spark.range(1).select(F.lit(text).alias("value"))
     document.write.mode("overwrite").text(out)
     return document

@@ -7,15 +7,18 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.layouts import CARRIED, CUT, Layout, decode, long_enough, read_cuts, silver_rows
+from slotwise.functions.layouts import CARRIED, CUT, Layout, decode, decode_fields, long_enough, read_cuts, silver_rows
 from slotwise.functions.slots import slot_bucket
 from slotwise.operators.rows import side_by_side
 from slotwise.schemas import BUCKET_COLUMN, SILVER_TABLE
 from slotwise.session import work_dir
+from slotwise.sources.updates import read_filed, write_batch
+
+REBUILT = "rebuilt"
 
 
 def redecode(bronze: DataFrame, layouts: dict[str, Layout]) -> dict[str, DataFrame]:
-    """Silver tables by name, computed from stored payloads. Values that do not fit are left out, never wrapped."""
+    """Silver tables by name, computed from stored payloads. Values that do not fit are never wrapped: `decode_rejects` has them."""
     tables = {}
     for kind, layout in layouts.items():
         if kind in SILVER_TABLE:
@@ -24,9 +27,32 @@ def redecode(bronze: DataFrame, layouts: dict[str, Layout]) -> dict[str, DataFra
     return tables
 
 
+def decode_rejects(bronze: DataFrame, layouts: dict[str, Layout]) -> DataFrame:
+    """Records of a decoded kind that give no silver row: kind, version key, reason and the first field at fault.
+
+    Reasons are `short` and `overflow`. Nothing that was received leaves the tables without a row here.
+    """
+    parts = []
+    for kind, layout in layouts.items():
+        if kind not in SILVER_TABLE:
+            continue
+        key = [F.lit(kind).alias("kind"), "slot", "write_version", "pubkey"]
+        mine = bronze.filter(F.col("kind") == kind)
+        short = mine.filter(~long_enough(layout)).select(*key, F.lit("short").alias("reason"), F.lit("").alias("field"))
+        fields = decode_fields(mine, layout)
+        wide = [f.name for f in layout.fields if f.kind == "uint"]
+        at = F.coalesce(*[F.when(F.col(name).isNull(), name) for name in wide], F.lit(None).cast("string"))
+        over = fields.withColumn("field", at).filter("field is not null").select(*key, F.lit("overflow").alias("reason"), "field")
+        parts += [short, over]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def store_redecoded(bronze: DataFrame, layouts: dict[str, Layout], root: str) -> DataFrame:
     """Rebuild the silver tables below `root` with a single scan of the payloads; returns the counts.
 
+    The rows form a batch of their own, which replaces that of an earlier rebuild; batches of a live stream stay,
+    and rows that both hold collapse on read.
+
     The scan keeps only the bytes that decoding needs, filed by kind, and each table is decoded from
     its own file set. `redecode` alone would read all payloads once per kind. `bronze` has a `kind` column.
     """
@@ -45,9 +71,8 @@ def store_redecoded(bronze: DataFrame, layouts: dict[str, Layout], root: str) ->
     for kind, layout in layouts.items():
         mine = cuts.filter(F.col("kind") == kind)
         rows = silver_rows(read_cuts(mine.filter(F.col(CUT).isNotNull()), layout), layout)
-        target = f"{root}/{SILVER_TABLE[kind]}"
-        rows.filter(F.col("decode_status") != "overflow").drop("decode_status").write.mode("overwrite").parquet(target)
-        stored = spark.read.schema(rows.drop("decode_status").schema).parquet(target)
+        write_batch(rows.filter(F.col("decode_status") != "overflow").drop("decode_status"), root, SILVER_TABLE[kind], REBUILT)
+        stored = read_filed(spark, root, SILVER_TABLE[kind]).filter(F.col("batch_id") == REBUILT)
         short = mine.filter(F.col(CUT).isNull()).agg(F.count(F.lit(1)).alias("short"))
         whole = mine.agg(F.count(F.lit(1)).alias("records"))
         done = stored.agg(F.count(F.lit(1)).alias("decoded"))

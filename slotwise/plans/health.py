@@ -11,7 +11,7 @@ from slotwise.functions.base58 import readable
 from slotwise.functions.numbers import active_debt, flag_text, fraction, health_factor, health_ratio, padded_text
 from slotwise.operators.dedup import collapse, latest
 from slotwise.operators.ordering import page_after
-from slotwise.operators.quantiles import approximate_row, percentile_row, value_counts
+from slotwise.operators.quantiles import approximate_columns, percentile_row, value_counts
 from slotwise.operators.rows import side_by_side, top
 from slotwise.schemas import AT_RISK_HEALTH, HEALTH_SCALE, RADAR_HEALTH, VERSION_KEY
 from slotwise.session import stored
@@ -51,19 +51,23 @@ def _scaled(column: str):
 def health_distribution(snapshots: DataFrame, collapsed: bool = False, approximate: bool = False) -> DataFrame:
     """Count, extremes, percentiles and at-risk share of health over all rows with active debt."""
     active = _rows(snapshots, ["pubkey", HEALTH], collapsed).filter(active_debt())
-    counts = value_counts(active, HEALTH)
-    totals = counts.agg(
+    if approximate:
+        # One aggregate over the plain column: no table of counts is made.
+        counts = active.select(F.col(HEALTH).alias("v"), F.lit(1).alias("n"))
+        extra = approximate_columns("v", DISTRIBUTION)
+    else:
+        counts, extra = value_counts(active, HEALTH), []
+    one = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("valid_snapshots"),
         F.min("v").cast("double").alias("min_health"),
         F.max("v").cast("double").alias("max_health"),
         F.coalesce(F.sum(F.when(F.col("v") < AT_RISK_HEALTH, F.col("n")).otherwise(0)), F.lit(0)).alias("at_risk_below_1p05"),
+        *extra,
     )
-    if approximate:
-        found = approximate_row(active, HEALTH, DISTRIBUTION)
-    else:
-        found = percentile_row(counts, DISTRIBUTION)
+    if not approximate:
+        one = side_by_side(one, percentile_row(counts, DISTRIBUTION))
     share = F.col("at_risk_below_1p05") / F.nullif(F.col("valid_snapshots"), F.lit(0))
-    return side_by_side(totals, found).select(
+    return one.select(
         "valid_snapshots",
         _scaled("min_health"),
         *[_scaled(name) for name in DISTRIBUTION],

@@ -21,6 +21,7 @@ from slotwise.operators.quantiles import percentile_row, value_counts
 from slotwise.operators.rows import side_by_side
 from slotwise.plans.activity import _at
 from slotwise.schemas import (
+    SLOTS_PER_BUCKET,
     ALARM_EVERY,
     BUCKET_COLUMN,
     DEFAULT_STREAM,
@@ -30,6 +31,7 @@ from slotwise.schemas import (
     STALE_SECONDS,
     VERSION_KEY,
 )
+from slotwise.session import stored
 
 # --- gaps -------------------------------------------------------------------------------------
 
@@ -182,13 +184,31 @@ def gaps_companion(updates: DataFrame, threshold: int = GAP_TOLERANCE_SLOTS) ->
     outages = derive_gaps(updates, threshold).select(
         F.lit("outage").alias("hole"), F.lit("all").alias("kind"), "start_slot", "end_slot", F.col("slots_missed").alias("size")
     )
-    faults = updates.filter(is_fault()).groupBy("kind").agg(
-        F.min("slot").alias("start_slot"), F.max("slot").alias("end_slot"), F.count(F.lit(1)).alias("size")
-    )
-    payloads = faults.select(F.lit("payload").alias("hole"), "kind", "start_slot", "end_slot", "size")
+    payloads = payload_holes(updates).select(F.lit("payload").alias("hole"), "kind", "start_slot", "end_slot", "size")
     return outages.unionByName(payloads)
 
 
+def payload_holes(updates: DataFrame) -> DataFrame:
+    """Runs of destroyed payloads per kind: faults with no slot of sound payloads of that kind between them.
+
+    A run is known by the last sound slot before it. That slot is found inside buckets of slots first and then
+    carried over bucket borders, so no window holds a whole kind.
+    """
+    fault = is_fault()
+    slots = updates.groupBy("kind", "slot").agg(
+        F.count_if(fault).alias("faults"), F.count_if(~fault & (payload_shape() == "ok")).alias("sound")
+    )
+    slots = slots.withColumn("__cell", F.expr(f"slot div {SLOTS_PER_BUCKET}"))
+    slots = slots.withColumn("__sound", F.when((F.col("faults") == 0) & (F.col("sound") > 0), F.col("slot")))
+    inside = Window.partitionBy("kind", "__cell").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("kind").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)  # one row per bucket
+    cells = slots.groupBy("kind", "__cell").agg(F.max("__sound").alias("__top"))
+    cells = cells.select("kind", "__cell", F.max("__top").over(before).alias("__carried"))
+    marked = slots.withColumn("__last", F.max("__sound").over(inside)).join(cells, ["kind", "__cell"])
+    runs = marked.filter("faults > 0").groupBy("kind", F.coalesce("__last", "__carried", F.lit(-1)).alias("__run"))
+    return runs.agg(F.min("slot").alias("start_slot"), F.max("slot").alias("end_slot"), F.sum("faults").alias("size")).drop("__run")
+
+
 # --- payload shape ----------------------------------------------------------------------------
 
 
@@ -228,21 +248,34 @@ def loss_report(updates: DataFrame, snapshots: DataFrame) -> DataFrame:
 
     `confirmed_keys` are lost keys that some snapshot knows.
     """
-    lost = updates.filter(is_fault())
     millis = F.unix_millis(F.col("ingested_at").cast("timestamp"))
+    # The updates are read once; everything else comes from one row per (kind, key) of the faults.
+    lost = stored(
+        updates.filter(is_fault())
+        .groupBy("kind", "pubkey")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("slot").alias("first_slot"),
+            F.max("slot").alias("last_slot"),
+            F.min(millis).alias("first_ms"),
+            F.max(millis).alias("last_ms"),
+        ),
+        "lost",
+    )
     totals = lost.agg(
-        F.count(F.lit(1)).alias("lost_rows"),
-        F.min("slot").alias("first_slot"),
-        F.max("slot").alias("last_slot"),
-        F.min(millis).alias("first_ms"),
-        F.max(millis).alias("last_ms"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("lost_rows"),
+        F.min("first_slot").alias("first_slot"),
+        F.max("last_slot").alias("last_slot"),
+        F.min("first_ms").alias("first_ms"),
+        F.max("last_ms").alias("last_ms"),
     )
     kinds = lost.select("kind").distinct().agg(F.count(F.lit(1)).alias("lost_kinds"))
     lost_keys = lost.select("pubkey").distinct()
     keys = lost_keys.agg(F.count(F.lit(1)).alias("lost_keys"))
-    confirmed = lost_keys_known(updates, snapshots).agg(F.count(F.lit(1)).alias("confirmed_keys"))
+    known = lost_keys.join(snapshots.select("pubkey").distinct(), "pubkey", "left_semi")
+    confirmed = known.agg(F.count(F.lit(1)).alias("confirmed_keys"))
     # One row, so the lookup of what came back is a scalar, not a join.
-    end = lost.agg(F.max("slot").alias("end")).scalar()
+    end = lost.agg(F.max("last_slot").alias("end")).scalar()
     restored = snapshots.filter(F.col("slot") > end).agg(F.min("slot").alias("first_restored_slot"))
     seconds = F.expr("last_ms div 1000 - first_ms div 1000")
     return side_by_side(totals, kinds, keys, confirmed, restored).select(
@@ -309,7 +342,8 @@ def kind_freeze_audit(updates: DataFrame, lag_slots: int) -> DataFrame:
     found = kinds.join(successors, "kind").withColumn("successor", F.when(F.col("frozen"), F.col("successor")))
 
     pairs = found.filter(F.col("successor").isNotNull()).select("kind", "successor")
-    before = per_key.join(pairs, "kind").select(F.col("kind").alias("frozen_kind"), "pubkey", F.col("successor").alias("kind"))
+    # One kind may hold most keys: its single row of `pairs` (one per frozen kind) goes to them, not they to it.
+    before = per_key.join(F.broadcast(pairs), "kind").select(F.col("kind").alias("frozen_kind"), "pubkey", F.col("successor").alias("kind"))
     shared = before.join(per_key.select("kind", "pubkey"), ["kind", "pubkey"])
     shared = shared.groupBy(F.col("frozen_kind").alias("kind")).agg(F.count(F.lit(1)).alias("shared_keys"))
     successor_keys = kinds.select(F.col("kind").alias("successor"), F.col("keys").alias("successor_keys"))

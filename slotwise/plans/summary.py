@@ -166,19 +166,20 @@ def dump_rows_with_run(rows: DataFrame, runs: DataFrame) -> DataFrame:
     """State-dump rows with the run they belong to.
 
     A row carries the slot of its own page and the run carries the newest one, so equality would miss
-    the earlier pages: a row belongs to the first run at or after its slot. Runs are cut at slot-bucket
-    borders, which turns the range condition into an equality on the bucket plus a filter.
+    the earlier pages: a row belongs to the runs at the first run slot at or after its own; of two scopes
+    at one slot, to both. The distinct page slots meet the runs first, cut at slot-bucket borders, and the
+    rows then meet their own slot, so that a dump in one bucket is not gathered.
     """
-    ends = collapse_table(runs, "snapshot_runs").groupBy("slot").agg(F.max("scope").alias("scope"))
-    ordered = Window.orderBy("slot")  # one row per run
-    spans = ends.select(
-        F.col("slot").alias("run_slot"), "scope", F.coalesce(F.lag("slot").over(ordered), F.lit(-1)).alias("after_slot")
-    )
+    runs = collapse_table(runs, "snapshot_runs").select(F.col("slot").alias("run_slot"), "scope")
+    ordered = Window.orderBy("run_slot")  # one row per run slot
+    spans = runs.select("run_slot").distinct()
+    spans = spans.withColumn("after_slot", F.coalesce(F.lag("run_slot").over(ordered), F.lit(-1)))
     cells = spans.withColumn(
         "cell",
         F.explode(F.expr(f"sequence((after_slot + 1) div {SLOTS_PER_BUCKET}, run_slot div {SLOTS_PER_BUCKET})")),
     )
     dumped = rows.filter(F.col("write_version") == STATE_DUMP_WRITE_VERSION)
-    dumped = dumped.withColumn("cell", F.expr(f"slot div {SLOTS_PER_BUCKET}"))
+    pages = dumped.select("slot").distinct().withColumn("cell", F.expr(f"slot div {SLOTS_PER_BUCKET}"))
     inside = (F.col("slot") > F.col("after_slot")) & (F.col("slot") <= F.col("run_slot"))
-    return dumped.join(cells, "cell").filter(inside).drop("cell", "after_slot")
+    found = pages.join(cells, "cell").filter(inside).join(runs, "run_slot").select("slot", "run_slot", "scope")
+    return dumped.join(found, "slot")

@@ -52,7 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/slotwise/{purpose}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/slotwise/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no frame that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/slotwise/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df, purpose: str = "stored"):

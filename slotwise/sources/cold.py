@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise.functions import base58
+from slotwise.functions.numbers import require_key
 from slotwise.functions.slots import bucket_name, slot_bucket
 from slotwise.operators.dedup import collapse
 from slotwise.plans.quality import gaps_companion
@@ -20,8 +21,6 @@ from slotwise.sources.updates import with_late_columns
 
 FILE_ORDER = ("slot", "write_version", "pubkey")
 COLD_TABLES = {"account_updates": True, "obligation_snapshots": False}  # name -> required
-# What a broadcast of repeated keys or of cells may hold at most; about 150 bytes each in memory.
-MAX_BROADCAST_KEYS = 1_000_000
 CELL_SLOTS = 1000
 ROWS_PER_FILE = 1_000_000
 
@@ -53,9 +52,9 @@ def _collapse_once(df: DataFrame, version: str = "ingested_at") -> DataFrame:
     """Collapse wide rows while reading and moving the payload as little as possible.
 
     A first pass over the key and version columns writes down which keys occur more than once and which
-    version wins. When these are few, they are broadcast, and one scan of the wide rows keeps or drops
-    each row where it is. Keys whose newest version occurs several times go through `collapse`, and so
-    does everything when there are too many repeated keys to broadcast.
+    version wins; one scan of the wide rows then keeps or drops each row. Spark picks the join by the list's
+    measured size: a broadcast while it is small, so that wide rows stay where they are, else a sort-merge
+    join with skew handling. Keys whose newest version occurs several times go through `collapse`.
     """
     spark, keys = df.sparkSession, list(VERSION_KEY)
     per_version = df.groupBy(*keys, version).agg(F.count(F.lit(1)).alias("n"))
@@ -65,15 +64,13 @@ def _collapse_once(df: DataFrame, version: str = "ingested_at") -> DataFrame:
     # A key without any version cannot be decided here either.
     ties = F.when(F.col("__newest").isNull(), 2).otherwise(F.col("__ties")).alias("__ties")
     repeated = stored(per_key.filter(F.col("__copies") > 1).select(*keys, "__newest", ties), "repeated-keys")
-    if repeated.count() > MAX_BROADCAST_KEYS:
-        return collapse(df)
-    marked = df.join(F.broadcast(repeated), keys, "left")
+    marked = df.join(repeated, keys, "left")
     decided = F.col("__ties").isNull() | ((F.col("__ties") == 1) & (F.col(version) == F.col("__newest")))
     rows = marked.filter(decided).select(*df.columns)
     tied = repeated.filter(F.col("__ties") > 1)
     if tied.isEmpty():
         return rows
-    return rows.unionByName(collapse(df.join(F.broadcast(tied), keys, "left_semi"), keys, version))
+    return rows.unionByName(collapse(df.join(tied, keys, "left_semi"), keys, version))
 
 
 def _file_plan(df: DataFrame) -> DataFrame:
@@ -100,15 +97,25 @@ def _lay_out(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Bring the rows of each file together.
 
     `repartitionByRange` would do the same, but samples its input first, and with it reads every payload
-    a second time. It remains for histories with more cells than may be broadcast.
+    a second time.
     """
-    if plan.count() > MAX_BROADCAST_KEYS:
-        return rows.repartitionByRange(*FILE_ORDER)
-    placed = rows.withColumn("__cell", F.expr(f"slot div {CELL_SLOTS}")).join(F.broadcast(plan), "__cell", "left")
+    placed = rows.withColumn("__cell", F.expr(f"slot div {CELL_SLOTS}")).join(plan, "__cell", "left")
     piece = F.pmod(F.xxhash64("write_version", "pubkey"), F.col("__pieces"))
     return placed.repartition("__bucket", "__file", piece).select(*rows.columns)
 
 
+def _checked(df: DataFrame) -> DataFrame:
+    """The rows; the export fails, naming field and slot, on a null version key or a binary key that is not 32 bytes."""
+    for name in VERSION_KEY:
+        if isinstance(df.schema[name].dataType, T.BinaryType):
+            df = df.withColumn(name, require_key(name))
+        else:
+            message = F.concat(F.lit(f"{name} is null at slot "), F.coalesce(F.col("slot").cast("string"), F.lit("null")))
+            missing = F.raise_error(message).cast(df.schema[name].dataType)
+            df = df.withColumn(name, F.when(F.col(name).isNull(), missing).otherwise(F.col(name)))
+    return df
+
+
 def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: bool = False) -> ExportResult:
     """Write or continue the cold copy of a table.
 
@@ -131,16 +138,21 @@ def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: b
         df = df.filter(F.expr(f"slot div {SLOTS_PER_BUCKET}").isin([int(b) // SLOTS_PER_BUCKET for b in todo]))
 
     (
-        _lay_out(_collapse_once(df), plan)
+        _lay_out(_collapse_once(_checked(df)), plan)
         .withColumn(BUCKET_COLUMN, slot_bucket())
         .sortWithinPartitions(BUCKET_COLUMN, *FILE_ORDER)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if full else "dynamic")
+        .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
         .option("parquet.compression.codec.zstd.level", "3")
         .partitionBy(BUCKET_COLUMN)
         .parquet(path)
     )
+    if full:
+        # Only now do buckets go that the source no longer has; a failed export leaves the old copy whole.
+        for bucket in sorted(have - set(present)):
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BUCKET_COLUMN}={bucket}")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
     return ExportResult(table, path, tuple(todo), tuple(skipped))
 
 

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotwise.functions.base58 import base58_decode
 from slotwise.functions.kinds import classify_kind, only_kinds
-from slotwise.functions.layouts import Layout, long_enough
-from slotwise.plans.decoding import redecode
-from slotwise.schemas import DECODED_KINDS, STATE_DUMP_WRITE_VERSION
+from slotwise.functions.layouts import Layout
+from slotwise.operators.rows import side_by_side
+from slotwise.plans.decoding import decode_rejects, redecode
+from slotwise.schemas import DECODED_KINDS, SCHEMAS, STATE_DUMP_WRITE_VERSION
+from slotwise.session import ship_package
+from slotwise.sources.updates import read_filed, write_batch
 
 _ACCOUNT = "struct<pubkey: string, account: struct<owner: string, lamports: bigint, data: array<string>>>"
 # A page is the bare result or the whole response around it.
@@ -23,13 +27,17 @@ PAGE_SCHEMA = (
 SCOPES = ("known", "all")
 # Bytes of the payload that name its owner; the first of them cuts a dump into 256 pages.
 OWNER_OFFSET = 64
-_SALTS = 64
 
 
 @dataclass(frozen=True)
 class StateDump:
     rows: DataFrame  # bronze rows, write_version 0
-    errors: DataFrame  # (source, pubkey, reason)
+    marked: DataFrame  # every account with the reason it cannot be loaded, if any
+
+    @property
+    def errors(self) -> DataFrame:
+        """(source, pubkey, reason) of what cannot be loaded."""
+        return _errors(self.marked)
 
 
 def load_state_dump(spark: SparkSession, path: str, scope: str = "known", page_per_line: bool = False) -> StateDump:
@@ -48,7 +56,8 @@ def load_state_dump(spark: SparkSession, path: str, scope: str = "known", page_p
         F.explode_outer(F.coalesce("value", "result.value")).alias("a"),
     )
     # One page is one task up to here. Its accounts are spread before the costly part.
-    accounts = accounts.repartition("source", F.pmod(F.xxhash64("a.pubkey"), F.lit(_SALTS)))
+    salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    accounts = accounts.repartition("source", F.pmod(F.xxhash64("a.pubkey"), F.lit(salts)))
     text = F.get(F.col("a.account.data"), 0)
     parsed = accounts.select(
         "source",
@@ -59,6 +68,7 @@ def load_state_dump(spark: SparkSession, path: str, scope: str = "known", page_p
         F.coalesce("a.account.lamports", F.lit(0)).alias("lamports"),
         F.expr("try_to_binary(get(a.account.data, 0), 'base64')").alias("data"),
         text.isNotNull().alias("has_data"),
+        F.when(F.col("a").isNotNull(), F.lit(True)).alias("has_account"),
     )
     reason = (
         F.when(F.col("slot").isNull(), "page has no slot")
@@ -83,8 +93,11 @@ def load_state_dump(spark: SparkSession, path: str, scope: str = "known", page_p
         F.length("data").cast("bigint").alias("data_len"),
         F.current_timestamp().alias("ingested_at"),
     )
-    errors = marked.filter(F.col("reason").isNotNull()).select("source", F.col("key_text").alias("pubkey"), "reason")
-    return StateDump(rows, errors)
+    return StateDump(rows, marked)
+
+
+def _errors(marked: DataFrame) -> DataFrame:
+    return marked.filter(F.col("reason").isNotNull()).select("source", F.col("key_text").alias("pubkey"), "reason")
 
 
 def owner_page(data: str = "data", offset: int = OWNER_OFFSET):
@@ -108,18 +121,24 @@ def page_counts(rows: DataFrame, data: str = "data", offset: int = OWNER_OFFSET)
     return rows.groupBy(owner_page(data, offset).alias("owner_page")).agg(F.count(F.lit(1)).alias("accounts"))
 
 
-def run_row(rows: DataFrame, layouts: dict[str, Layout], scope: str, duration_ms: int) -> DataFrame:
-    """The provenance row of a load, dated at its newest page."""
-    failed = F.lit(False)
-    for kind in DECODED_KINDS:
-        if kind in layouts:
-            failed = failed | ((F.col("kind") == kind) & ~long_enough(layouts[kind]))
-    return rows.agg(
-        F.max("slot").alias("slot"),
+def run_row(spark: SparkSession, root: str, batch: str, accounts: int, scope: str, duration_ms: int) -> DataFrame:
+    """The provenance row of a stored load, dated at its newest page.
+
+    `accounts` are all that the pages hold, of any kind and bad ones included; `rows_written` what was stored; `decode_failures`
+    stored records of a decoded kind that gave no silver row.
+    """
+    kept = read_filed(spark, root, "account_updates").filter(F.col("batch_id") == batch)
+    failed = spark.read.parquet(f"{root}/rejected_snapshots/batch_id={batch}")
+    one = side_by_side(
+        kept.agg(F.max("slot").alias("slot"), F.count(F.lit(1)).alias("rows_written")),
+        failed.agg(F.count(F.lit(1)).alias("decode_failures")),
+    )
+    return one.select(
+        "slot",
         F.lit(scope).alias("scope"),
-        F.count(F.lit(1)).alias("accounts"),
-        F.count(F.lit(1)).alias("rows_written"),
-        F.count_if(failed).alias("decode_failures"),
+        F.lit(accounts).cast("bigint").alias("accounts"),
+        "rows_written",
+        "decode_failures",
         F.lit(duration_ms).cast("bigint").alias("duration_ms"),
         F.current_timestamp().alias("ingested_at"),
     )
@@ -133,15 +152,20 @@ def store_state_dump(
     Raw rows are stored first and decoded from there, whether or not they decode. An empty dump is
     refused: recording it would claim that there are no accounts. The stream's position is left alone.
     """
+    ship_package(spark)
     started = time.monotonic()
-    batch = f"batch_id=dump-{time.time_ns()}"
+    batch = f"dump-{uuid.uuid4().hex}"
     dump = load_state_dump(spark, path, scope, page_per_line)
-    dump.rows.write.mode("overwrite").parquet(f"{root}/account_updates/{batch}")
-    stored = spark.read.schema(dump.rows.schema).parquet(f"{root}/account_updates/{batch}")
+    write_batch(dump.rows, root, "account_updates", batch)
+    seen = Observation()
+    marked = dump.marked.observe(seen, F.count("has_account").alias("accounts"))
+    _errors(marked).write.parquet(f"{root}/dump_errors/batch_id={batch}")
+    stored = read_filed(spark, root, "account_updates").filter(F.col("batch_id") == batch).select(*SCHEMAS["account_updates"].fieldNames())
     if stored.isEmpty():
         raise ValueError(f"{path} holds no accounts; an empty dump is not recorded")
     for table, decoded in redecode(stored, layouts).items():
-        decoded.write.mode("overwrite").parquet(f"{root}/{table}/{batch}")
-    run = run_row(stored, layouts, scope, int((time.monotonic() - started) * 1000))
-    run.write.mode("overwrite").parquet(f"{root}/snapshot_runs/{batch}")
-    return spark.read.schema(run.schema).parquet(f"{root}/snapshot_runs/{batch}")
+        write_batch(decoded, root, table, batch)
+    decode_rejects(stored, layouts).write.parquet(f"{root}/rejected_snapshots/batch_id={batch}")
+    run = run_row(spark, root, batch, seen.get["accounts"], scope, int((time.monotonic() - started) * 1000))
+    run.write.parquet(f"{root}/snapshot_runs/batch_id={batch}")
+    return spark.read.schema(run.schema).parquet(f"{root}/snapshot_runs/batch_id={batch}")

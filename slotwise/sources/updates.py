@@ -1,14 +1,21 @@
-"""The change stream as a source, and the tables that ingest writes."""
+"""The change stream as a source, and the tables that ingest writes.
+
+Raw and decoded rows are filed by slot bucket and then by batch, so that a range of slots reads only its folders, a
+batch that is tried again replaces itself, and closed buckets can be compacted.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise.functions.kinds import only_kinds
 from slotwise.functions.numbers import valid_key
-from slotwise.schemas import LATE_COLUMNS, SCHEMAS
+from slotwise.functions.slots import slot_between, slot_bucket
+from slotwise.schemas import BUCKET_COLUMN, LATE_COLUMNS, SCHEMAS
 
 # What arrives: everything else in `account_updates` is derived.
 WIRE_SCHEMA = T.StructType(
@@ -25,15 +32,24 @@ _MESSAGE = "slot bigint, write_version bigint, pubkey string, owner string, lamp
 
 
 def parse_messages(messages: DataFrame) -> DataFrame:
-    """Wire records from JSON messages in a `value` column; the three byte fields are base64."""
-    body = F.from_json(F.col("value").cast("string"), _MESSAGE).alias("m")
-    return messages.select(body).select(
+    """Wire records from JSON messages in a `value` column; the three byte fields are strict base64.
+
+    `message` keeps the text of a message that is no JSON object or holds bytes that are not base64, for its reject row.
+    """
+    value = F.col("value").cast("string")
+    bytes_of = {c: F.expr(f"try_to_binary(m.{c}, 'base64')") for c in ("pubkey", "owner", "data")}
+    rows = messages.select(F.from_json(value, _MESSAGE).alias("m"), value.alias("message"))
+    broken = F.col("m.slot").isNull()
+    for c, decoded in bytes_of.items():
+        broken = broken | (F.col(f"m.{c}").isNotNull() & decoded.isNull())
+    return rows.select(
         "m.slot",
         "m.write_version",
-        F.unbase64("m.pubkey").alias("pubkey"),
-        F.unbase64("m.owner").alias("owner"),
+        bytes_of["pubkey"].alias("pubkey"),
+        bytes_of["owner"].alias("owner"),
         "m.lamports",
-        F.unbase64("m.data").alias("data"),
+        bytes_of["data"].alias("data"),
+        F.when(broken, F.col("message")).alias("message"),
     )
 
 
@@ -68,6 +84,7 @@ def reject_reason():
         .when(F.coalesce(F.col("slot") < 0, F.lit(True)), "slot is missing or negative")
         .when(F.coalesce(F.col("write_version") < 0, F.lit(True)), "write_version is missing or negative")
         .when(F.coalesce(F.col("lamports") < 0, F.lit(True)), "lamports is missing or negative")
+        .when(F.col("data").isNull(), "data is missing or not base64")
     )
 
 
@@ -77,7 +94,54 @@ def with_late_columns(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(late) if late else df
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A bronze or silver table, files of all ages under one fixed schema."""
-    rows = spark.read.schema(SCHEMAS[table]).option("recursiveFileLookup", "true").parquet(f"{root}/{table}")
-    return with_late_columns(rows, table)
+def _filed(schema: T.StructType) -> T.StructType:
+    # Declared as text: inference would turn the padded number of a bucket into an integer.
+    return T.StructType([*schema.fields, T.StructField(BUCKET_COLUMN, T.StringType()), T.StructField("batch_id", T.StringType())])
+
+
+def write_batch(df: DataFrame, root: str, table: str, batch: str) -> None:
+    """File rows of a table with slots under their buckets as one batch, in place of an earlier attempt at it."""
+    rows = df.withColumn(BUCKET_COLUMN, slot_bucket()).withColumn("batch_id", F.lit(batch))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(BUCKET_COLUMN, "batch_id").parquet(f"{root}/{table}")
+
+
+def read_filed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """Rows of a filed table with their bucket and batch."""
+    return spark.read.schema(_filed(SCHEMAS[table])).parquet(f"{root}/{table}")
+
+
+def read_table(spark: SparkSession, root: str, table: str, slots: tuple[int, int] | None = None) -> DataFrame:
+    """A bronze or silver table, files of all ages under one fixed schema; of `slots` [from, to) only those folders are read."""
+    rows = read_filed(spark, root, table)
+    if slots is not None:
+        rows = slot_between(rows, *slots)
+    return with_late_columns(rows.select(*SCHEMAS[table].fieldNames()), table)
+
+
+def compact(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Merge the batches of every closed bucket (all but the newest) into one each; returns those buckets.
+
+    The merged copy is complete before the batches go. A reader in between sees rows twice, which collapse on read, and
+    never a hole. A batch that is tried again afterwards files its rows once more, which collapses as well.
+    """
+    top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def folders(path, prefix: str) -> list:
+        return [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith(prefix)]
+
+    buckets = sorted(folders(top, f"{BUCKET_COLUMN}="), key=lambda p: p.getName())[:-1]
+    batches = {p.getName().split("=", 1)[1]: folders(p, "batch_id=") for p in buckets}
+    todo = {b: paths for b, paths in batches.items() if len(paths) > 1}
+    if not todo:
+        return []
+    names = sorted({p.getName().split("=", 1)[1] for paths in todo.values() for p in paths})
+    rows = read_filed(spark, root, table).filter(F.col(BUCKET_COLUMN).isin(list(todo)) & F.col("batch_id").isin(names))
+    merged = rows.withColumn("batch_id", F.lit(f"compact-{uuid.uuid4().hex}")).hint("rebalance", BUCKET_COLUMN)
+    merged = merged.sortWithinPartitions(BUCKET_COLUMN, "slot", "write_version")
+    merged.write.mode("append").partitionBy(BUCKET_COLUMN, "batch_id").parquet(f"{root}/{table}")
+    for paths in todo.values():
+        for path in paths:
+            fs.delete(path, True)
+    return sorted(todo)

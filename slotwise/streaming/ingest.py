@@ -1,13 +1,17 @@
 """Ingest: one stream of wire records into bronze, three silver tables, positions, gaps and guard rows.
 
-Every micro-batch writes its share of each table to a folder named after the batch, replacing it if the
+Every micro-batch writes its share of each table to folders named after the batch, replacing them if the
 batch is tried again, and the position last. Spark commits the stream's own offsets after that. A crash
 at any point therefore repeats a batch, and repeated rows collapse on read; it cannot leave a hole.
+
+Batch numbers start again with new offsets, so a batch is named after its run as well. A run lasts as long as
+its offsets: its id is kept beside them, and no run ever writes into the folders of another.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -19,10 +23,11 @@ from pyspark.sql.streaming import StreamingQuery
 from slotwise.functions.kinds import with_derived
 from slotwise.functions.layouts import Layout
 from slotwise.functions.verdicts import is_fault
-from slotwise.plans.decoding import redecode
+from slotwise.plans.decoding import decode_rejects, redecode
 from slotwise.plans.quality import gap_rows
 from slotwise.schemas import DEFAULT_STREAM, SCHEMAS
-from slotwise.sources.updates import reject_reason
+from slotwise.session import ship_package
+from slotwise.sources.updates import reject_reason, write_batch
 
 # Fixed value: how often a partial batch is written.
 FLUSH_SECONDS = 2
@@ -35,9 +40,10 @@ def _put(df: DataFrame, root: str, table: str, batch: str) -> None:
 def write_tables(rows: DataFrame, root: str, batch: str, layouts: dict[str, Layout]) -> None:
     """Raw rows first, then the decoded ones computed from the same batch."""
     columns = SCHEMAS["account_updates"].fieldNames()
-    _put(rows.select(*columns), root, "account_updates", batch)
+    write_batch(rows.select(*columns), root, "account_updates", batch)
     for table, decoded in redecode(rows, layouts).items():
-        _put(decoded, root, table, batch)
+        write_batch(decoded, root, table, batch)
+    _put(decode_rejects(rows, layouts), root, "rejected_snapshots", batch)
 
 
 def _figures(marked: DataFrame) -> Row:
@@ -57,10 +63,14 @@ def _figures(marked: DataFrame) -> Row:
     ).first()
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_batches(spark: SparkSession, root: str, table: str, schema=None) -> DataFrame | None:
     """All batches of a table, or None before the first one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not _exists(spark, f"{root}/{table}"):
         return None
     reader = spark.read.schema(schema or SCHEMAS[table]).option("recursiveFileLookup", "true")
     return reader.parquet(f"{root}/{table}")
@@ -70,22 +80,31 @@ GUARD_SCHEMA = "updates bigint, impossible bigint, closed bigint, first_slot big
 
 
 def read_position(spark: SparkSession, root: str, stream: str = DEFAULT_STREAM) -> int | None:
-    """Slot to resume from, inclusive; None on a first run. Position 0 is a position.
-
-    Only the newest batch is read: there is one small file per batch, and their names sort by age.
-    """
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/ingest_checkpoint")
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
+    """Slot to resume from, inclusive; None on a first run. Position 0 is a position."""
+    rows = read_batches(spark, root, "ingest_checkpoint")
+    if rows is None:
         return None
-    names = [s.getPath().getName() for s in fs.listStatus(path)]
-    mine = [n for n in names if n.startswith(f"batch_id={stream}-")]
-    # A batch that failed before its commit leaves a folder without rows; the one before it counts.
-    for name in sorted(mine, reverse=True):
-        rows = spark.read.schema(SCHEMAS["ingest_checkpoint"]).parquet(f"{root}/ingest_checkpoint/{name}").take(1)
-        if rows:
-            return rows[0].last_slot
-    return None
+    mine = rows.filter(F.col("stream") == stream)
+    return mine.agg(F.max_by("last_slot", F.struct("last_slot", "last_write_version"))).first()[0]
+
+
+@dataclass(frozen=True)
+class Run:
+    """One life of a stream's offsets: its id, and the slot it began at (None: at the source's start)."""
+
+    id: str
+    start_slot: int | None
+
+
+def run_of(spark: SparkSession, offsets: str, position: int | None) -> Run:
+    """The run that the offsets belong to; a new one, which begins at `position`, when there are none."""
+    path, schema = f"{offsets}/run", "id string, start_slot bigint"
+    found = spark.read.schema(schema).json(path).take(1) if _exists(spark, path) else []
+    if not found:
+        row = [(uuid.uuid4().hex, position)]
+        spark.createDataFrame(row, schema).coalesce(1).write.mode("overwrite").json(path)
+        return Run(*row[0])
+    return Run(found[0].id, found[0].start_slot)
 
 
 @dataclass
@@ -99,9 +118,10 @@ class Ingest:
     session: str = field(default_factory=lambda: f"s{int(time.time() * 1000)}")
     resume_from: int | None = None
     judged: bool = False
+    run: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        name = f"{self.stream}-{batch_id:09d}"
+        name = f"{self.stream}-{self.run}-{batch_id:09d}"
         marked = with_derived(batch).withColumn("reason", reject_reason()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             seen = _figures(marked)
@@ -135,16 +155,25 @@ def start_ingest(
     layouts: dict[str, Layout],
     stream: str = DEFAULT_STREAM,
     available_now: bool = False,
+    offsets: str | None = None,
 ) -> StreamingQuery:
     """Start ingesting a streaming frame of wire records into the tables below `root`.
 
     Runs every two seconds, or drains what is there and stops with `available_now`. The batch size is the
-    source's own option (maxFilesPerTrigger, maxOffsetsPerTrigger). Progress is kept below `root`, so a
-    second start continues where the first one ended.
+    source's own option (maxFilesPerTrigger, maxOffsetsPerTrigger). Offsets are kept per stream, below `root`
+    unless `offsets` names a folder, and a second start continues where the first one ended. With new offsets,
+    as after a loss or a change of source, the stream begins at its stored position, inclusively.
     """
     spark = wire.sparkSession
-    job = Ingest(spark, root, layouts, stream, resume_from=read_position(spark, root, stream))
-    writer = wire.writeStream.foreachBatch(job.on_batch).option("checkpointLocation", f"{root}/_offsets")
+    ship_package(spark)
+    offsets = offsets or f"{root}/_offsets/{stream}"
+    position = read_position(spark, root, stream)
+    run = run_of(spark, offsets, position)
+    if run.start_slot is not None:
+        # Records without a slot have no place before or after; they pass, to be set aside with a reason.
+        wire = wire.filter(F.coalesce(F.col("slot") >= run.start_slot, F.lit(True)))
+    job = Ingest(spark, root, layouts, stream, resume_from=position, run=run.id)
+    writer = wire.writeStream.foreachBatch(job.on_batch).option("checkpointLocation", offsets)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{FLUSH_SECONDS} seconds")
     return writer.start()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,15 +12,12 @@ from slotwise.functions.verdicts import payload_shape
 from slotwise.operators.rows import side_by_side
 from slotwise.plans.activity import flow_column
 from slotwise.schemas import DECODED_KINDS, MILLIS_PER_SLOT
+from slotwise.streaming.ingest import read_batches, run_of
 
 
-def flow_by_minute(updates: DataFrame, delay: str = "2 minutes", kinds=DECODED_KINDS) -> DataFrame:
-    """Writes per minute as a streaming aggregate; rows older than the watermark are dropped.
-
-    How many were dropped is reported by the query's own progress (numRowsDroppedByWatermark).
-    """
-    windowed = updates.withWatermark("ingested_at", delay).groupBy(F.window("ingested_at", "1 minute"))
-    counts = windowed.agg(
+def flow_by_minute(updates: DataFrame, kinds=DECODED_KINDS) -> DataFrame:
+    """Writes per minute of a batch of updates."""
+    counts = updates.groupBy(F.window("ingested_at", "1 minute")).agg(
         F.count(F.lit(1)).alias("writes"),
         *[F.count_if(F.col("kind") == kind).alias(flow_column(kind)) for kind in kinds],
         F.sum("data_len").alias("bytes"),
@@ -28,6 +25,28 @@ def flow_by_minute(updates: DataFrame, delay: str = "2 minutes", kinds=DECODED_K
     return counts.select(F.unix_seconds("window.start").alias("minute"), *[c for c in counts.columns if c != "window"])
 
 
+def start_flow_monitor(updates: DataFrame, root: str, kinds=DECODED_KINDS, seconds: int = 10, available_now: bool = False) -> StreamingQuery:
+    """Record the writes per minute of each micro-batch.
+
+    Counts are partial and add up on reading, so there is neither state nor a watermark: no row is too late,
+    and the newest minutes are there at once.
+    """
+    run = run_of(updates.sparkSession, f"{root}/_flow_offsets", None)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        flow_by_minute(batch, kinds).write.mode("overwrite").parquet(f"{root}/flow/batch_id={run.id}-{batch_id:09d}")
+
+    writer = updates.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{root}/_flow_offsets")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
+    return writer.start()
+
+
+def read_flow(spark: SparkSession, root: str) -> DataFrame:
+    """Writes per minute over all batches."""
+    rows = spark.read.parquet(f"{root}/flow").drop("batch_id")
+    return rows.groupBy("minute").agg(*[F.sum(c).alias(c) for c in rows.columns if c != "minute"])
+
+
 def running_shapes(updates: DataFrame) -> DataFrame:
     """Payload shapes over the whole stream so far (update or complete mode)."""
     return updates.groupBy(payload_shape().alias("shape")).agg(
@@ -67,6 +86,7 @@ class LagMonitor:
     """Appends one row per micro-batch: the highest tip and update slots so far and the newest message time."""
 
     root: str
+    run: str
     tip_slot: int | None = None
     processed_slot: int | None = None
 
@@ -86,12 +106,20 @@ class LagMonitor:
         row = (self.tip_slot, self.processed_slot, seen.updates, seen.newest)
         spark = batch.sparkSession
         line = spark.createDataFrame([row], MONITOR_SCHEMA).coalesce(1)
-        line.write.mode("overwrite").parquet(f"{self.root}/lag/batch_id={batch_id:09d}")
+        line.write.mode("overwrite").parquet(f"{self.root}/lag/batch_id={self.run}-{batch_id:09d}")
 
 
 def start_lag_monitor(messages: DataFrame, root: str, seconds: int = 10, available_now: bool = False) -> StreamingQuery:
-    """Follow a stream of (event: slot | account, slot, produced_at) messages and record the lag."""
-    writer = messages.writeStream.foreachBatch(LagMonitor(root).on_batch).option("checkpointLocation", f"{root}/_lag_offsets")
+    """Follow a stream of (event: slot | account, slot, produced_at) messages and record the lag.
+
+    A restart goes on from the highest slots on record, so neither reading moves back.
+    """
+    spark, offsets = messages.sparkSession, f"{root}/_lag_offsets"
+    monitor = LagMonitor(root, run_of(spark, offsets, None).id)
+    before = read_batches(spark, root, "lag", MONITOR_SCHEMA)
+    if before is not None:
+        monitor.tip_slot, monitor.processed_slot = before.agg(F.max("tip_slot"), F.max("processed_slot")).first()
+    writer = messages.writeStream.foreachBatch(monitor.on_batch).option("checkpointLocation", offsets)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")
     return writer.start()
 

@@ -47,3 +47,20 @@ def test_hot_keys_are_combined_before_the_shuffle(spark, sf):
     o = S.obligation_snapshots(spark, sf)
     for df, agg in ((activity.activity(S.account_updates(spark, sf)), "partial_count"), (health.risk_radar(o), "partial_max_by")):
         assert agg in plan_of(df)
+
+
+def test_payload_holes_are_runs(spark):
+    """Two incidents with sound rows between them are two holes, also over bucket borders."""
+    rows = [(k, s, 0 if bad else 9, 5) for k in ("a", "b") for s, bad in ((10, 1), (11, 1), (500, k == "b"), (900_000, 1), (1_900_000, 1), (2_000_000, 0), (2_000_001, 1))]
+    df = spark.createDataFrame(rows, "kind string, slot bigint, data_len bigint, lamports bigint")
+    got = sorted((r.kind, r.start_slot, r.end_slot, r.size) for r in quality.payload_holes(df).collect())
+    assert got == [("a", 10, 11, 2), ("a", 900_000, 1_900_000, 2), ("a", 2_000_001, 2_000_001, 1), ("b", 10, 1_900_000, 5), ("b", 2_000_001, 2_000_001, 1)]
+
+
+def test_runs_of_two_scopes_at_one_slot(spark):
+    from slotwise.plans.summary import dump_rows_with_run
+
+    runs = spark.createDataFrame([(10, "known"), (10, "all"), (25, "all")], "slot bigint, scope string").selectExpr("*", "current_timestamp() as ingested_at")
+    rows = spark.createDataFrame([(8, 0), (10, 0), (11, 0), (11, 4)], "slot bigint, write_version bigint")
+    got = sorted((r.slot, r.run_slot, r.scope) for r in dump_rows_with_run(rows, runs).collect())
+    assert got == [(8, 10, "all"), (8, 10, "known"), (10, 10, "all"), (10, 10, "known"), (11, 25, "all")]

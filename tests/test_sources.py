@@ -76,19 +76,27 @@ def test_hot_bucket_becomes_several_files(spark, tmp_path, monkeypatch):
         assert rows == sorted(rows, key=lambda r: (r["slot"], r["write_version"]))
 
 
-def test_a_plan_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+def test_a_plan_too_large_to_broadcast(spark, tmp_path, monkeypatch, request):
     monkeypatch.setattr(cold, "CELL_SLOTS", 1)
-    monkeypatch.setattr(cold, "MAX_BROADCAST_KEYS", 100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     out = str(tmp_path / "cold")
     cold.export_cold(history(spark), out)
     assert cold.read_cold_table(spark, out, "account_updates").count() == 4300
 
 
-def test_many_repeated_keys_take_the_other_way(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(cold, "MAX_BROADCAST_KEYS", 0)
+def test_a_failing_full_export_leaves_the_old_copy(spark, tmp_path):
     out = str(tmp_path / "cold")
     cold.export_cold(history(spark), out)
+    bad = history(spark).withColumn("pubkey", F.when(F.col("write_version") == 9, F.lit(b"short")).otherwise(F.col("pubkey")))
+    with pytest.raises(Exception, match="pubkey at slot .* is not 32 bytes"):
+        cold.export_cold(bad, out, full=True)
+    with pytest.raises(Exception, match="write_version is null"):
+        cold.export_cold(history(spark).withColumn("write_version", F.expr("nullif(write_version, 9)")), out, full=True)
     assert cold.read_cold_table(spark, out, "account_updates").count() == 4300
+    # A full export of less also removes the buckets that are gone.
+    cold.export_cold(history(spark).filter("slot < 438000000"), out, full=True)
+    assert cold.read_cold_table(spark, out, "account_updates").count() == 4100
 
 
 def test_tied_copies_leave_one_row(spark, tmp_path):
@@ -155,7 +163,7 @@ def test_slot_range_prunes_folders_and_row_groups(spark, tmp_path):
 
 def test_late_columns_read_zero(spark, tmp_path):
     old = spark.createDataFrame([(1, 1)], "slot bigint, write_version bigint")
-    old.write.parquet(f"{tmp_path}/obligation_snapshots/batch_id=1")
+    updates.write_batch(old, str(tmp_path), "obligation_snapshots", "1")
     r = updates.read_table(spark, str(tmp_path), "obligation_snapshots").collect()[0]
     assert r.deposited_value_sf == 0 and r.owner is None
 
@@ -205,6 +213,8 @@ def test_dump_is_stored_and_recorded_last(spark, tmp_path):
     root = str(tmp_path / "store")
     run = state_dump.store_state_dump(spark, path, root, S.LAYOUTS).collect()[0]
     assert (run.slot, run.scope, run.accounts, run.rows_written, run.decode_failures) == (10, "known", 3, 3, 2)
+    rejected = spark.read.parquet(f"{root}/rejected_snapshots").collect()
+    assert sorted((r.kind, r.reason) for r in rejected) == [("Obligation", "short"), ("Reserve", "short")]
     assert updates.read_table(spark, root, "account_updates").count() == 3
     assert updates.read_table(spark, root, "obligation_snapshots").count() == 1
     assert not glob.glob(f"{root}/ingest_checkpoint")
@@ -231,8 +241,10 @@ def test_dashboard_fails_as_a_whole(spark, tmp_path):
     good = lambda: spark.range(2)
     text = dashboard.export_dashboard(spark, {"a": good}, str(tmp_path / "d")).collect()[0].value
     assert json.loads(text)["a"] == [{"id": 0}, {"id": 1}] and "generated_at" in json.loads(text)
-    with pytest.raises(ValueError, match="more than"):
-        dashboard.export_dashboard(spark, {"a": good, "b": lambda: spark.range(5000)}, str(tmp_path / "e"))
+    many = dashboard.export_dashboard(spark, {"b": lambda: spark.range(5000)}, str(tmp_path / "m"), as_of="2024-01-31").collect()[0].value
+    assert len(json.loads(many)["b"]) == 5000 and json.loads(many)["generated_at"] == "2024-01-31"
+    with pytest.raises(ZeroDivisionError):
+        dashboard.export_dashboard(spark, {"a": good, "b": lambda: 1 / 0}, str(tmp_path / "e"))
     assert not glob.glob(str(tmp_path / "e"))
 
 

@@ -106,3 +106,69 @@ def test_json_messages(spark):
     good, bad = updates.parse_messages(df).collect()
     assert (good.slot, bytes(good.pubkey), bytes(good.data)) == (7, KEY, b"\xff") and bad.slot is None
     assert updates.parse_messages(df).withColumn("reason", updates.reject_reason()).filter(F.col("reason").isNotNull()).count() == 1
+
+
+def test_new_offsets_never_erase_history(spark, tmp_path):
+    first, second, root = tmp_path / "a", tmp_path / "b", tmp_path / "out"
+    put(spark, first, [record(1), record(2, 2)])
+    put(spark, second, [record(1), record(2, 2), record(5, 3)])
+    wires = [updates.read_updates_stream(spark, str(f)) for f in (first, second)]
+    for i, wire in enumerate(wires):
+        ingest.start_ingest(wire, str(root), S.LAYOUTS, available_now=True, offsets=f"{root}/_offsets/{i}").awaitTermination()
+    raw = updates.read_table(spark, str(root), "account_updates")
+    # The second run began at slot 2, inclusively; that row is there twice and collapses.
+    assert sorted(r.slot for r in raw.collect()) == [1, 2, 2, 5] and collapse_table(raw, "account_updates").count() == 3
+
+
+def test_position_belongs_to_its_stream(spark, tmp_path):
+    for stream, slot in (("main", 10), ("main-old", 99)):
+        put(spark, tmp_path / stream, [record(slot)])
+        wire = updates.read_updates_stream(spark, str(tmp_path / stream))
+        ingest.start_ingest(wire, str(tmp_path / "out"), S.LAYOUTS, stream, available_now=True).awaitTermination()
+    assert [ingest.read_position(spark, str(tmp_path / "out"), s) for s in ("main", "main-old", "other")] == [10, 99, None]
+
+
+def test_late_rows_survive_the_dropping_of_replays(spark, tmp_path):
+    from datetime import datetime
+
+    from slotwise.operators.dedup import drop_replays
+
+    schema = "pubkey bigint, slot bigint, write_version bigint, ingested_at timestamp"
+    for hour, key in ((0, 1), (5, 2), (1, 3), (5, 2), (0, 1)):
+        row = [(key, key, 1, datetime(2024, 1, 1, hour))]
+        spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    writer = drop_replays(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    writer.option("path", str(tmp_path / "out")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.pubkey for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 2, 3]
+
+
+def test_compaction_and_pruning(spark, tmp_path):
+    job = ingest.Ingest(spark, str(tmp_path), S.LAYOUTS)
+    for i in range(3):
+        rows = [record(s, i * 10 + k) for k, s in enumerate((5, 1_000_005, 2_000_005))]
+        job.on_batch(spark.createDataFrame(rows, updates.WIRE_SCHEMA), i)
+    before = sorted(map(str, updates.read_table(spark, str(tmp_path), "account_updates").collect()))
+    assert updates.compact(spark, str(tmp_path), "account_updates") == ["000000000000", "000001000000"]
+    assert updates.compact(spark, str(tmp_path), "account_updates") == []
+    assert sorted(map(str, updates.read_table(spark, str(tmp_path), "account_updates").collect())) == before
+    batches = [len(glob.glob(f"{tmp_path}/account_updates/slot_bucket={b:012d}/batch_id=*")) for b in (0, 1_000_000, 2_000_000)]
+    assert batches == [1, 1, 3]
+    some = updates.read_table(spark, str(tmp_path), "account_updates", slots=(1_000_000, 1_500_000))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slot_bucket" in plan and some.count() == 3
+
+
+def test_flow_has_every_minute(spark, tmp_path):
+    from datetime import datetime
+
+    from slotwise.streaming import monitors
+
+    schema = "ingested_at timestamp, kind string, data_len bigint"
+    for minute in (9, 3, 9, 0):
+        row = [(datetime(2024, 1, 1, 0, minute), "Reserve", 7)]
+        spark.createDataFrame(row, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(str(tmp_path / "in"))
+    monitors.start_flow_monitor(stream, str(tmp_path / "m"), available_now=True).awaitTermination()
+    got = {r.minute % 3600 // 60: (r.writes, r.bytes) for r in monitors.read_flow(spark, str(tmp_path / "m")).collect()}
+    assert got == {9: (2, 14), 3: (1, 7), 0: (1, 7)}
