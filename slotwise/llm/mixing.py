@@ -31,7 +31,7 @@ WEIGHTS = (5, 2, 1)  # fixed values, repeating over the sources in order
 MOST_REPEATS = 3  # fixed value: no block is taken more often
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 SEED = 7
 
 
@@ -218,8 +218,12 @@ class Mix:
         return split.groupBy("src", "block").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
 
     def rows(self) -> DataFrame:
-        """The mix: one row per slot with shard, position (its order in the shard), src, block and pieces."""
-        return self.slots.join(self.blocks(), ["src", "block"])
+        """The mix: one row per slot with shard, position (its order in the shard), src, block and pieces.
+
+        Slots grow with the mix. Their size cannot be told from the few rows they are drawn from, hence the hint:
+        they must not be broadcast.
+        """
+        return self.slots.hint("merge").join(self.blocks(), ["src", "block"])
 
 
 def taken(mix: Mix) -> DataFrame:
