@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from slotwise.llm.common import pick, pieces, prepare, texts
 from slotwise.llm.spans import Span, apart, digest, joined, masked

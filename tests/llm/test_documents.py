@@ -100,8 +100,7 @@ def test_unique_documents(docs, cases, spark):
     assert len(got) == len(set(got))
     # Blank texts are one group, the repeated row another; the rest differ.
     different = {t for _, t, _, _ in cases if brute.words(t)}
-    near = [(PROSE, 20) for PROSE in different if PROSE.startswith("the quick")]
-    assert near and {t for _, t in got if brute.words(t)} <= different
+    assert {t for _, t in got if brute.words(t)} <= different
     assert sum(not brute.words(t) for _, t in got) == 1 and (2, None) in got
     assert Counter(t for _, t in got)["twice told tale " * 3] == 1
 
