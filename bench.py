@@ -23,6 +23,8 @@ HEADLINE = {
     "collapse": "collapse_updates",
     "export_cold": "export_cold",
     "decode": "decode_obligations",
+    "state_dump": "state_dump_run",
+    "stream_ingest": "stream_ingest",
 }
 RUNS = 3
 

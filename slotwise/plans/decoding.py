@@ -38,7 +38,9 @@ def decode_rejects(bronze: DataFrame, layouts: dict[str, Layout]) -> DataFrame:
             continue
         key = [F.lit(kind).alias("kind"), "slot", "write_version", "pubkey"]
         mine = bronze.filter(F.col("kind") == kind)
-        short = mine.filter(~long_enough(layout)).select(*key, F.lit("short").alias("reason"), F.lit("").alias("field"))
+        # The stored length spares a scan of the payloads.
+        whole = F.col("data_len") >= layout.size if "data_len" in bronze.columns else long_enough(layout)
+        short = mine.filter(~F.coalesce(whole, F.lit(False))).select(*key, F.lit("short").alias("reason"), F.lit("").alias("field"))
         fields = decode_fields(mine, layout)
         wide = [f.name for f in layout.fields if f.kind == "uint"]
         at = F.coalesce(*[F.when(F.col(name).isNull(), name) for name in wide], F.lit(None).cast("string"))
@@ -47,6 +49,21 @@ def decode_rejects(bronze: DataFrame, layouts: dict[str, Layout]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _cuts(bronze: DataFrame, layouts: dict[str, Layout]) -> DataFrame:
+    """The bytes that decoding needs of every record of the given kinds, null for a short one; stored by kind.
+
+    One scan of the payloads serves all kinds.
+    """
+    cut = F.lit(None).cast("binary")
+    for kind, layout in layouts.items():
+        cut = F.when((F.col("kind") == kind) & long_enough(layout), layout.cut()).otherwise(cut)
+    carried = [c for c in CARRIED if c in bronze.columns]
+    wanted = bronze.filter(F.col("kind").isin(list(layouts))).select(*carried, cut.alias(CUT), "kind")
+    path = work_dir(bronze.sparkSession, "cuts")
+    wanted.write.partitionBy("kind").parquet(path)
+    return bronze.sparkSession.read.schema(wanted.schema).parquet(path)
+
+
 def store_redecoded(bronze: DataFrame, layouts: dict[str, Layout], root: str) -> DataFrame:
     """Rebuild the silver tables below `root` with a single scan of the payloads; returns the counts.
 
@@ -58,14 +75,7 @@ def store_redecoded(bronze: DataFrame, layouts: dict[str, Layout], root: str) ->
     """
     spark = bronze.sparkSession
     layouts = {kind: layout for kind, layout in layouts.items() if kind in SILVER_TABLE}
-    carried = [c for c in CARRIED if c in bronze.columns]
-    cut = F.lit(None).cast("binary")
-    for kind, layout in layouts.items():
-        cut = F.when((F.col("kind") == kind) & long_enough(layout), layout.cut()).otherwise(cut)
-    wanted = bronze.filter(F.col("kind").isin(list(layouts))).select(*carried, cut.alias(CUT), "kind")
-    path = work_dir(spark, "cuts")
-    wanted.write.partitionBy("kind").parquet(path)
-    cuts = spark.read.schema(wanted.schema).parquet(path)
+    cuts = _cuts(bronze, layouts)
 
     reports = []
     for kind, layout in layouts.items():
@@ -87,16 +97,13 @@ def decode_report(bronze: DataFrame, layouts: dict[str, Layout], by_bucket: bool
     `health_overflow` records count as decoded.
     """
     keys = ["kind", BUCKET_COLUMN] if by_bucket else ["kind"]
-    parts = []
+    layouts = {kind: layout for kind, layout in layouts.items() if kind in SILVER_TABLE}
+    cuts = _cuts(bronze, layouts)
+    parts = [cuts.filter(F.col(CUT).isNull()).select("slot", "kind", F.lit("short").alias("outcome"))]
     for kind, layout in layouts.items():
-        if kind not in SILVER_TABLE:
-            continue
-        mine = bronze.filter(F.col("kind") == kind)
-        short = mine.filter(~long_enough(layout)).select("slot", F.lit(kind).alias("kind"), F.lit("short").alias("outcome"))
-        done = decode(mine, layout).select(
-            "slot", F.lit(kind).alias("kind"), F.col("decode_status").alias("outcome")
-        )
-        parts.append(short.unionByName(done))
+        mine = cuts.filter((F.col("kind") == kind) & F.col(CUT).isNotNull())
+        done = silver_rows(read_cuts(mine, layout), layout)
+        parts.append(done.select("slot", F.lit(kind).alias("kind"), F.col("decode_status").alias("outcome")))
     rows = reduce(DataFrame.unionByName, parts)
     if by_bucket:
         rows = rows.withColumn(BUCKET_COLUMN, slot_bucket())

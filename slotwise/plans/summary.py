@@ -69,28 +69,37 @@ def dataset_summary(updates: DataFrame, snapshots: DataFrame, gaps: DataFrame, a
     """The published figures in one row."""
     millis = F.unix_millis(F.col("ingested_at").cast("timestamp"))
     health = stored(collapse(snapshots, columns=["pubkey", "health_factor_bps"]), "health")
-    debt = health.filter(active_debt())
-    counts = value_counts(debt, "health_factor_bps")
+    per_key = health.groupBy("pubkey").agg(F.count(F.lit(1)).alias("n"), F.count_if(active_debt()).alias("debts"))
+    counts = value_counts(health.filter(active_debt()), "health_factor_bps")
+    # The updates are read once: per full key, then per slot, then in all.
+    keys = updates.groupBy("slot", "pubkey", "write_version").agg(
+        F.count(F.lit(1)).alias("n"), F.min(millis).alias("first_ms"), F.max(millis).alias("latest_ms")
+    )
+    slots = keys.groupBy("slot").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), F.min("first_ms").alias("first_ms"), F.max("latest_ms").alias("latest_ms")
+    )
     figures = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("valid_snapshots"),
         F.coalesce(F.sum(F.when(F.col("v") < AT_RISK_HEALTH, F.col("n")).otherwise(0)), F.lit(0)).alias("at_risk"),
     )
     one = side_by_side(
-        updates.agg(
-            F.count(F.lit(1)).alias("rows_raw"),
+        slots.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_raw"),
+            F.coalesce(F.sum("keys"), F.lit(0)).alias("rows_collapsed"),
+            F.count("slot").alias("density_slots"),
             F.min("slot").alias("first_slot"),
-            F.min(millis).alias("first_ms"),
+            F.min("first_ms").alias("first_ms"),
             F.max("slot").alias("latest_slot"),
-            F.max(millis).alias("latest_ms"),
+            F.max("latest_ms").alias("latest_ms"),
+            (F.unix_seconds(_at(as_of)) - F.expr("max(latest_ms) div 1000")).alias("ingest_age_s"),
+        ),
+        per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("snapshots"),
+            F.count(F.lit(1)).alias("ever_seen"),
+            F.count_if(F.col("debts") > 0).alias("active"),
         ),
-        collapsed_count(updates, alias="rows_collapsed"),
-        _count(health, "snapshots"),
-        _distinct(health, "pubkey", "ever_seen"),
-        _distinct(debt, "pubkey", "active"),
         figures,
         percentile_row(counts, {"median": 0.5}),
-        _age(updates, as_of),
-        _distinct(updates, "slot", "density_slots"),
         _count(current_gaps(gaps).filter(F.col("filled") == 0), "unfilled_gaps"),
     )
     span = F.col("latest_slot") - F.col("first_slot")
