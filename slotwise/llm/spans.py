@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterable
 
 Span = tuple[str, int, int]  # kind, start, end
@@ -18,12 +19,20 @@ def digest(spans: Iterable[Span]) -> str:
 
 def apart(found: list[tuple[float, Span]], fixed: list[Span]) -> list[Span]:
     """Of scored spans, those that overlap neither a fixed span nor a better one."""
-    taken = sorted((start, end) for _, start, end in fixed)
+    # Taken stretches, disjoint and in order.
+    starts: list[int] = []
+    ends: list[int] = []
+    for start, end in sorted((start, end) for _, start, end in fixed):
+        if ends and start < ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start), ends.append(end)
     out = []
     for _, span in sorted(found, key=lambda f: (-f[0], f[1][1], f[1][2], f[1][0])):
-        if all(span[2] <= start or end <= span[1] for start, end in taken):
+        at = bisect_right(ends, span[1])  # the first stretch that ends behind the span's start
+        if at == len(starts) or span[2] <= starts[at]:
             out.append(span)
-            taken.append(span[1:])
+            starts.insert(at, span[1]), ends.insert(at, span[2])
     return out
 
 
