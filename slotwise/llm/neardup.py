@@ -10,9 +10,11 @@ leave at once. Within a cell, the lower bound is tested first, the exact distanc
 one star per connected group, never its pairs. A crowded cell is cut into chunks, and each pair of chunks is a task
 of its own. Components are then found by contraction over tables in the shared folder.
 
-`unique_documents` is the same search for copies at a five-word similarity of about 0.8, which 64 bits cannot resolve: 256
+`unique_documents` is the same search for copies at a five-word similarity of 0.8, which 64 bits cannot resolve: 256
 bits, 128 segments, and grids that each keep a few segments. How many segments follows from the number of points, how
-many grids from the share of links that may be missed; nothing in a cell is left out.
+many grids from the share of links that may be missed; nothing in a cell is left out. The groups found so are then
+taken apart by the exact similarity of their shingle sets, compared in chunks within a group, so only texts of a
+similarity of 0.8 or more, or chains of such, count as copies.
 
 Defined results: a null or blank text has fingerprint zero and links like any other; repeated rows share a component;
 a component without any id has a null `component_id`; extra columns are dropped; an empty table gives no rows.
@@ -65,9 +67,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return majority(shingle_hashes(text, shingle))
 
 
-def wide_fingerprint(text: bytes, shingle: int, words: int) -> list[int]:
+def wide_fingerprint(hashes: np.ndarray, words: int) -> list[int]:
     """Several 64-bit fingerprints from independent mixes of the same shingle hashes."""
-    hashes = shingle_hashes(text, shingle)
     out = [majority(hashes)]
     for _ in range(1, words):
         hashes = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -125,9 +126,13 @@ def stars(names: np.ndarray, words: np.ndarray, radius: int) -> tuple[np.ndarray
     exact = _distance(words[a], words[b]) <= radius
     near = np.zeros(bound.shape, bool)
     near[a[exact], b[exact]] = near[b[exact], a[exact]] = True
+    return _star_edges(names, near)
+
+
+def _star_edges(names: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     left = np.ones(len(names), bool)
     out: list[tuple[np.ndarray, np.ndarray]] = [(names[:0], names[:0])]
-    for root in np.unique(a[exact]):
+    for root in np.flatnonzero(near.any(axis=1)):
         if not left[root]:
             continue
         left[root] = False
@@ -160,17 +165,22 @@ def _cell_links(radius: int):
     return links
 
 
-def _linked(placed: DataFrame, radius: int) -> DataFrame:
-    """Edges (a, b) among points (fp, words...) placed in cells; each row is a point in one `cell`."""
+def _met(placed: DataFrame, chunk: int) -> DataFrame:
+    """Lists of points that meet; each row of `placed` is a point (fp, ...) in one `cell`. Crowded cells go by chunks."""
     crowd = placed.withColumn("n", F.count("*").over(Window.partitionBy("cell"))).where("n > 1")
-    chunks = F.ceil(F.col("n") / CHUNK)
+    chunks = F.ceil(F.col("n") / chunk)
     own = F.pmod(F.xxhash64("fp"), chunks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))
     dealt = crowd.withColumn("i", own).withColumn("j", other)
     point = F.struct(*[c for c in placed.columns if c != "cell"]).alias("point")
     tasks = dealt.select(point, "cell", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
     lists = tasks.groupBy("cell", "i", "j").agg(F.collect_list("point").alias("points")).where(F.size("points") > 1)
-    return lists.select("points").mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
+    return lists.select("points")
+
+
+def _linked(placed: DataFrame, radius: int) -> DataFrame:
+    """Edges (a, b) among points (fp, words...) placed in cells."""
+    return _met(placed, CHUNK).mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
 
 
 def grid_links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -238,6 +248,9 @@ MISS = 0.02  # share of links at a similarity of 0.8 that no grid shows
 # Chance that a two-bit segment has the same popcount: in unrelated texts, and in texts of a similarity of 0.8.
 SAME_BY_CHANCE, SAME_IN_COPIES = 0.375, 0.734
 CELL_POINTS = 64
+SIMILARITY = 0.8
+SET_CHUNK = 256  # shingle sets of a group that one task compares with as many others
+_COLUMNS = 4096
 
 
 def grids(points: int) -> list[list[int]]:
@@ -254,7 +267,54 @@ def grids(points: int) -> list[list[int]]:
     return out
 
 
-def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
+def shared_shingles(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many elements each two of the sets have in common; set i is values[offsets[i]:offsets[i + 1]]."""
+    n = len(offsets) - 1
+    _, place, count = np.unique(values, return_inverse=True, return_counts=True)
+    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[place]
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    out = np.zeros((n, n), np.float64)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        a, b = np.searchsorted(column, [low, low + _COLUMNS])
+        holds = np.zeros((n, _COLUMNS), np.float32)
+        holds[owner[a:b], column[a:b] - low] = 1
+        out += holds @ holds.T
+    return out
+
+
+def _set_links(similarity: float):
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                names, sets = batch.column("points").slice(i, 1).flatten().flatten()
+                names, offsets = names.to_numpy(), np.asarray(sets.offsets)
+                shared = shared_shingles(sets.flatten().to_numpy(), offsets - offsets[0])
+                size = np.diff(offsets)
+                near = shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-9
+                np.fill_diagonal(near, False)
+                a, b = _star_edges(names, near)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+    return links
+
+
+def _similar(rows: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) among the points (fp, root, _row) of each group whose shingle sets are similar."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            data, offsets = text_buffer(batch.column("text"))
+            sets = [np.unique(shingle_hashes(data[a:b].tobytes(), WIDE_SHINGLE)).view(np.int64) for a, b in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_pydict({"fp": batch.column("fp"), "shingles": pa.array(sets, pa.list_(pa.int64())), "cell": batch.column("root")})
+
+    told = rows.select("_row", "text").join(groups, "_row").select("fp", "root", "text")
+    placed = told.mapInArrow(cut, "fp bigint, shingles array<bigint>, cell bigint").dropDuplicates(["fp"])
+    return _met(stored(placed, "sets"), SET_CHUNK).mapInArrow(_set_links(similarity), "a bigint, b bigint").distinct()
+
+
+def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """Documents of which one (smallest id) stays of every group of near copies at five-word similarity."""
     prepare(docs.sparkSession)
     rows = documents(docs).withColumn("_row", row_hash("doc_id", "text", "lang", "source", "n_chars"))
@@ -264,20 +324,24 @@ def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS) -> DataFrame:
         for batch in pieces(batches):
             data, offsets = text_buffer(batch.column("text"))
             whole = data.tobytes()
-            found = np.array([wide_fingerprint(whole[a:b], WIDE_SHINGLE, WIDE_WORDS) for a, b in zip(offsets[:-1], offsets[1:])], np.int64)
+            hashes = [shingle_hashes(whole[a:b], WIDE_SHINGLE) for a, b in zip(offsets[:-1], offsets[1:])]
+            found = np.array([wide_fingerprint(h, WIDE_WORDS) for h in hashes], np.int64)
+            sets = np.array([xxhash.xxh64_intdigest(np.unique(h).tobytes()) for h in hashes], np.uint64).view(np.int64)
             kept = {c: batch.column(c) for c in ("doc_id", "_row")}
-            yield pa.RecordBatch.from_pydict(kept | {w: pa.array(found[:, i]) for i, w in enumerate(words)})
+            yield pa.RecordBatch.from_pydict(kept | {"fp": pa.array(sets)} | {w: pa.array(found[:, i]) for i, w in enumerate(words)})
 
+    # A point is a set of shingles; `fp` is its hash.
     kind = dict(rows.dtypes)["doc_id"]
-    shape = f"doc_id {kind}, _row bigint, " + ", ".join(f"{w} bigint" for w in words)
-    prints = rows.select("doc_id", "_row", "text").mapInArrow(printed, shape)
-    prints = stored(prints.withColumn("fp", F.xxhash64(*words)), "prints")
-    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("first")
-    points = stored(prints.groupBy("fp").agg(chosen, *[F.first(w).alias(w) for w in words]), "points")
+    shape = f"doc_id {kind}, _row bigint, fp bigint, " + ", ".join(f"{w} bigint" for w in words)
+    prints = stored(rows.select("doc_id", "_row", "text").mapInArrow(printed, shape), "prints")
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", *words)).alias("first")
+    points = prints.groupBy("fp").agg(chosen)
+    points = stored(points.select("fp", "first", *[F.col(f"first.{w}").alias(w) for w in words]), "points")
     spots = [embedding(F.col(w)) for w in words]
     cells = [F.xxhash64(F.lit(g), *[s.bitwiseAND(F.lit(m)) for s, m in zip(spots, masks) if m]) for g, masks in enumerate(grids(points.count()))]
     placed = points.select("fp", *words, F.explode(F.array(*cells)).alias("cell"))
-    labels = connected(stored(_linked(placed, radius), "links"))
+    groups = connected(stored(_linked(placed, radius), "links")).join(points.select("fp", F.col("first._row").alias("_row")), "fp")
+    labels = connected(stored(_similar(rows, groups, similarity), "links"))
     best = _grouped(points, labels).groupBy("root").agg(F.min("first").alias("first"))
     kept = rows.join(stored(best.select(F.col("first._row").alias("_row")), "kept"), "_row", "left_semi")
     # Fully equal rows have one row hash and would all stay.

@@ -9,6 +9,7 @@ import pytest
 
 from slotwise.llm import decontamination, mixing, neardup, pii, quality, secrets, sharding, tokencount
 from slotwise.llm.queries import QUERIES
+from slotwise.llm.spans import apart
 
 
 def rows_of(df, *columns):
@@ -295,3 +296,32 @@ def test_contract_columns(spark, sf):
         assert df.count() == 200
     crc = QUERIES["op9_histogram_shards"](spark, sf).join(spark.read.parquet(f"{sf}/documents.parquet"), "doc_id").collect()
     assert all(r.text_crc32 == zlib.crc32(r.text.encode()) for r in crc)
+
+
+def test_shared_shingles_and_chunks(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    sets = [np.unique(draw.integers(0, 60, draw.integers(0, 40))) for _ in range(50)]
+    offsets = np.cumsum([0, *map(len, sets)])
+    monkeypatch.setattr(neardup, "_COLUMNS", 16)
+    got = neardup.shared_shingles(np.concatenate(sets), offsets)
+    assert all(got[i, j] == len(np.intersect1d(a, b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i != j)
+    assert neardup.shared_shingles(np.zeros(0, np.int64), np.zeros(3, np.int64)).shape == (2, 2)
+    # A group of more points than one task takes: a chain in which only neighbours are similar, and one outsider.
+    monkeypatch.setattr(neardup, "SET_CHUNK", 3)
+    words = [f"v{i}" for i in range(400)]
+    rows = [(k, k, " ".join(words[8 * k : 8 * k + 104]), 7) for k in range(20)] + [(99, 99, "far from all of them here", 7)]
+    frame = spark.createDataFrame(rows, "fp bigint, _row bigint, text string, root bigint")
+    links = neardup._similar(frame.select("_row", "text"), frame.select("fp", "root", "_row"), 0.8)
+    roots = {r.fp: r.root for r in neardup.connected(links).collect()}
+    assert set(roots) == set(range(20)) and len(set(roots.values())) == 1
+
+
+def test_spans_apart():
+    draw = np.random.default_rng(6)
+    spans = [("x", int(a), int(a + b)) for a, b in zip(draw.integers(0, 300, 200), draw.integers(1, 9, 200))]
+    found = [(float(p), s) for p, s in zip(draw.integers(0, 5, 150), spans)]
+    taken, want = [s[1:] for s in spans[150:]], []
+    for _, s in sorted(found, key=lambda f: (-f[0], f[1][1], f[1][2], f[1][0])):
+        if all(s[2] <= a or b <= s[1] for a, b in taken):
+            want.append(s), taken.append(s[1:])
+    assert apart(found, spans[150:]) == want and want
