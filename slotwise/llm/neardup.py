@@ -166,13 +166,13 @@ def _cell_links(radius: int):
 
 
 def _met(placed: DataFrame, chunk: int) -> DataFrame:
-    """Lists of points that meet; each row of `placed` is a point (fp, ...) in one `cell`. Crowded cells go by chunks."""
-    crowd = placed.withColumn("n", F.count("*").over(Window.partitionBy("cell"))).where("n > 1")
+    """Lists of points that meet; a row of `placed` is a point (fp, ...) in one `cell` of n points. Crowded cells go by chunks."""
+    crowd = placed.where("n > 1")
     chunks = F.ceil(F.col("n") / chunk)
     own = F.pmod(F.xxhash64("fp"), chunks)
     other = F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1))
     dealt = crowd.withColumn("i", own).withColumn("j", other)
-    point = F.struct(*[c for c in placed.columns if c != "cell"]).alias("point")
+    point = F.struct(*[c for c in placed.columns if c not in ("cell", "n")]).alias("point")
     tasks = dealt.select(point, "cell", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"))
     lists = tasks.groupBy("cell", "i", "j").agg(F.collect_list("point").alias("points")).where(F.size("points") > 1)
     return lists.select("points")
@@ -180,6 +180,7 @@ def _met(placed: DataFrame, chunk: int) -> DataFrame:
 
 def _linked(placed: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) among points (fp, words...) placed in cells."""
+    placed = placed.withColumn("n", F.count("*").over(Window.partitionBy("cell")))
     return _met(placed, CHUNK).mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
 
 
@@ -307,10 +308,12 @@ def _similar(rows: DataFrame, groups: DataFrame, similarity: float) -> DataFrame
         for batch in pieces(batches):
             data, offsets = text_buffer(batch.column("text"))
             sets = [np.unique(shingle_hashes(data[a:b].tobytes(), WIDE_SHINGLE)).view(np.int64) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_pydict({"fp": batch.column("fp"), "shingles": pa.array(sets, pa.list_(pa.int64())), "cell": batch.column("root")})
+            yield pa.RecordBatch.from_pydict({"fp": batch.column("fp"), "shingles": pa.array(sets, pa.list_(pa.int64())), "cell": batch.column("root"), "n": batch.column("n")})
 
-    told = rows.select("_row", "text").join(groups, "_row").select("fp", "root", "text")
-    placed = told.mapInArrow(cut, "fp bigint, shingles array<bigint>, cell bigint").dropDuplicates(["fp"])
+    # Group sizes are summed in parts, so that no task holds the sets of a whole group.
+    counted = groups.join(groups.groupBy("root").agg(F.count("*").alias("n")), "root")
+    told = rows.select("_row", "text").join(counted, "_row").select("fp", "root", "n", "text")
+    placed = told.mapInArrow(cut, "fp bigint, shingles array<bigint>, cell bigint, n bigint").dropDuplicates(["fp"])
     return _met(stored(placed, "sets"), SET_CHUNK).mapInArrow(_set_links(similarity), "a bigint, b bigint").distinct()
 
 
