@@ -11,7 +11,7 @@ one star per connected group, never its pairs. A crowded cell is cut into chunks
 of its own. Components are then found by contraction over tables in the shared folder.
 
 `unique_documents` is the same search for copies at a five-word similarity of 0.8, which 64 bits cannot resolve: 256
-bits, 128 segments, and grids that each keep a few segments. How many segments follows from the number of points, how
+bits of the shingle sets (repeats count once), 128 segments, and grids that each keep a few segments. How many segments follows from the number of points, how
 many grids from the share of links that may be missed; nothing in a cell is left out. The groups found so are then
 taken apart by the exact similarity of their shingle sets, compared in chunks within a group, so only texts of a
 similarity of 0.8 or more, or chains of such, count as copies.
@@ -328,8 +328,10 @@ def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: flo
             data, offsets = text_buffer(batch.column("text"))
             whole = data.tobytes()
             hashes = [shingle_hashes(whole[a:b], WIDE_SHINGLE) for a, b in zip(offsets[:-1], offsets[1:])]
+            # Of sets, as the similarity is: one repeated shingle must not outweigh all others.
+            hashes = [np.unique(h) for h in hashes]
             found = np.array([wide_fingerprint(h, WIDE_WORDS) for h in hashes], np.int64)
-            sets = np.array([xxhash.xxh64_intdigest(np.unique(h).tobytes()) for h in hashes], np.uint64).view(np.int64)
+            sets = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in hashes], np.uint64).view(np.int64)
             kept = {c: batch.column(c) for c in ("doc_id", "_row")}
             yield pa.RecordBatch.from_pydict(kept | {"fp": pa.array(sets)} | {w: pa.array(found[:, i]) for i, w in enumerate(words)})
 

@@ -121,6 +121,15 @@ def test_unique_documents_finds_edited_copies(spark):
     assert sorted(r.doc_id for r in neardup.unique_documents(df).collect()) == [1000 * k for k in range(30)]
 
 
+def test_repeated_shingles_do_not_hide_a_copy(spark):
+    """A copy with a long line of dashes is a copy; unrelated texts that share such a line are not."""
+    draw = np.random.default_rng(2)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 5000, 1000)) for _ in range(10)]
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, t + "\n" + "- " * 34) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    assert sorted(r.doc_id for r in neardup.unique_documents(df).collect()) == list(range(0, 20, 2))
+
+
 def test_personal_data(docs, cases, real):
     model = pii.train(real[0])
     for df, rows in both(docs, cases, real):
