@@ -12,7 +12,7 @@ of its own. Components are then found by contraction over tables in the shared f
 
 `unique_documents` is the same search for copies at a five-word similarity of 0.8, which 64 bits cannot resolve: 256
 bits of the shingle sets (repeats count once), 128 segments, and grids that each keep a few segments. How many segments follows from the number of points, how
-many grids from the share of links that may be missed; nothing in a cell is left out. The groups found so are then
+many grids from the share of links that may be missed, which is the same at any size; nothing in a cell is left out. The groups found so are then
 taken apart by the exact similarity of their shingle sets, compared in chunks within a group, so only texts of a
 similarity of 0.8 or more, or chains of such, count as copies.
 
@@ -22,8 +22,10 @@ a component without any id has a null `component_id`; extra columns are dropped;
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate, combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -245,19 +247,26 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 WIDE_WORDS, WIDE_SHINGLE = 4, 5
 WIDE_RADIUS = 60  # of 256 bits: at a similarity of 0.8, 39 differ on average, 57 or fewer in 999 of 1000
-MISS = 0.02  # share of links at a similarity of 0.8 that no grid shows
+MISS = 0.001  # share of links at a similarity of 0.8 that no grid shows, at any number of points
 # Chance that a two-bit segment has the same popcount: in unrelated texts, and in texts of a similarity of 0.8.
-SAME_BY_CHANCE, SAME_IN_COPIES = 0.375, 0.734
-CELL_POINTS = 64
+SAME_BY_CHANCE, SAME_IN_COPIES = 0.375, 0.731
+CELL_POINTS = 512
 SIMILARITY = 0.8
 SET_CHUNK = 256  # shingle sets of a group that one task compares with as many others
 _COLUMNS = 4096
 
 
+def missed(segments: int, count: int) -> float:
+    """Share of links at a similarity of 0.8 that no one of `count` grids shows. A pair's own number of equal segments varies."""
+    every = 32 * WIDE_WORDS
+    chance = [comb(every, k) * SAME_IN_COPIES**k * (1 - SAME_IN_COPIES) ** (every - k) for k in range(every + 1)]
+    return sum(c * (1 - comb(k, segments) / comb(every, segments)) ** count for k, c in enumerate(chance))
+
+
 def grids(points: int) -> list[list[int]]:
     """Masks over the words, one list per grid: the segments that it keeps, drawn by a fixed seed."""
     segments = int(np.clip(np.ceil(np.log(max(points, 1) / CELL_POINTS) / -np.log(SAME_BY_CHANCE)), 3, 32))
-    count = int(np.ceil(np.log(MISS) / np.log1p(-(SAME_IN_COPIES**segments))))
+    count = bisect_left(range(1 << 40), True, key=lambda n: missed(segments, n) <= MISS)
     draw = np.random.default_rng(3)
     out = []
     for _ in range(count):

@@ -121,6 +121,17 @@ def test_unique_documents_finds_edited_copies(spark):
     assert sorted(r.doc_id for r in neardup.unique_documents(df).collect()) == [1000 * k for k in range(30)]
 
 
+def test_grids_miss_as_few_links_at_any_size():
+    """Pairs of which each segment is equal by its own draw: some grid keeps only equal ones."""
+    draw = np.random.default_rng(5)
+    for points in (100, 8_000, 236_000, 10**7):
+        masks = np.array(neardup.grids(points), np.int64).view(np.uint64)
+        kept = np.stack([(masks[:, i // 32] >> np.uint64(2 * (i % 32))) & np.uint64(1) for i in range(128)], axis=1).astype(np.float32)
+        differ = (draw.random((5000, 128)) >= 0.734).astype(np.float32)
+        assert ((differ @ kept.T).min(axis=1) > 0).mean() <= 0.003
+        assert neardup.missed(int(kept[0].sum()), len(masks)) <= 0.001
+
+
 def test_repeated_shingles_do_not_hide_a_copy(spark):
     """A copy with a long line of dashes is a copy; unrelated texts that share such a line are not."""
     draw = np.random.default_rng(2)
