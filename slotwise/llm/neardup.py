@@ -11,10 +11,11 @@ one star per connected group, never its pairs. A crowded cell is cut into chunks
 of its own. Components are then found by contraction over tables in the shared folder.
 
 `unique_documents` is the same search for copies at a five-word similarity of 0.8, which 64 bits cannot resolve: 256
-bits of the shingle sets (repeats count once), 128 segments, and grids that each keep a few segments. How many segments follows from the number of points, how
-many grids from the share of links that may be missed, which is the same at any size; nothing in a cell is left out. The groups found so are then
-taken apart by the exact similarity of their shingle sets, compared in chunks within a group, so only texts of a
-similarity of 0.8 or more, or chains of such, count as copies.
+bits of the shingle sets (repeats count once), 128 segments, and grids that each keep a few segments. How
+many segments follows from the number of points, how many grids from the share of links that may be missed, which is
+the same at any size; nothing in a cell is left out. The groups found so are then taken apart by the exact similarity
+of their shingle sets, compared in chunks within a group, so only texts of a similarity of 0.8 or more, or chains of
+such, count as copies.
 
 Defined results: a null or blank text has fingerprint zero and links like any other; repeated rows share a component;
 a component without any id has a null `component_id`; extra columns are dropped; an empty table gives no rows.
@@ -30,7 +31,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import documents, pick, pieces, prepare, row_hash, text_buffer
@@ -182,8 +183,9 @@ def _met(placed: DataFrame, chunk: int) -> DataFrame:
 
 def _linked(placed: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) among points (fp, words...) placed in cells."""
-    placed = placed.withColumn("n", F.count("*").over(Window.partitionBy("cell")))
-    return _met(placed, CHUNK).mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
+    # Cell sizes are counted in parts, so that no task holds a crowded cell before the chunks split it.
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    return _met(placed.join(sizes, "cell"), CHUNK).mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
 
 
 def grid_links(points: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -91,6 +91,13 @@ def test_dense_group_and_chain(spark, monkeypatch):
     assert [got[i] for i in range(len(prints))] == brute.components(list(range(len(prints))), prints, 4)
 
 
+def test_crowded_cells_are_counted_in_parts(spark):
+    points = spark.createDataFrame([(i, i, 7 if i < 50 else i) for i in range(60)], "fp bigint, word bigint, cell bigint")
+    links = neardup._linked(points, 64)
+    assert "Window" not in links._jdf.queryExecution().toString()
+    assert {r.b for r in neardup.connected(links).selectExpr("fp b").collect()} == set(range(50))
+
+
 def test_embedding_bounds_the_distance():
     x, y = np.random.default_rng(0).integers(0, 2**63, (2, 2000), dtype=np.uint64)
     assert (np.bitwise_count(neardup._embed(x) ^ neardup._embed(y)) <= np.bitwise_count(x ^ y)).all()
