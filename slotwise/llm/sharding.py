@@ -4,7 +4,7 @@ Every row has a 64-bit key: high bits from a hash of its text, low bits from a h
 therefore neighbours, and a group of copies larger than a shard can still be cut between its rows. Splitters are found
 by probing: each round counts, over all partitions, the exact bytes and rows below candidate keys and narrows the
 bracket of each wanted boundary, until it is within the tolerance. A boundary between two texts is preferred; a group
-is cut only where leaving it whole would put a boundary off by more than `group_share` of a shard (or one largest row).
+is cut only where leaving it whole would put a boundary off by more than `group_share` of a shard (or one row of the group).
 Rows then move once. Slots are numbered in parts of a shard whose row counts are known beforehand, so neither a hot
 group nor a whole shard is numbered in one task.
 
@@ -62,11 +62,11 @@ def count_below(keys: DataFrame, probes: list[int]) -> tuple[list[int], list[int
 
 def find_splitters(keys: DataFrame, shards: int, tolerance: float, group_share: float) -> list[int]:
     """Keys at which shards 1, 2, ... begin. `keys` has _key and _bytes and is read once per round."""
-    total = keys.agg(F.sum("_bytes").alias("size"), F.count("*").alias("rows"), F.max("_bytes").alias("largest")).first()
+    total = keys.agg(F.sum("_bytes").alias("size"), F.count("*").alias("rows")).first()
     if not total.rows:
         return [MOST - 1] * (shards - 1)
     share = total.size / shards
-    near, whole = tolerance * share, max(group_share * share, total.largest)
+    near = tolerance * share
     # Bracket of a boundary: (key, bytes below, rows below) at both ends.
     open_ = {i: ((LEAST, 0, 0), (MOST, total.size, total.rows)) for i in range(1, shards)}
     done: dict[int, int] = {}
@@ -86,6 +86,7 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float, group_share:
             after = next(j for j, p in enumerate(points) if j and (p[1] >= target or p is high))
             low, high = points[after - 1], points[after]
             alone = high[0] - low[0] <= 1 << TEXT_BITS  # one text between the two ends
+            whole = max(group_share * share, (high[1] - low[1]) / max(high[2] - low[2], 1))  # or one row of this group
             small = alone and min(target - low[1], high[1] - target) <= whole and high[0] % (1 << TEXT_BITS) == low[0] % (1 << TEXT_BITS) == 0
             if abs(best[1] - target) <= near or small or high[2] - low[2] <= 1 or high[0] - low[0] <= 1:
                 done[i] = best[0]

@@ -266,6 +266,15 @@ def test_hot_group_is_cut_and_small_ones_are_not(spark):
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
+def test_a_long_row_elsewhere_does_not_loosen_the_cut(spark):
+    """A group of small rows at a boundary is cut, however long a row of another text is."""
+    rows = [(i << 30, 100) for i in range(40)] + [((100 << 30) + i, 100) for i in range(80)]
+    rows += [(200 << 30, 5000)] + [((300 + i) << 30, 100) for i in range(10)]
+    keys = spark.createDataFrame(rows, "_key bigint, _bytes bigint")
+    (cut,) = sharding.find_splitters(keys, 2, 0.01, 0.1)
+    assert abs(sum(b for k, b in rows if k < cut) - 9000) <= 900
+
+
 def test_secrets(docs, cases, real):
     for df, rows in both(docs, cases, real):
         got = Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secrets.scan(df).collect())
