@@ -3,8 +3,9 @@
 The base patterns mark assignments, access keys and hexadecimal runs. The test then looks at every other run of at least
 MIN_LENGTH characters of a key alphabet: prose and identifiers are cheap under a tiktoken vocabulary, random strings are
 not, so a run with few characters per token is marked `random`. Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128
-characters in either case), UUIDs, plain numbers and identifiers made of words are excluded from the test, not from the
-base patterns. The vocabulary is a parameter: its file is read on the driver and travels as a broadcast (bounded by
+characters in either case), UUIDs, plain numbers, times and identifiers made of words are excluded from the test, not
+from the base patterns; a word is what the vocabulary too has in few tokens, so a random string of one letter case is
+none. Of a run that is cheap as a whole, the values between equal signs and the stretches of dear parts are tested. The vocabulary is a parameter: its file is read on the driver and travels as a broadcast (bounded by
 MAX_VOCABULARY bytes, checked).
 
 Defined results: a null text is empty and has no spans; repeated rows and rows without an id each keep their row; extra
@@ -34,12 +35,17 @@ LEAST_VALUE, LEAST_ACCESS = 12, 18
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MAX_VOCABULARY = 64 << 20
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
-MIN_LENGTH = 20
+MIN_LENGTH = 12
+LEAST_GROUPED = 20  # shorter digits with separators are telephone, book and other numbers
 MAX_RATIO = 2.2  # characters per token at most
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 WORDS = re.compile(r"[_/=+-]*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[_/=+-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[_/=+-]*")
+TIME = re.compile(r"[0-9]{4}-?[0-9]{2}-?[0-9]{2}[T_-][0-9]{2}(?:[0-9]{2}){0,2}Z?")
+PART = re.compile(r"[A-Za-z0-9]+")
+VALUE = re.compile(r"[^=]+")
+LETTER = re.compile(r"[A-Za-z]")
 _ENCODINGS: dict[int, tiktoken.Encoding] = {}
 
 
@@ -60,18 +66,54 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def excluded(run: str) -> bool:
-    """Known digests, UUIDs, numbers and identifiers made of words."""
-    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run) or run.isdigit() or WORDS.fullmatch(run))
+def measured(run: str, tokens: tiktoken.Encoding) -> float:
+    """Characters per token."""
+    return len(run) / len(tokens.encode_ordinary(run))
+
+
+def known(run: str) -> bool:
+    """Known digests, UUIDs, numbers and times."""
+    number = run.isdigit() or len(run) < LEAST_GROUPED and not LETTER.search(run)
+    return bool(DIGEST.fullmatch(run) or UUID.fullmatch(run) or number or TIME.fullmatch(run))
+
+
+def cheap(part: str, tokens: tiktoken.Encoding, ratio: float) -> bool:
+    """A short number, or letters that the vocabulary knows as one word or as few pieces."""
+    return (part.isdigit() and len(part) <= 4) or measured(part, tokens) > ratio or len(tokens.encode_ordinary(part)) == 1
+
+
+def excluded(run: str, tokens: tiktoken.Encoding, ratio: float) -> bool:
+    """Known forms, and identifiers made of words that are words to the vocabulary too."""
+    return known(run) or bool(WORDS.fullmatch(run)) and all(cheap(p, tokens, ratio) for p in PART.findall(run))
+
+
+def dear_stretches(run: str, tokens: tiktoken.Encoding, ratio: float) -> list[tuple[int, int]]:
+    """Stretches of neighbouring parts that are not cheap; parts of up to three characters do not end one."""
+    out: list[tuple[int, int]] = []
+    going = False
+    for m in PART.finditer(run):
+        dear = not cheap(m[0], tokens, ratio) and not known(m[0])
+        if dear:
+            out.append((out.pop()[0], m.end()) if going else m.span())
+        going = dear or going and len(m[0]) <= 3
+    return out
 
 
 def random_spans(text: str, tokens: tiktoken.Encoding, base: list[Span], ratio: float) -> list[Span]:
     found = []
     for m in RUN.finditer(text):
-        if not excluded(m[0]):
-            measured = len(m[0]) / len(tokens.encode_ordinary(m[0]))
-            if measured <= ratio:
-                found.append((-measured, ("random", *m.span())))
+        # The whole run, or else what stands between equal signs, or else the parts that are not words.
+        some = [m.span()]
+        for pattern in (None, VALUE, PART):
+            if pattern is VALUE:
+                some = [(m.start() + v.start(), m.start() + v.end()) for v in VALUE.finditer(m[0])]
+            elif pattern is PART:
+                some = [(a + x, a + y) for a, b in some for x, y in dear_stretches(text[a:b], tokens, ratio)]
+            good = [(a, b) for a, b in some if b - a >= MIN_LENGTH and not excluded(text[a:b], tokens, ratio)]
+            rates = [(measured(text[a:b], tokens), a, b) for a, b in good]
+            found += [(-rate, ("random", a, b)) for rate, a, b in rates if rate <= ratio]
+            if pattern is None and (found and found[-1][1][1:] == m.span() or excluded(m[0], tokens, ratio)):
+                break
     return apart(found, base)
 
 

@@ -298,6 +298,31 @@ def test_random_strings_and_exclusions():
         assert found(f"see {harmless} here") == []
 
 
+def test_random_strings_of_one_case_short_ones_and_those_behind_names():
+    tokens = secrets.encoding(open(secrets.VOCABULARY, "rb").read())
+    draw = np.random.default_rng(8)
+
+    def found(text):
+        return [text[a:b] for _, a, b in secrets.random_spans(text, tokens, secrets.base_spans(text), secrets.MAX_RATIO)]
+
+    def some(letters, n):
+        return "".join(draw.choice(list(letters), n))
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    for letters, n in ((lower, 24), (upper, 24), (upper + lower + "0123456789", 12), (upper + lower + "0123456789", 16)):
+        keys = [some(letters, n) for _ in range(100)]
+        assert sum(found(f"the key {k} is here") == [k] for k in keys) >= 97
+    for _ in range(50):
+        key = "-".join(some(upper, 5) for _ in range(5))
+        assert found(f"the key {key} is here") == [key]
+        long = some(upper + lower + "0123456789", 20)
+        name = "internationalization_and_localization_application_configuration_identification"
+        assert found(f"the {name}={long} is here") == [long]
+        assert found(f"the {name}/{long} is here") == [long]
+    for harmless in ("2024-01-15T10", "20240115T101530Z", "+1-743-555-3824", "978-3-16-148410-0", "THE_QUICK_BROWN_FOX", "getUserNameById", "src/main/java/com/example", "configuration", "verantwoordelijkheid", "=-=-=-=-=-=-=-", "+----+-----+----+"):
+        assert found(f"see {harmless} here") == []
+
+
 def test_empty_tables(nothing, spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int")
     items = spark.createDataFrame([], "item_id bigint, text string")
