@@ -178,6 +178,32 @@ def test_trees_select_other_spellings(real):
     assert bad <= 0.05 * total and (good >= 0.8 * total or model.thresholds["phone"] == 1.0)
 
 
+def test_trees_select_families_without_base_pattern(real):
+    """IPv6 addresses, cards of 13 to 15 digits, mail names outside ASCII: in unseen texts, with look-alikes."""
+    model = pii.train(real[0])
+    assert all(t < 1.0 for t in model.thresholds.values())
+    draw, found = np.random.default_rng(9), Counter()
+
+    def wholly(kind, body):
+        text = f"and the answer of her was {body} for all"
+        return (kind, 26, 26 + len(body)) in pii.all_spans(text, model)[1]
+
+    for i in range(50):
+        digits = "".join(map(str, draw.integers(0, 10, 13)))
+        amex = next(c for d in range(10) if pii.luhn(c := f"3{'47'[i % 2]}{digits[:12]}{d}"))
+        six = ":".join(f"{x:x}" for x in draw.integers(4096, 65536, 8))
+        found["six"] += wholly("ip", six)
+        found["short six"] += wholly("ip", f"fe80::{six[:9]}")
+        found["amex"] += wholly("card", amex)
+        found["spaced amex"] += wholly("card", f"{amex[:4]} {amex[4:10]} {amex[10:]}")
+        found["mail"] += wholly("email", f"n{digits[:3]}.josé@mail{i}.example.org")
+        found["phone"] += wholly("phone", f"({digits[:3]}) 555-{1000 + 37 * i}")
+        wrong = amex[:-1] + str((int(amex[-1]) + 1 + i % 8) % 10)
+        mac = ":".join(f"{x:02x}" for x in draw.integers(0, 256, 6))
+        found["bad"] += wholly("card", wrong) + wholly("ip", mac) + wholly("ip", f"10:{i:02d}:59")
+    assert found["bad"] <= 5 and all(found[k] >= 40 for k in ("six", "short six", "amex", "spaced amex", "mail", "phone")), found
+
+
 def test_token_counts(docs, cases, real):
     encode = secrets.encoding(open(secrets.VOCABULARY, "rb").read()).encode_ordinary
     for df, rows in both(docs, cases, real):
