@@ -204,6 +204,15 @@ def test_trees_select_families_without_base_pattern(real):
     assert found["bad"] <= 5 and all(found[k] >= 40 for k in ("six", "short six", "amex", "spaced amex", "mail", "phone")), found
 
 
+def test_rare_kinds_are_sampled(spark):
+    """A few documents with a telephone number among very many with other digits still train the trees."""
+    rows = [(i, f"line {i} of the list has {i * 7} entries") for i in range(4000)]
+    rows += [(5000 + i, f"and then of her was +1 (2{i % 10}{i // 10}) 555-{1000 + 41 * i} for all") for i in range(30)]
+    model = pii.train(spark.createDataFrame(rows, "doc_id bigint, text string"), sample_rows=50)
+    text = "and then of her was (743) 555-3824 for all"
+    assert model.thresholds["phone"] < 1.0 and ("phone", 20, 34) in pii.all_spans(text, model)[1]
+
+
 def test_token_counts(docs, cases, real):
     encode = secrets.encoding(open(secrets.VOCABULARY, "rb").read()).encode_ordinary
     for df, rows in both(docs, cases, real):
