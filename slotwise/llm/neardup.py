@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import reduce
 from itertools import accumulate, combinations
 from math import comb
 
@@ -253,6 +254,7 @@ MISS = 0.001  # share of links at a similarity of 0.8 that no grid shows, at any
 # Chance that a two-bit segment has the same popcount: in unrelated texts, and in texts of a similarity of 0.8.
 SAME_BY_CHANCE, SAME_IN_COPIES = 0.375, 0.731
 CELL_POINTS = 512
+GRIDS_AT_ONCE = 24
 SIMILARITY = 0.8
 SET_CHUNK = 256  # shingle sets of a group that one task compares with as many others
 _COLUMNS = 4096
@@ -355,8 +357,13 @@ def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: flo
     points = stored(points.select("fp", "first", *[F.col(f"first.{w}").alias(w) for w in words]), "points")
     spots = [embedding(F.col(w)) for w in words]
     cells = [F.xxhash64(F.lit(g), *[s.bitwiseAND(F.lit(m)) for s, m in zip(spots, masks) if m]) for g, masks in enumerate(grids(points.count()))]
-    placed = points.select("fp", *words, F.explode(F.array(*cells)).alias("cell"))
-    groups = connected(stored(_linked(placed, radius), "links")).join(points.select("fp", F.col("first._row").alias("_row")), "fp")
+    # Some grids at a time: neither the plan nor the shuffled cells grow with the number of grids.
+    found = []
+    for at in range(0, len(cells), GRIDS_AT_ONCE):
+        placed = points.select("fp", *words, F.explode(F.array(*cells[at : at + GRIDS_AT_ONCE])).alias("cell"))
+        found.append(stored(_linked(placed, radius), "links"))
+    links = reduce(DataFrame.union, found).distinct()
+    groups = connected(stored(links, "links")).join(points.select("fp", F.col("first._row").alias("_row")), "fp")
     labels = connected(stored(_similar(rows, groups, similarity), "links"))
     best = _grouped(points, labels).groupBy("root").agg(F.min("first").alias("first"))
     kept = rows.join(stored(best.select(F.col("first._row").alias("_row")), "kept"), "_row", "left_semi")
