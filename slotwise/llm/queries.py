@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import chat, decontamination, mixing, neardup, pii, quality, secrets, sharding, tokencount, urlfilter
+from slotwise.llm import chat, decontamination, infill, jaccard, mixing, neardup, negatives, pii, quality, secrets, sharding, tokencount, urlfilter
 from slotwise.llm.common import prepare, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,25 @@ def op10_secret_scan(spark, sf):
     return found.select("doc_id", *counts, "base_sha256", "spans", "n_random", F.length("redacted").alias("redacted_chars"))
 
 
+@query
+def op11_fill_in_middle(spark, sf):
+    made = infill.restored(infill.examples(read(spark, sf, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query
+def op12_jaccard_join(spark, sf):
+    return jaccard.jaccard_join(read(spark, sf, "documents"))
+
+
+@query
+def op13_hard_negatives(spark, sf):
+    rows = read(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(negatives.scaled(rows.withColumn("label", label)), F.col("vec_id") % 100 == 0)
+
+
 _HOST = r"rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#@:]*)', 1)), '.')"
 
 SQL["op2_url_filter"] = rf"""
@@ -152,3 +171,33 @@ n as (select item_id, count(*) as n_shingles from i group by item_id),
 hit as (select doc_id, item_id, count(*) as n_shared from d join i using (s) group by all)
 select doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles as containment
 from hit join n using (item_id) where n_shared >= 0.8 * n_shingles - 1e-9"""
+
+
+_DRAWN = "cast('0x' || substr(sha256('1:' || doc_id), {}, 8) as bigint)"
+
+SQL["op11_fill_in_middle"] = rf"""
+with t as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as u,
+                  {_DRAWN.format(1)} as h1, {_DRAWN.format(9)} as h2, {_DRAWN.format(17)} as h3, {_DRAWN.format(25)} as h4 from documents),
+c as (select *, len(u) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as b,
+             case when text = '' or regexp_matches(text, '<[PSM]>') or h3 % 100 >= 90 then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from t),
+p as (select *, array_to_string(u[1:a], '') as prefix, array_to_string(u[a + 1:b], '') as middle, array_to_string(u[b + 1:], '') as suffix from c)
+select doc_id, cast(n as bigint) as n, form,
+       case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+       case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+       sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+       sha256(text) as restored_sha256 from p"""
+
+SQL["op13_hard_negatives"] = """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+           from embeddings where label is not null and embedding is not null
+           and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, a.label as own, b.vec_id as id, b.label, cast(list_dot_product(a.e, b.e) as bigint) as score
+      from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (select anchor_id, id as positive_id, score as positive_score from s where label = own
+      qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, id) as integer) as rank,
+       id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id) where label <> own and 100 * score between 30 * positive_score and 90 * positive_score
+qualify rank <= 10"""

@@ -107,3 +107,52 @@ def leaks(docs, items, threshold=0.8):
             if want and len(want & own) >= threshold * len(want) - 1e-9:
                 out.append((doc, item, len(want), len(want & own)))
     return out
+
+
+def jaccard_components(rows, percent):
+    """(doc_id, set size, smallest id reachable over links) of every row."""
+    sets = [frozenset(shingles(text, 4)) for _, text in rows]
+    distinct = list(dict.fromkeys(s for s in sets if s))
+    label = {s: i for i, s in enumerate(distinct)}
+    changed = True
+    pairs = [(x, y) for i, x in enumerate(distinct) for y in distinct[:i] if 100 * len(x & y) >= percent * len(x | y)]
+    while changed:
+        changed = False
+        for x, y in pairs:
+            least = min(label[x], label[y])
+            changed |= (label[x], label[y]) != (least, least)
+            label[x] = label[y] = least
+    first = {}
+    for (doc, _), s in zip(rows, sets):
+        if s and doc is not None:
+            first[label[s]] = min(doc, first.get(label[s], doc))
+    return [(doc, len(s), first.get(label[s]) if s else doc) for (doc, _), s in zip(rows, sets)]
+
+
+def infill(doc, text):
+    """n, form, prefix, middle, suffix and example of one document."""
+    text = text or ""
+    digest = hashlib.sha256(f"1:{'' if doc is None else doc}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    u = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    a, b = sorted((h[0] % (len(u) + 1), h[1] % (len(u) + 1)))
+    prefix, middle, suffix = "".join(u[:a]), "".join(u[a:b]), "".join(u[b:])
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return len(u), "plain", None, None, text
+    if h[3] % 100 < 20:
+        return len(u), "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return len(u), "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def hard_negatives(rows, is_anchor, positives=5, negatives=10):
+    """Rows are distinct (id, label, integers); ties of one id come in the order given."""
+    out = []
+    score = lambda x, y: sum(p * q for p, q in zip(x[2], y[2]))
+    for i, a in enumerate(rows):
+        if not is_anchor(a):
+            continue
+        ranked = sorted(((-score(a, r), r[0], j, r[1]) for j, r in enumerate(rows) if j != i))
+        for s, positive, _, label in [r for r in ranked if r[3] == a[1]][:positives]:
+            fit = [r for r in ranked if r[3] != a[1] and 30 * -s <= 100 * -r[0] <= 90 * -s][:negatives]
+            out += [(a[0], positive, k + 1, r[1], -s, -r[0]) for k, r in enumerate(fit)]
+    return out
