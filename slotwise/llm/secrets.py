@@ -5,7 +5,8 @@ MIN_LENGTH characters of a key alphabet: prose and identifiers are cheap under a
 not, so a run with few characters per token is marked `random`. Known digests (hexadecimal of 32, 40, 56, 64, 96 or 128
 characters in either case), UUIDs, plain numbers, times and identifiers made of words are excluded from the test, not
 from the base patterns; a word is what the vocabulary too has in few tokens, so a random string of one letter case is
-none. Of a run that is cheap as a whole, the values between equal signs and the stretches of dear parts are tested. The vocabulary is a parameter: its file is read on the driver and travels as a broadcast (bounded by
+none. How few is enough depends on alphabet and length: up to the length of long words, letters of one case must be
+dearer than mixed strings, or unknown words would be marked. Of a run that is cheap as a whole, the values between equal signs and the stretches of dear parts are tested. The vocabulary is a parameter: its file is read on the driver and travels as a broadcast (bounded by
 MAX_VOCABULARY bytes, checked).
 
 Defined results: a null text is empty and has no spans; repeated rows and rows without an id each keep their row; extra
@@ -38,6 +39,9 @@ PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$
 MIN_LENGTH = 12
 LEAST_GROUPED = 20  # shorter digits with separators are telephone, book and other numbers
 MAX_RATIO = 2.2  # characters per token at most
+# Letters of one case have a lower limit as long as they are no longer than words are: unknown words of 12 to 18 letters
+# lie at 1.6 to 2.2, random strings of 12 lower-case letters at 1.7 on average, of 12 capitals at 1.5.
+ONE_CASE, ONE_CASE_RATIO, LONGEST_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+"), 1.6, 19
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_LENGTH)
 DIGEST = re.compile(r"(?:[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})")
 UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
@@ -71,6 +75,11 @@ def measured(run: str, tokens: tiktoken.Encoding) -> float:
     return len(run) / len(tokens.encode_ordinary(run))
 
 
+def limit(run: str, ratio: float) -> float:
+    """The ratio up to which a run is taken for random: it depends on its alphabet and length."""
+    return min(ratio, ONE_CASE_RATIO) if MIN_LENGTH <= len(run) <= LONGEST_WORD and ONE_CASE.fullmatch(run) else ratio
+
+
 def known(run: str) -> bool:
     """Known digests, UUIDs, numbers and times."""
     number = run.isdigit() or len(run) < LEAST_GROUPED and not LETTER.search(run)
@@ -79,7 +88,7 @@ def known(run: str) -> bool:
 
 def cheap(part: str, tokens: tiktoken.Encoding, ratio: float) -> bool:
     """A short number, or letters that the vocabulary knows as one word or as few pieces."""
-    return (part.isdigit() and len(part) <= 4) or measured(part, tokens) > ratio or len(tokens.encode_ordinary(part)) == 1
+    return (part.isdigit() and len(part) <= 4) or measured(part, tokens) > limit(part, ratio) or len(tokens.encode_ordinary(part)) == 1
 
 
 def excluded(run: str, tokens: tiktoken.Encoding, ratio: float) -> bool:
@@ -111,7 +120,7 @@ def random_spans(text: str, tokens: tiktoken.Encoding, base: list[Span], ratio:
                 some = [(a + x, a + y) for a, b in some for x, y in dear_stretches(text[a:b], tokens, ratio)]
             good = [(a, b) for a, b in some if b - a >= MIN_LENGTH and not excluded(text[a:b], tokens, ratio)]
             rates = [(measured(text[a:b], tokens), a, b) for a, b in good]
-            found += [(-rate, ("random", a, b)) for rate, a, b in rates if rate <= ratio]
+            found += [(-rate, ("random", a, b)) for rate, a, b in rates if rate <= limit(text[a:b], ratio)]
             if pattern is None and (found and found[-1][1][1:] == m.span() or excluded(m[0], tokens, ratio)):
                 break
     return apart(found, base)
