@@ -7,8 +7,8 @@ least one of the k. No such document can be missed. The sketches of a block of i
 shingles, so their size is bounded) travel with the task; every document's shingles are hashed in numpy and looked up,
 and the few documents that hit are checked against the items' shingles themselves. More items mean more blocks.
 
-Defined results: shingles are five lower-cased (A-Z) words; a text of fewer words is one shingle, one without words has
-none and never matches; a null item or document text is empty; every repeated row is reported by itself; extra columns
+Defined results: shingles are five lower-cased (A-Z) words; an item of fewer words is one shingle, which is searched
+among all runs of as many words; a text without words has none and never matches; a null item or document text is empty; every repeated row is reported by itself; extra columns
 are dropped; an empty table on either side gives no rows.
 """
 
@@ -45,34 +45,43 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def shingle_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles and, for each row, the number of its first one (one more entry at the end)."""
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word and, for each row, that of its first one (one more entry at the end)."""
     data = _LOWER[data]
     starts, ends, first = scan_words(data, offsets)
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+        return np.zeros(0, np.uint64), first
     up, down = _powers(len(data) + 1)
     prefix = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=prefix[1:])
     word = (prefix[ends] - prefix[starts]) * down[starts]
     word ^= word >> np.uint64(31)
     word *= np.uint64(0x9E3779B97F4A7C15)
-    count = np.diff(first)
-    shingles = np.where(count > 0, np.maximum(count - SHINGLE + 1, 1), 0)
-    begin = np.concatenate([[0], shingles.cumsum()])
-    at = np.repeat(first[:-1] - begin[:-1], shingles) + np.arange(begin[-1])
-    length = np.repeat(np.minimum(count, SHINGLE), shingles)
-    out = length.astype(np.uint64)
-    for i in range(SHINGLE):
-        some = word[np.minimum(at + i, len(word) - 1)] * _STEP[i]
-        out += np.where(i < length, some, np.uint64(0))
+    return word, first
+
+
+def run_hashes(word: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of `length` words and, for each row, the number of its first one (one more entry at the end)."""
+    runs = np.maximum(np.diff(first) - length + 1, 0)
+    begin = np.concatenate([[0], runs.cumsum()])
+    at = np.repeat(first[:-1] - begin[:-1], runs) + np.arange(begin[-1])
+    out = np.full(begin[-1], length, np.uint64)
+    for i in range(length):
+        out += word[at + i] * _STEP[i]
     out ^= out >> np.uint64(32)
     return out, begin
 
 
-def shingles(text: str | None) -> set[bytes]:
+def runs(text: str | None, length: int) -> set[bytes]:
+    """All runs of `length` words of a text."""
     words = (text or "").encode().lower().split()
-    return {b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
+    return {b" ".join(words[i : i + length]) for i in range(len(words) - length + 1)}
+
+
+def shingles(text: str | None) -> set[bytes]:
+    """The shingles of an item."""
+    count = len((text or "").encode().split())
+    return runs(text, min(count, SHINGLE)) if count else set()
 
 
 class Items:
@@ -82,11 +91,14 @@ class Items:
         self.rows = [(item, found) for item, text in rows if (found := shingles(text))]
         self.threshold = threshold
         owners = defaultdict(set)
+        # Words of an item's shingles: five, or all that a shorter item has.
+        self.length = [next(iter(found)).count(b" ") + 1 for _, found in self.rows]
+        self.lengths = sorted(set(self.length))
         for place, (_, found) in enumerate(self.rows):
             size_class = 2 ** len(found).bit_length() - 1  # largest size of the class
             most_missed = int(size_class * (1 - threshold) + 1e-9)
             column = pa.array([s.decode("utf-8", "surrogateescape") for s in sorted(found)])
-            sketch = np.sort(shingle_hashes(*text_buffer(column))[0])[: most_missed + 1]
+            sketch = np.sort(run_hashes(*word_hashes(*text_buffer(column)), self.length[place])[0])[: most_missed + 1]
             for h in sketch.tolist():
                 owners[h].add(place)
         self.owners = dict(owners)
@@ -95,8 +107,8 @@ class Items:
         self.table[self.hashes >> np.uint64(44)] = True
 
     def hits(self, text: bytes, places: set[int]) -> list[tuple[int, int, int]]:
-        own = shingles(text.decode())
-        found = [(self.rows[p][0], len(self.rows[p][1]), len(self.rows[p][1] & own)) for p in sorted(places)]
+        own = {n: runs(text.decode(), n) for n in {self.length[p] for p in places}}
+        found = [(self.rows[p][0], len(self.rows[p][1]), len(self.rows[p][1] & own[self.length[p]])) for p in sorted(places)]
         return [f for f in found if f[2] >= self.threshold * f[1] - 1e-9]
 
 
@@ -118,12 +130,13 @@ def _search(items: Items):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             data, offsets = text_buffer(batch.column("text"))
-            hashes, begin = shingle_hashes(data, offsets)
-            at = np.flatnonzero(items.table[hashes >> np.uint64(44)])
-            at = at[np.isin(hashes[at], items.hashes)]
-            places = defaultdict(set)
-            for row, h in zip((np.searchsorted(begin, at, side="right") - 1).tolist(), hashes[at].tolist()):
-                places[row] |= items.owners[h]
+            words, places = word_hashes(data, offsets), defaultdict(set)
+            for length in items.lengths:
+                hashes, begin = run_hashes(*words, length)
+                at = np.flatnonzero(items.table[hashes >> np.uint64(44)])
+                at = at[np.isin(hashes[at], items.hashes)]
+                for row, h in zip((np.searchsorted(begin, at, side="right") - 1).tolist(), hashes[at].tolist()):
+                    places[row] |= items.owners[h]
             found = [(r, *hit) for r in sorted(places) for hit in items.hits(data[offsets[r] : offsets[r + 1]].tobytes(), places[r])]
             rows, ids, size, shared = ([f[i] for f in found] for i in range(4))
             out = {"doc_id": batch.column("doc_id").take(pa.array(rows, pa.int64())), "item_id": pa.array(ids, pa.int64())}
