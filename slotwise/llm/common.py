@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.session import ship_package
+from slotwise.session import ship_package, stored
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # White space of the word pattern, as bytes.
@@ -52,6 +52,30 @@ def row_hash(*columns: str):
     return F.xxhash64(*columns, *[F.col(c).isNull() for c in columns])
 
 
+COPIES_AT_ONCE = 1000
+
+
+def repeated_rows(rows: DataFrame) -> DataFrame:
+    """(_row, _copies) of the row hashes that occur more than once in rows with a `_row`, stored."""
+    counts = rows.groupBy("_row").agg(F.count("*").alias("_copies"))
+    return stored(counts.where("_copies > 1"), "repeated")
+
+
+def with_copies(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows with `_copy`, which numbers fully equal rows from 0.
+
+    Equal rows cannot be told apart, so one of them stands for all and is copied again as often as it occurs, some
+    copies at a time: neither the counting nor the copying of a very frequent row is the work of one task.
+    """
+    if repeated.isEmpty():
+        return rows.withColumn("_copy", F.lit(0).cast("long"))
+    single = rows.join(repeated, "_row", "left_anti").select(*rows.columns).withColumn("_copy", F.lit(0).cast("long"))
+    chosen = rows.join(repeated, "_row").dropDuplicates(["_row"])
+    chunks = chosen.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_copies - 1) div {COPIES_AT_ONCE}"))))
+    copies = F.sequence(F.col("_chunk") * COPIES_AT_ONCE, F.least((F.col("_chunk") + 1) * COPIES_AT_ONCE, "_copies") - 1)
+    return single.union(chunks.repartition("_row", "_chunk").select(*rows.columns, F.explode(copies).alias("_copy")))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut into slices of about PIECE_BYTES of text, so that working memory stays bounded."""
     for batch in batches:

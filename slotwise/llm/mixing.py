@@ -7,7 +7,7 @@ a source takes block P(j mod n) of its n blocks, P being a pseudorandom permutat
 own for each pass. Blocks and slots then meet in one join by (source, block index).
 
 Stream positions come from running sums within hash buckets of a source, over bucket totals, so a source that holds a
-third of all rows is summed by many tasks. Only one row per source and a few figures reach the driver.
+third of all rows, or a row that is repeated as often, is summed by many tasks. Only one row per source and a few figures reach the driver.
 
 Defined results: a null or blank text has size 0 and is never taken; a null source is a source and comes last; repeated
 rows each have their own place in the stream; rows without an id are mixed like others; extra columns are dropped; an
@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotwise.llm.common import documents, pieces, prepare, row_hash, scan_words, text_buffer
+from slotwise.llm.common import documents, pieces, prepare, repeated_rows, row_hash, scan_words, text_buffer, with_copies
 from slotwise.session import stored
 
 WEIGHTS = (5, 2, 1)  # fixed values, repeating over the sources in order
 MOST_REPEATS = 3  # fixed value: no block is taken more often
 BLOCK_WORDS = 128
 SHARD_SLOTS = 4096
-BUCKET_ROWS = 4_000
+BUCKET_ROWS = 500
 SEED = 7
 
 
@@ -72,6 +72,20 @@ def permuted(index: np.ndarray, n: int, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def place_of(value: int, n: int, key: np.uint64) -> int:
+    """The index that `permuted` maps to `value`: the same network walked backwards."""
+    half = np.uint64(max(1, (max(n - 1, 1).bit_length() + 1) // 2))
+    mask = (np.uint64(1) << half) - np.uint64(1)
+    out = np.array([value], np.uint64)
+    while True:
+        left, right = out >> half, out & mask
+        for turn in reversed(range(4)):
+            left, right = right ^ (_mixed(left, key + np.uint64(turn * 0x51ED27)) & mask), left
+        out = (left << half) | right
+        if out[0] < n:
+            return int(out[0])
+
+
 def _blocks(size: int, words: int) -> int:
     return -(-size // words)
 
@@ -83,8 +97,7 @@ def _slots(size: int, target: Fraction, words: int, source: int, seed: int) -> i
         return 0
     passes, rest = divmod(target, size)
     last = size - (n - 1) * words
-    order = permuted(np.arange(n), n, np.full(n, _key(source, int(passes), seed))) if n <= 1 << 16 else None
-    short = int(np.flatnonzero(order == n - 1)[0]) if order is not None else n
+    short = place_of(n - 1, n, _key(source, int(passes), seed))
     taken = lambda k: k * words - (words - last) * (k > short)
     k = min(int(rest // words), n)
     best = min({k, min(k + 1, n), min(k + 2, n)}, key=lambda j: abs(taken(j) - rest))
@@ -185,7 +198,8 @@ class Mix:
         shape = "src string, number bigint, source_size bigint, target double, blocks bigint, slots bigint"
         self.recipe = self.spark.createDataFrame(recipe, shape)
         self.buckets = max(1, -(-sum(r.rows for r in totals) // BUCKET_ROWS))
-        self.narrow = self._dealt(narrow)
+        repeated = repeated_rows(narrow)
+        self.narrow = self._dealt(with_copies(narrow, repeated))
         shards = max(1, -(-sum(r[5] for r in recipe) // shard_slots))
         deals = "src string, number bigint, blocks bigint, shard bigint, first bigint, count bigint"
         dealt = self.recipe.where("slots > 0").select("src", "number", "blocks", "slots").repartition("src").mapInArrow(_deal(shards, seed), deals)
@@ -194,22 +208,22 @@ class Mix:
         before = Window.partitionBy("src").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = self.narrow.groupBy("src", "_bucket").agg(F.sum("size").alias("_sum"))
         self.base = stored(sums.select("src", "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base")), "mix-base")
-        self.docs = rows
+        self.docs = with_copies(rows, repeated)
         self.places = self._placed(self.narrow).join(self.recipe.select("src", "source_size", "target"), "src")
 
     def _dealt(self, rows: DataFrame) -> DataFrame:
         """Rows with the key of their source and their bucket."""
         rows = rows.withColumn("src", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
-        return rows.withColumn("_bucket", F.pmod("_row", F.lit(self.buckets)))
+        return rows.withColumn("_bucket", F.pmod(F.col("_row").bitwiseXOR(F.col("_copy")), F.lit(self.buckets)))
 
     def _placed(self, rows: DataFrame) -> DataFrame:
-        before = Window.partitionBy("src", "_bucket").orderBy("_row", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy("src", "_bucket").orderBy("_row", "_copy").rowsBetween(Window.unboundedPreceding, -1)
         rows = rows.withColumn("_before", F.coalesce(F.sum("size").over(before), F.lit(0)))
         return rows.join(self.base, ["src", "_bucket"]).withColumn("start", F.col("_base") + F.col("_before"))
 
     def blocks(self) -> DataFrame:
         """One row per block: src, block and its pieces in order."""
-        keep = ["doc_id", "text", "lang", "source", "n_chars", "_row"]
+        keep = ["doc_id", "text", "lang", "source", "n_chars", "_row", "_copy"]
         placed = self._placed(self._dealt(_sized(self.docs, keep).where("size > 0")))
         cut, shape = _cut(self.words, dict(placed.dtypes))
         cols = ("doc_id", "text", "lang", "source", "n_chars", "src", "start")
