@@ -131,7 +131,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, cl
 
     found = rows.mapInArrow(measure, "quality int, failed boolean, features array<double>").where("not failed")
     # A repeated id may bring more rows than labels: the bound holds for them too.
-    sample = found.orderBy("features", "quality").limit(sample_rows).collect()
+    sample = found.orderBy(F.xxhash64("features"), "features", "quality").limit(sample_rows).collect()
     x = np.array([r.features for r in sample], float).reshape(-1, len(FEATURES))
     y = np.array([r.quality for r in sample], float)
     trees = fit(x, y, np.array(MONOTONE))
