@@ -11,11 +11,11 @@ one star per connected group, never its pairs. A crowded cell is cut into chunks
 of its own. Components are then found by contraction over tables in the shared folder.
 
 `unique_documents` is the same search for copies at a five-word similarity of 0.8, which 64 bits cannot resolve: 256
-bits of the shingle sets (repeats count once), 128 segments, and grids that each keep a few segments. How
-many segments follows from the number of points, how many grids from the share of links that may be missed, which is
-the same at any size; nothing in a cell is left out. The groups found so are then taken apart by the exact similarity
-of their shingle sets, compared in chunks within a group, so only texts of a similarity of 0.8 or more, or chains of
-such, count as copies.
+bits of the shingle sets (repeats count once). At the distances that such copies have, grids over segments would have to
+grow in number with the table, so the cells come from a fixed number of min-hashes of the set instead; inside a cell
+the Manhattan bound and the exact distance decide as before, and nothing is left out. The groups found so are
+then taken apart by the exact similarity of their shingle sets (`sets.verified`), so only texts of a similarity of 0.8
+or more, or chains of such, count as copies.
 
 Defined results: a null or blank text has fingerprint zero and links like any other; repeated rows share a component;
 a component without any id has a null `component_id`; extra columns are dropped; an empty table gives no rows.
@@ -23,11 +23,8 @@ a component without any id has a null `component_id`; extra columns are dropped;
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
-from functools import reduce
 from itertools import accumulate, combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import documents, pick, pieces, prepare, row_hash, text_buffer
+from slotwise.llm.sets import near_texts, star_edges, verified
 from slotwise.session import stored
 
 RADIUS = 4
@@ -130,23 +128,7 @@ def stars(names: np.ndarray, words: np.ndarray, radius: int) -> tuple[np.ndarray
     exact = _distance(words[a], words[b]) <= radius
     near = np.zeros(bound.shape, bool)
     near[a[exact], b[exact]] = near[b[exact], a[exact]] = True
-    return _star_edges(names, near)
-
-
-def _star_edges(names: np.ndarray, near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    left = np.ones(len(names), bool)
-    out: list[tuple[np.ndarray, np.ndarray]] = [(names[:0], names[:0])]
-    for root in np.flatnonzero(near.any(axis=1)):
-        if not left[root]:
-            continue
-        left[root] = False
-        front = np.array([root])
-        while len(front):
-            front = np.flatnonzero(near[front].any(axis=0) & left)
-            left[front] = False
-            out.append((np.full(len(front), names[root]), names[front]))
-    first, second = (np.concatenate(part) for part in zip(*out))
-    return first, second
+    return star_edges(names, near)
 
 
 def _cell_links(radius: int):
@@ -250,87 +232,39 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 WIDE_WORDS, WIDE_SHINGLE = 4, 5
 WIDE_RADIUS = 60  # of 256 bits: at a similarity of 0.8, 39 differ on average, 57 or fewer in 999 of 1000
-MISS = 0.001  # share of links at a similarity of 0.8 that no grid shows, at any number of points
-# Chance that a two-bit segment has the same popcount: in unrelated texts, and in texts of a similarity of 0.8.
-SAME_BY_CHANCE, SAME_IN_COPIES = 0.375, 0.731
-CELL_POINTS = 512
-GRIDS_AT_ONCE = 24
-SIMILARITY = 0.8
-SET_CHUNK = 256  # shingle sets of a group that one task compares with as many others
-_COLUMNS = 4096
-
-
-def missed(segments: int, count: int) -> float:
-    """Share of links at a similarity of 0.8 that no one of `count` grids shows. A pair's own number of equal segments varies."""
-    every = 32 * WIDE_WORDS
-    chance = [comb(every, k) * SAME_IN_COPIES**k * (1 - SAME_IN_COPIES) ** (every - k) for k in range(every + 1)]
-    return sum(c * (1 - comb(k, segments) / comb(every, segments)) ** count for k, c in enumerate(chance))
-
-
-def grids(points: int) -> list[list[int]]:
-    """Masks over the words, one list per grid: the segments that it keeps, drawn by a fixed seed."""
-    segments = int(np.clip(np.ceil(np.log(max(points, 1) / CELL_POINTS) / -np.log(SAME_BY_CHANCE)), 3, 32))
-    count = bisect_left(range(1 << 40), True, key=lambda n: missed(segments, n) <= MISS)
-    draw = np.random.default_rng(3)
-    out = []
-    for _ in range(count):
-        masks = [0] * WIDE_WORDS
-        for segment in draw.choice(32 * WIDE_WORDS, segments, replace=False).tolist():
-            masks[segment // 32] |= 3 << (2 * (segment % 32))
-        out.append([m - 2**64 if m >= 2**63 else m for m in masks])
-    return out
-
-
-def shared_shingles(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """How many elements each two of the sets have in common; set i is values[offsets[i]:offsets[i + 1]]."""
-    n = len(offsets) - 1
-    _, place, count = np.unique(values, return_inverse=True, return_counts=True)
-    column = np.where(count > 1, np.cumsum(count > 1) - 1, -1)[place]
-    owner = np.repeat(np.arange(n), np.diff(offsets))
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    out = np.zeros((n, n), np.float64)
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
-        a, b = np.searchsorted(column, [low, low + _COLUMNS])
-        holds = np.zeros((n, _COLUMNS), np.float32)
-        holds[owner[a:b], column[a:b] - low] = 1
-        out += holds @ holds.T
-    return out
+SIMILARITY_PERCENT = 80
+# Cells of a set: BANDS hashes of BAND_ROWS min-hashes each. Two sets of a similarity of 0.8 share none with chance
+# (1 - 0.8^3)^16 = 1e-5, whatever the number of points; two of a similarity of 0.1 share one with chance 0.016.
+BANDS, BAND_ROWS = 16, 3
+_DRAWN = np.random.default_rng(3).integers(0, 2**63, (2, BANDS * BAND_ROWS), dtype=np.uint64)
 
 
-def _set_links(similarity: float):
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                names, sets = batch.column("points").slice(i, 1).flatten().flatten()
-                names, offsets = names.to_numpy(), np.asarray(sets.offsets)
-                shared = shared_shingles(sets.flatten().to_numpy(), offsets - offsets[0])
-                size = np.diff(offsets)
-                near = shared >= similarity * (size[:, None] + size[None, :] - shared) - 1e-9
-                np.fill_diagonal(near, False)
-                a, b = _star_edges(names, near)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
-
-    return links
+def missed(similarity: float) -> float:
+    """Share of links of a similarity that no cell shows."""
+    return (1 - similarity**BAND_ROWS) ** BANDS
 
 
-def _similar(rows: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
-    """Edges (a, b) among the points (fp, root, _row) of each group whose shingle sets are similar."""
+def cells_of(hashes: np.ndarray) -> np.ndarray:
+    """The cells of a set of shingle hashes; those of an empty set are all its own."""
+    if not len(hashes):
+        return np.zeros(BANDS, np.int64)
+    least = np.empty(BANDS * BAND_ROWS, np.uint64)
+    for i, (mask, factor) in enumerate(_DRAWN.T):
+        mixed = (hashes ^ mask) * (factor | np.uint64(1))
+        least[i] = (mixed ^ (mixed >> np.uint64(32))).min()
+    bands = least.reshape(BANDS, BAND_ROWS)
+    return np.array([xxhash.xxh64_intdigest(band.tobytes(), i) for i, band in enumerate(bands)], np.uint64).view(np.int64)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            data, offsets = text_buffer(batch.column("text"))
-            sets = [np.unique(shingle_hashes(data[a:b].tobytes(), WIDE_SHINGLE)).view(np.int64) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_pydict({"fp": batch.column("fp"), "shingles": pa.array(sets, pa.list_(pa.int64())), "cell": batch.column("root"), "n": batch.column("n")})
 
-    # Group sizes are summed in parts, so that no task holds the sets of a whole group.
-    counted = groups.join(groups.groupBy("root").agg(F.count("*").alias("n")), "root")
-    told = rows.select("_row", "text").join(counted, "_row").select("fp", "root", "n", "text")
-    placed = told.mapInArrow(cut, "fp bigint, shingles array<bigint>, cell bigint, n bigint").dropDuplicates(["fp"])
-    return _met(stored(placed, "sets"), SET_CHUNK).mapInArrow(_set_links(similarity), "a bigint, b bigint").distinct()
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(point, tokens) of rows (point, text)."""
+    for batch in pieces(batches):
+        data, offsets = text_buffer(batch.column("text"))
+        sets = [np.unique(shingle_hashes(data[a:b].tobytes(), WIDE_SHINGLE)).view(np.int64) for a, b in zip(offsets[:-1], offsets[1:])]
+        yield pa.RecordBatch.from_pydict({"point": batch.column("point"), "tokens": pa.array(sets, pa.list_(pa.int64()))})
 
 
-def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """Documents of which one (smallest id) stays of every group of near copies at five-word similarity."""
     prepare(docs.sparkSession)
     rows = documents(docs).withColumn("_row", row_hash("doc_id", "text", "lang", "source", "n_chars"))
@@ -345,27 +279,24 @@ def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, similarity: flo
             hashes = [np.unique(h) for h in hashes]
             found = np.array([wide_fingerprint(h, WIDE_WORDS) for h in hashes], np.int64)
             sets = np.array([xxhash.xxh64_intdigest(h.tobytes()) for h in hashes], np.uint64).view(np.int64)
+            cells = pa.array([cells_of(h) for h in hashes], pa.list_(pa.int64()))
             kept = {c: batch.column(c) for c in ("doc_id", "_row")}
-            yield pa.RecordBatch.from_pydict(kept | {"fp": pa.array(sets)} | {w: pa.array(found[:, i]) for i, w in enumerate(words)})
+            yield pa.RecordBatch.from_pydict(kept | {"fp": pa.array(sets)} | {w: pa.array(found[:, i]) for i, w in enumerate(words)} | {"cells": cells})
 
     # A point is a set of shingles; `fp` is its hash.
     kind = dict(rows.dtypes)["doc_id"]
-    shape = f"doc_id {kind}, _row bigint, fp bigint, " + ", ".join(f"{w} bigint" for w in words)
+    shape = f"doc_id {kind}, _row bigint, fp bigint, " + ", ".join(f"{w} bigint" for w in words) + ", cells array<bigint>"
     prints = stored(rows.select("doc_id", "_row", "text").mapInArrow(printed, shape), "prints")
-    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", *words)).alias("first")
+    chosen = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", *words, "cells")).alias("first")
     points = prints.groupBy("fp").agg(chosen)
-    points = stored(points.select("fp", "first", *[F.col(f"first.{w}").alias(w) for w in words]), "points")
-    spots = [embedding(F.col(w)) for w in words]
-    cells = [F.xxhash64(F.lit(g), *[s.bitwiseAND(F.lit(m)) for s, m in zip(spots, masks) if m]) for g, masks in enumerate(grids(points.count()))]
-    # Some grids at a time: neither the plan nor the shuffled cells grow with the number of grids.
-    found = []
-    for at in range(0, len(cells), GRIDS_AT_ONCE):
-        placed = points.select("fp", *words, F.explode(F.array(*cells[at : at + GRIDS_AT_ONCE])).alias("cell"))
-        found.append(stored(_linked(placed, radius), "links"))
-    links = reduce(DataFrame.union, found).distinct()
-    groups = connected(stored(links, "links")).join(points.select("fp", F.col("first._row").alias("_row")), "fp")
-    labels = connected(stored(_similar(rows, groups, similarity), "links"))
-    best = _grouped(points, labels).groupBy("root").agg(F.min("first").alias("first"))
+    points = stored(points.select("fp", "first", "first.cells", *[F.col(f"first.{w}").alias(w) for w in words]), "points")
+    placed = points.select("fp", *words, F.explode("cells").alias("cell"))
+    links = stored(_linked(placed, radius), "links")
+    groups = stored(connected(links).select(F.col("fp").alias("point"), F.col("root").alias("cell")), "groups")
+    wanted = stored(groups.join(points.select(F.col("fp").alias("point"), F.col("first._row").alias("_row")), "point").select("point", "_row"), "wanted")
+    sets = near_texts(rows, wanted).mapInArrow(_sets, "point bigint, tokens array<bigint>").dropDuplicates(["point"])
+    labels = connected(stored(verified(sets, groups, percent), "links"))
+    best = _grouped(points.select("fp", "first._row", "first.none", "first.doc_id"), labels).groupBy("root").agg(F.min(F.struct("none", "doc_id", "_row")).alias("first"))
     kept = rows.join(stored(best.select(F.col("first._row").alias("_row")), "kept"), "_row", "left_semi")
     # Fully equal rows have one row hash and would all stay.
     equal = stored(prints.groupBy("_row").count().where("count > 1").select("_row"), "equal")
