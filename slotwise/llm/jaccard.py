@@ -12,8 +12,9 @@ similarity is `percent` (85) or more. Equal sets are one point; only points are
    FREQUENT[1]) triples of its tokens; a class of k-token combinations adds k - 1 tokens to the prefix, which is
    extended until no e misses can remove every combination. The number of classes follows the size of the set, by
    levels of a factor two, and a set near the next level is indexed on both.
-3. Cells. Points that share a combination meet in its cell; of cells with the same members one is kept. Inside a cell
-   the overlaps of the zones are counted by matrix products, and points that can still be linked are joined to one star.
+3. Cells. Points that share a combination meet. Similar texts share very many, so the combinations with the same
+   smallest point form one cell, in which each point is listed once. Inside a cell the overlaps of the zones are counted
+   by matrix products, and points that can still be linked are joined to one star.
 4. Verification. The groups of these stars hold texts that are similar to a good half. Every point is compared exactly
    with one pivot of its group, which is linear; only those that do not link to the pivot are then compared with the
    rest of their group, in chunks.
@@ -38,15 +39,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import pick, pieces, prepare, row_hash, text_buffer
-from slotwise.llm.neardup import _star_edges, connected, shared_shingles, shingle_hashes
+from slotwise.llm.neardup import connected, shingle_hashes
+from slotwise.llm.sets import near_texts, shared_shingles, star_edges, verified
 from slotwise.session import stored
 
 SHINGLE, PERCENT = 4, 85
 SPARE = 8  # tokens of a zone beyond twice the misses
 FREQUENT = (64, 1024)  # zones that hold a token: above the first, pairs are indexed, above the second, triples
 GROUP = 8  # tokens of a class, about, in the prefix of a set
-ZONE_CHUNK, SET_CHUNK = 1024, 256  # zones of a cell, and sets of a group, that one task compares with as many others
-BROADCAST_ROWS = 1_000_000  # points, of 16 bytes, that are sent to every task; beyond it they are joined by a shuffle
+ZONE_CHUNK = 1024  # zones of a cell that one task compares with as many others
 
 
 def zone_size(n, percent: int):
@@ -160,7 +161,7 @@ def _overlaps(percent: int):
                 near = shared >= np.minimum(least[:, None], least[None, :])
                 near &= percent * np.maximum(n[:, None], n[None, :]) <= 100 * np.minimum(n[:, None], n[None, :])
                 np.fill_diagonal(near, False)
-                a, b = _star_edges(np.asarray(names), near)
+                a, b = star_edges(np.asarray(names), near)
                 first.append(a)
                 second.append(b)
             yield pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate(first)), "b": pa.array(np.concatenate(second))})
@@ -168,72 +169,6 @@ def _overlaps(percent: int):
     return links
 
 
-def _similar(size_x, size_y, shared, percent: int):
-    return 100 * shared >= percent * (size_x + size_y - shared)
-
-
-def _to_pivot(percent: int):
-    """Whether the set of each row links to the pivot's."""
-
-    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for i in range(batch.num_rows):
-                own, other = (np.asarray(batch.column(c).slice(i, 1).flatten()) for c in ("tokens", "pivot_tokens"))
-                shared = len(np.intersect1d(own, other, assume_unique=True))
-                good.append(bool(_similar(len(own), len(other), shared, percent)))
-            kept = {c: batch.column(c) for c in ("point", "cell", "pivot")}
-            yield pa.RecordBatch.from_pydict(kept | {"linked": pa.array(good, pa.bool_())})
-
-    return told
-
-
-def _across(percent: int):
-    """Stars of the linked points among `late` ones, and between these and all others, of one task."""
-
-    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for i in range(batch.num_rows):
-                names, late, sets = batch.column("points").slice(i, 1).flatten().flatten()
-                offsets = np.asarray(sets.offsets)
-                shared = shared_shingles(np.asarray(sets.flatten()), offsets - offsets[0])
-                size, late = np.diff(offsets), np.asarray(late.cast(pa.int8())).astype(bool)
-                near = _similar(size[:, None], size[None, :], shared, percent) & (late[:, None] | late[None, :])
-                np.fill_diagonal(near, False)
-                a, b = _star_edges(np.asarray(names), near)
-                first.append(a)
-                second.append(b)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(np.concatenate(first)), "b": pa.array(np.concatenate(second))})
-
-    return links
-
-
-def _verified(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect what links connect; `sets` is (point, tokens), `groups` (point, cell) of candidates."""
-    pivots = groups.groupBy("cell").agg(F.min("point").alias("pivot"), F.count("*").alias("members"))
-    placed = stored(sets.join(groups, "point"), "sets")
-    rows = placed.join(pivots.select("cell", "pivot"), "cell")
-    chosen = rows.where("point = pivot").select("pivot", F.col("tokens").alias("pivot_tokens"))
-    met = rows.where("point <> pivot").join(chosen, "pivot").select("point", "cell", "pivot", "tokens", "pivot_tokens")
-    judged = stored(met.mapInArrow(_to_pivot(percent), "point bigint, cell bigint, pivot bigint, linked boolean"), "judged")
-    # What does not link to the pivot meets all others of its group; those that do have no need of one another.
-    late = judged.where("not linked").select("point", "cell")
-    crowd = late.groupBy("cell").agg(F.count("*").alias("late_members")).join(pivots, "cell").where("members > 2")
-    columns = ("point", "tokens", "cell", "late", "i", "j")
-    everyone = placed.join(crowd, "cell").join(late.withColumn("late", F.lit(True)), ["point", "cell"], "left").withColumn("late", F.coalesce("late", F.lit(False)))
-    rows_of, late_rows = F.ceil(F.col("members") / SET_CHUNK), F.ceil(F.col("late_members") / SET_CHUNK)
-    hashed = F.xxhash64("point")
-    left = everyone.withColumn("i", F.pmod(hashed, rows_of)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), late_rows - 1)))
-    right = everyone.where("late").withColumn("j", F.pmod(hashed, late_rows)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), rows_of - 1)))
-    # A late point that is on both sides of a task is listed there once.
-    right = right.where(F.col("i") != F.pmod(hashed, rows_of))
-    tasks = left.select(*columns).union(right.select(*columns))
-    lists = tasks.groupBy("cell", "i", "j").agg(F.collect_list(F.struct("point", "late", "tokens")).alias("points"), F.max("late").alias("any")).where("any and size(points) > 1")
-    more = lists.select("points").mapInArrow(_across(percent), "a bigint, b bigint")
-    return judged.where("linked").select(F.col("pivot").alias("a"), F.col("point").alias("b")).union(more).distinct()
-
-
 def _least(size: Column, percent: int) -> Column:
     """`least_shared` as a column."""
     smallest = F.floor((percent * size + 99) / 100)
@@ -269,15 +204,13 @@ def _links(rows: DataFrame, chosen: DataFrame, zones: DataFrame, percent: int, s
     met = held.join(counts, "token").groupBy("point", "n").agg(F.collect_list(F.struct("token", "zones")).alias("shared"))
     indexed = stored(met.where(F.size("shared") >= _least(F.col("n"), percent)), "shared")
     sigs = stored(indexed.mapInArrow(_indexed(percent), "sig bigint, point bigint"), "signatures")
-    alike = [F.count("*").alias("members"), F.bit_xor(F.xxhash64("point")).alias("mark"), F.sum(F.xxhash64(F.lit(1), "point").cast("decimal(38,0)")).alias("sum")]
-    cells = sigs.groupBy(F.col("sig").alias("cell")).agg(*alike).where("members > 1")
-    cells = cells.groupBy("members", "mark", "sum").agg(F.min("cell").alias("cell")).select("cell", "members")
+    heads = sigs.groupBy("sig").agg(F.min("point").alias("cell"), F.count("*").alias("some")).where("some > 1").drop("some")
+    met = stored(sigs.join(heads, "sig").select("cell", "point").distinct(), "cells")
+    sizes = met.groupBy("cell").agg(F.count("*").alias("members"))
     short = indexed.select("point", "n", F.transform("shared", lambda s: s["token"]).alias("zone"))
-    placed = sigs.withColumnRenamed("sig", "cell").join(cells, "cell").join(short, "point")
+    placed = met.join(sizes, "cell").join(short, "point")
     stars = _dealt(placed.select("point", "n", "zone", "cell", "members"), ZONE_CHUNK).mapInArrow(_overlaps(percent), "a bigint, b bigint").distinct()
     groups = stored(connected(stored(stars, "links")).select(F.col("fp").alias("point"), F.col("root").alias("cell")), "groups")
     wanted = stored(groups.join(chosen.select(F.col("fp").alias("point"), "_row"), "point").select("point", "_row"), "wanted")
-    few = wanted.count() <= BROADCAST_ROWS
-    texts = rows.select("_row", "text").join(F.broadcast(wanted) if few else wanted, "_row")
-    sets = token_sets(texts, ("point",), shingle, lambda s: {"tokens": pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))}, "tokens array<bigint>")
-    return _verified(sets.dropDuplicates(["point"]), groups, percent)
+    sets = token_sets(near_texts(rows, wanted), ("point",), shingle, lambda s: {"tokens": pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))}, "tokens array<bigint>")
+    return verified(sets.dropDuplicates(["point"]), groups, percent)

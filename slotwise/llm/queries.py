@@ -162,13 +162,15 @@ select conv_id, n_turns, sha256(told) as turns_sha256, cast(length(learned) as b
        sha256(learned) as loss_sha256, cast(chars as bigint) as formatted_chars from said"""
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
-_SHINGLES = "unnest(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))))"
+_RUNS = "list_distinct(list_transform(range(1, len(w) - {0} + 2), lambda i: array_to_string(w[i:i + {0} - 1], ' ')))"
 
 SQL["op8_decontamination"] = rf"""
-with d as (select doc_id, {_SHINGLES} as s from (select doc_id, {_WORDS} as w from documents) where len(w) > 0),
-i as (select item_id, {_SHINGLES} as s from (select item_id, {_WORDS} as w from benchmark) where len(w) > 0),
+with iw as (select item_id, w, least(len(w), 5) as k from (select item_id, {_WORDS} as w from benchmark) where len(w) > 0),
+i as (select item_id, k, unnest({_RUNS.format("k")}) as s from iw),
+dw as (select doc_id, k, w from (select doc_id, {_WORDS} as w from documents) cross join (select distinct k from iw)),
+d as (select doc_id, k, unnest({_RUNS.format("k")}) as s from dw where len(w) >= k),
 n as (select item_id, count(*) as n_shingles from i group by item_id),
-hit as (select doc_id, item_id, count(*) as n_shared from d join i using (s) group by all)
+hit as (select doc_id, item_id, count(*) as n_shared from d join i using (k, s) group by all)
 select doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles as containment
 from hit join n using (item_id) where n_shared >= 0.8 * n_shingles - 1e-9"""
 

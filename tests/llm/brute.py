@@ -101,11 +101,12 @@ def leaks(docs, items, threshold=0.8):
     """(doc_id, item_id, n_shingles, n_shared) of every document row."""
     out = []
     for doc, text in docs:
-        own = set(shingles(text, 5))
+        own = {k: set(shingles(text, k)) if len(words(text)) >= k else set() for k in range(1, 6)}
         for item, said in items:
             want = set(shingles(said, 5))
-            if want and len(want & own) >= threshold * len(want) - 1e-9:
-                out.append((doc, item, len(want), len(want & own)))
+            own_runs = own[min(len(words(said)), 5)] if want else set()
+            if want and len(want & own_runs) >= threshold * len(want) - 1e-9:
+                out.append((doc, item, len(want), len(want & own_runs)))
     return out
 
 

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from slotwise.llm import infill, jaccard, negatives
+from slotwise.llm import infill, jaccard, negatives, sets
 from slotwise.llm.queries import QUERIES
 
 
@@ -118,7 +118,7 @@ def test_linked_sets_share_a_signature(monkeypatch):
 
 def test_large_group_is_compared_with_its_pivot_first(spark, monkeypatch):
     """Groups and cells beyond a chunk keep all links, those among points that do not link to the pivot as well."""
-    monkeypatch.setattr(jaccard, "SET_CHUNK", 8)
+    monkeypatch.setattr(sets, "SET_CHUNK", 8)
     monkeypatch.setattr(jaccard, "ZONE_CHUNK", 8)
     draw = random.Random(9)
     base = [f"w{draw.randrange(5000)}" for _ in range(150)]
