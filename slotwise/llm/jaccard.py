@@ -15,9 +15,9 @@ similarity is `percent` (85) or more. Equal sets are one point; only points are
 3. Cells. Points that share a combination meet. Similar texts share very many, so the combinations with the same
    smallest point form one cell, in which each point is listed once. Inside a cell the overlaps of the zones are counted
    by matrix products, and points that can still be linked are joined to one star.
-4. Verification. The groups of these stars hold texts that are similar to a good half. Every point is compared exactly
-   with one pivot of its group, which is linear; only those that do not link to the pivot are then compared with the
-   rest of their group, in chunks.
+4. Verification (`sets.verified`). The groups of these stars hold texts that are similar to a good half. A group that
+   fits one task is compared there exactly. In a larger one every point is compared with one pivot, which is linear, and
+   only those that do not link to the pivot are then compared with the rest of their group, in chunks.
 
 Links are exact up to collisions of 64-bit hashes. Components are found by contraction over stored tables.
 
@@ -213,4 +213,4 @@ def _links(rows: DataFrame, chosen: DataFrame, zones: DataFrame, percent: int, s
     groups = stored(connected(stored(stars, "links")).select(F.col("fp").alias("point"), F.col("root").alias("cell")), "groups")
     wanted = stored(groups.join(chosen.select(F.col("fp").alias("point"), "_row"), "point").select("point", "_row"), "wanted")
     sets = token_sets(near_texts(rows, wanted), ("point",), shingle, lambda s: {"tokens": pa.array([x.view(np.int64) for x in s], pa.list_(pa.int64()))}, "tokens array<bigint>")
-    return verified(sets.dropDuplicates(["point"]), groups, percent)
+    return verified(sets, groups, percent)

@@ -294,7 +294,7 @@ def unique_documents(docs: DataFrame, radius: int = WIDE_RADIUS, percent: int =
     links = stored(_linked(placed, radius), "links")
     groups = stored(connected(links).select(F.col("fp").alias("point"), F.col("root").alias("cell")), "groups")
     wanted = stored(groups.join(points.select(F.col("fp").alias("point"), F.col("first._row").alias("_row")), "point").select("point", "_row"), "wanted")
-    sets = near_texts(rows, wanted).mapInArrow(_sets, "point bigint, tokens array<bigint>").dropDuplicates(["point"])
+    sets = near_texts(rows, wanted).mapInArrow(_sets, "point bigint, tokens array<bigint>")
     labels = connected(stored(verified(sets, groups, percent), "links"))
     best = _grouped(points.select("fp", "first._row", "first.none", "first.doc_id"), labels).groupBy("root").agg(F.min(F.struct("none", "doc_id", "_row")).alias("first"))
     kept = rows.join(stored(best.select(F.col("first._row").alias("_row")), "kept"), "_row", "left_semi")

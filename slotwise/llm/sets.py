@@ -1,8 +1,9 @@
 """Exact comparison of shingle sets, for the joins of this subpackage.
 
-Groups of candidates are compared with one pivot each, which is linear in their size. Only sets that do not link to the
-pivot are then compared with all others of their group, in chunks of matrix products; what is emitted are stars, never
-the pairs of a group.
+A group of candidates that fits one task (GROUP_SETS sets of GROUP_TOKENS tokens together) is compared there by matrix
+products, and its sets move once. Of a larger group every set is compared with one pivot, which is linear in its size;
+only sets that do not link to the pivot are then compared with all others of their group, in chunks. Either way all
+links are found, and what is emitted are stars, never the pairs of a group.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ from pyspark.sql import functions as F
 
 from slotwise.session import stored
 
-SET_CHUNK = 256  # sets of a group that one task compares with as many others
+GROUP_SETS, GROUP_TOKENS = 1024, 1 << 22
+SET_CHUNK = 256  # sets of a larger group that one task compares with as many others
 BROADCAST_ROWS = 1_000_000  # rows of two numbers that are sent to every task; more are joined by a shuffle
 _COLUMNS = 4096
 
@@ -81,7 +83,8 @@ def _across(percent: int):
         for batch in batches:
             first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i in range(batch.num_rows):
-                names, late, sets = batch.column("points").slice(i, 1).flatten().flatten()
+                points = batch.column("points").slice(i, 1).flatten()
+                names, late, sets = points.take(pa.array(np.unique(np.asarray(points.field("point")), return_index=True)[1])).flatten()
                 offsets = np.asarray(sets.offsets)
                 shared = shared_shingles(np.asarray(sets.flatten()), offsets - offsets[0])
                 size, late = np.diff(offsets), np.asarray(late.cast(pa.int8())).astype(bool)
@@ -96,9 +99,24 @@ def _across(percent: int):
 
 
 def verified(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) that connect what links connect; `sets` is (point, tokens), `groups` (point, cell) of candidates."""
-    pivots = groups.groupBy("cell").agg(F.min("point").alias("pivot"), F.count("*").alias("members"))
-    placed = stored(sets.join(groups, "point"), "sets")
+    """Edges (a, b) that connect what links connect; `sets` is (point, tokens), `groups` (point, cell) of candidates.
+
+    A point may be listed more than once, with the same tokens.
+    """
+    every = stored(sets.join(groups, "point"), "sets")
+    sizes = every.groupBy("cell").agg(F.count("*").alias("members"), F.sum(F.size("tokens")).alias("total"))
+    fits = (F.col("members") <= GROUP_SETS) & (F.col("total") <= GROUP_TOKENS)
+    sizes = stored(sizes.select("cell", fits.alias("fits")), "group-sizes")
+    whole = every.join(sizes.where("fits"), "cell").groupBy("cell").agg(F.collect_list(F.struct("point", F.lit(True).alias("late"), "tokens")).alias("points"))
+    links = whole.select("points").mapInArrow(_across(percent), "a bigint, b bigint")
+    crowded = sizes.where("not fits").select("cell")
+    return links if crowded.isEmpty() else links.union(_by_pivot(every.join(crowded, "cell").dropDuplicates(["point"]), percent))
+
+
+def _by_pivot(placed: DataFrame, percent: int) -> DataFrame:
+    """Edges within crowded groups; `placed` is (point, cell, tokens)."""
+    placed = stored(placed.select("point", "cell", "tokens"), "crowded-sets")
+    pivots = placed.groupBy("cell").agg(F.min("point").alias("pivot"), F.count("*").alias("members"))
     rows = placed.join(pivots.select("cell", "pivot"), "cell")
     chosen = rows.where("point = pivot").select("pivot", F.col("tokens").alias("pivot_tokens"))
     met = rows.where("point <> pivot").join(chosen, "pivot").select("point", "cell", "pivot", "tokens", "pivot_tokens")

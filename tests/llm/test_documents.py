@@ -234,6 +234,16 @@ def test_token_counts(docs, cases, real):
         assert got == Counter((r[0], len(encode(r[1] or ""))) for r in rows)
 
 
+def test_vocabularies_that_do_not_fit_are_refused(docs, tmp_path):
+    import base64
+
+    for ids in ([*range(256), 50256], [*range(256), 70_000]):
+        path = tmp_path / "v.tiktoken"
+        path.write_text("".join(f"{base64.b64encode(bytes([i]) if i < 256 else b'ab').decode()} {i}\n" for i in ids))
+        with pytest.raises(ValueError, match="16 bits"):
+            tokencount.write_flat(docs, str(tmp_path / "flat"), str(path))
+
+
 def test_separators_across_blocks(spark):
     """Documents over many blocks, blocks without separator, empty documents, no final separator, small groups."""
     lengths = {0: [3, 0, 0, 25, 1, 7], 1: [], 2: [40, 40]}
@@ -418,9 +428,11 @@ def test_shared_shingles_and_pivots(spark, monkeypatch):
     assert sets.shared_shingles(np.zeros(0, np.int64), np.zeros(3, np.int64)).shape == (2, 2)
     # A group of more points than one task takes: a chain in which only neighbours are similar, and one outsider.
     monkeypatch.setattr(sets, "SET_CHUNK", 3)
+    monkeypatch.setattr(sets, "GROUP_SETS", 5)
     rows = [(k, list(range(8 * k, 8 * k + 100))) for k in range(20)] + [(99, list(range(5000, 5100)))]
     frame = spark.createDataFrame(rows, "point bigint, tokens array<bigint>")
-    groups = frame.select("point", F.lit(7).cast("long").alias("cell"))
+    frame = frame.union(frame.limit(3))  # a point may be listed twice
+    groups = frame.select("point", F.lit(7).cast("long").alias("cell")).distinct()
     roots = {r.fp: r.root for r in neardup.connected(sets.verified(frame, groups, 80)).collect()}
     assert set(roots) == set(range(20)) and len(set(roots.values())) == 1
 

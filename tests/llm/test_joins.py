@@ -119,6 +119,7 @@ def test_linked_sets_share_a_signature(monkeypatch):
 def test_large_group_is_compared_with_its_pivot_first(spark, monkeypatch):
     """Groups and cells beyond a chunk keep all links, those among points that do not link to the pivot as well."""
     monkeypatch.setattr(sets, "SET_CHUNK", 8)
+    monkeypatch.setattr(sets, "GROUP_SETS", 20)
     monkeypatch.setattr(jaccard, "ZONE_CHUNK", 8)
     draw = random.Random(9)
     base = [f"w{draw.randrange(5000)}" for _ in range(150)]
