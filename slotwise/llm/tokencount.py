@@ -10,7 +10,8 @@ huge file is not scanned in one task. A document's count is the distance of neig
 order of the ids in each file, no lengths.
 
 Defined results: a null or empty text has no tokens; repeated rows and rows without an id are documents of their own;
-a file that does not end in a separator has a last document without one; extra columns are dropped; empty gives none.
+a file that does not end in a separator has a last document without one; a vocabulary with ids beyond 16 bits, or that
+uses the separator itself, is refused; extra columns are dropped; empty gives none.
 """
 
 from __future__ import annotations
@@ -47,6 +48,9 @@ def write_flat(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, block_t
         content = file.read(MAX_VOCABULARY + 1)
     if len(content) > MAX_VOCABULARY:
         raise ValueError(f"{vocabulary} is larger than {MAX_VOCABULARY} bytes")
+    ids = encoding(content)._mergeable_ranks.values()
+    if max([separator, *ids]) > np.iinfo(np.uint16).max or separator in set(ids):
+        raise ValueError(f"{vocabulary}: a flat file holds ids of 16 bits, and the separator {separator} must not be one of the vocabulary")
     shipped = spark.sparkContext.broadcast(content)
 
     def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
