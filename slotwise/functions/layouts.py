@@ -211,8 +211,7 @@ def read_cuts(cuts: DataFrame, layout: Layout) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = b"".join(batch.column(len(carried)).to_pylist())
-            raw = np.frombuffer(packed, dtype=np.uint8).reshape(batch.num_rows, width)
+            raw = _packed(batch.column(len(carried)), width)
             columns, at = batch.columns[: len(carried)], 0
             for f in fields:
                 columns.append(f.array(raw[:, at : at + f.size]))
@@ -223,6 +222,15 @@ def read_cuts(cuts: DataFrame, layout: Layout) -> DataFrame:
     return cuts.select(*carried, CUT).mapInArrow(read, schema)
 
 
+def _packed(column: pa.Array, width: int) -> np.ndarray:
+    """The bytes of a column of equally long values without nulls, one row each."""
+    offsets, data = column.buffers()[1:]
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    first = int(np.frombuffer(offsets, kind)[column.offset]) if len(column) else 0
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[first : first + len(column) * width].reshape(len(column), width)
+
+
 def decode_fields(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
     """Raw fields of every record of the layout's kind that is long enough, beside the version key."""
     return read_cuts(cut_records(df, layout, data), layout)
@@ -238,8 +246,13 @@ def decode(df: DataFrame, layout: Layout, data: str = "data") -> DataFrame:
     return silver_rows(decode_fields(df, layout, data), layout)
 
 
-def silver_rows(fields: DataFrame, layout: Layout) -> DataFrame:
-    """Columns of the layout's silver table and `decode_status` from raw fields."""
+def overflow_field(layout: Layout) -> Column:
+    """Name of the first field whose value cannot be held, null for a sound record."""
+    return F.coalesce(*[F.when(F.col(f.name).isNull(), f.name) for f in layout.fields if f.kind == "uint"], F.lit(None).cast("string"))
+
+
+def silver_rows(fields: DataFrame, layout: Layout, *more: Column) -> DataFrame:
+    """Columns of the layout's silver table, `decode_status` and `more` from raw fields."""
     have = {f.name for f in layout.fields}
     derived = _derived(layout.kind, have)
     fields = fields.withColumns(derived) if derived else fields
@@ -260,4 +273,4 @@ def silver_rows(fields: DataFrame, layout: Layout) -> DataFrame:
             columns.append(F.lit(0).cast(column.dataType).alias(column.name))
         else:
             columns.append(F.lit(None).cast(column.dataType).alias(column.name))
-    return fields.select(*columns, status)
+    return fields.select(*columns, status, *more)

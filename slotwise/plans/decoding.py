@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotwise.functions.layouts import CARRIED, CUT, Layout, decode, decode_fields, long_enough, read_cuts, silver_rows
+from slotwise.functions.layouts import CARRIED, CUT, Layout, decode, decode_fields, long_enough, overflow_field, read_cuts, silver_rows
 from slotwise.functions.slots import slot_bucket
 from slotwise.operators.rows import side_by_side
 from slotwise.schemas import BUCKET_COLUMN, SILVER_TABLE
@@ -42,13 +45,36 @@ def decode_rejects(bronze: DataFrame, layouts: dict[str, Layout]) -> DataFrame:
         whole = F.col("data_len") >= layout.size if "data_len" in bronze.columns else long_enough(layout)
         short = mine.filter(~F.coalesce(whole, F.lit(False))).select(*key, F.lit("short").alias("reason"), F.lit("").alias("field"))
         fields = decode_fields(mine, layout)
-        wide = [f.name for f in layout.fields if f.kind == "uint"]
-        at = F.coalesce(*[F.when(F.col(name).isNull(), name) for name in wide], F.lit(None).cast("string"))
-        over = fields.withColumn("field", at).filter("field is not null").select(*key, F.lit("overflow").alias("reason"), "field")
+        over = fields.withColumn("field", overflow_field(layout)).filter("field is not null").select(*key, F.lit("overflow").alias("reason"), "field")
         parts += [short, over]
     return reduce(DataFrame.unionByName, parts)
 
 
+@contextmanager
+def decoded_once(rows: DataFrame, layouts: dict[str, Layout]) -> Iterator[tuple[dict[str, DataFrame], DataFrame]]:
+    """What `redecode` and `decode_rejects` give, from one decoding of each kind, whose rows are held meanwhile.
+
+    `rows` have `kind` and `data_len`. What is held can be computed again, so the loss of an executor costs no more than time.
+    """
+    tables, parts, held = {}, [], []
+    for kind, layout in layouts.items():
+        if kind not in SILVER_TABLE:
+            continue
+        mine = rows.filter(F.col("kind") == kind)
+        done = silver_rows(decode_fields(mine, layout), layout, overflow_field(layout).alias("field")).persist(StorageLevel.MEMORY_AND_DISK)
+        held.append(done)
+        key = [F.lit(kind).alias("kind"), "slot", "write_version", "pubkey"]
+        tables[SILVER_TABLE[kind]] = done.filter(F.col("decode_status") != "overflow").drop("decode_status", "field")
+        short = mine.filter(F.coalesce(F.col("data_len") < layout.size, F.lit(True)))
+        parts.append(short.select(*key, F.lit("short").alias("reason"), F.lit("").alias("field")))
+        parts.append(done.filter(F.col("decode_status") == "overflow").select(*key, F.lit("overflow").alias("reason"), "field"))
+    try:
+        yield tables, reduce(DataFrame.unionByName, parts)
+    finally:
+        for done in held:
+            done.unpersist()
+
+
 def _cuts(bronze: DataFrame, layouts: dict[str, Layout]) -> DataFrame:
     """The bytes that decoding needs of every record of the given kinds, null for a short one; stored by kind.
 

@@ -13,7 +13,7 @@ from slotwise.functions.base58 import base58_decode
 from slotwise.functions.kinds import classify_kind, only_kinds
 from slotwise.functions.layouts import Layout
 from slotwise.operators.rows import side_by_side
-from slotwise.plans.decoding import decode_rejects, redecode
+from slotwise.plans.decoding import decoded_once
 from slotwise.schemas import DECODED_KINDS, SCHEMAS, STATE_DUMP_WRITE_VERSION
 from slotwise.session import ship_package
 from slotwise.sources.updates import read_filed, write_batch
@@ -163,9 +163,10 @@ def store_state_dump(
     stored = read_filed(spark, root, "account_updates").filter(F.col("batch_id") == batch).select(*SCHEMAS["account_updates"].fieldNames())
     if stored.isEmpty():
         raise ValueError(f"{path} holds no accounts; an empty dump is not recorded")
-    for table, decoded in redecode(stored, layouts).items():
-        write_batch(decoded, root, table, batch)
-    decode_rejects(stored, layouts).write.parquet(f"{root}/rejected_snapshots/batch_id={batch}")
+    with decoded_once(stored, layouts) as (tables, rejects):
+        for table, decoded in tables.items():
+            write_batch(decoded, root, table, batch)
+        rejects.write.parquet(f"{root}/rejected_snapshots/batch_id={batch}")
     run = run_row(spark, root, batch, seen.get["accounts"], scope, int((time.monotonic() - started) * 1000))
     run.write.parquet(f"{root}/snapshot_runs/batch_id={batch}")
     return spark.read.schema(run.schema).parquet(f"{root}/snapshot_runs/batch_id={batch}")
