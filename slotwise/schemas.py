@@ -52,6 +52,7 @@ def _schema(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns])
 
 
+# --- fixed values: columns, keys and late columns of the data model ----------------------------
 SCHEMAS: dict[str, T.StructType] = {
     "account_updates": _schema(
         ("slot", T.LongType()),
@@ -168,3 +169,4 @@ SILVER_TABLE = {
     "Reserve": "reserve_snapshots",
     "LendingMarket": "lending_market_snapshots",
 }
+# ----------------------------------------------------------------------------------------------

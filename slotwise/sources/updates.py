@@ -1,21 +1,28 @@
 """The change stream as a source, and the tables that ingest writes.
 
-Raw and decoded rows are filed by slot bucket and then by batch, so that a range of slots reads only its folders, a
-batch that is tried again replaces itself, and closed buckets can be compacted.
+Raw and decoded rows are filed by buckets of 10^7 slots and then by batch, so that a range of slots reads only its
+folders, a batch that is tried again replaces itself, and closed buckets can be compacted. Raw rows also name the
+session that received them.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise.functions.kinds import only_kinds
 from slotwise.functions.numbers import valid_key
 from slotwise.functions.slots import slot_between, slot_bucket
-from slotwise.schemas import BUCKET_COLUMN, LATE_COLUMNS, SCHEMAS
+from slotwise.schemas import BUCKET_COLUMN, LATE_COLUMNS, SCHEMAS, SLOTS_PER_HOT_BUCKET, VERSION_KEY
+
+SESSION_COLUMN = "session_id"
+COMPACTED = "compact-"  # how the names of merged batches begin
+_RETIRED = "folder string, at double"
 
 # What arrives: everything else in `account_updates` is derived.
 WIRE_SCHEMA = T.StructType(
@@ -94,37 +101,70 @@ def with_late_columns(df: DataFrame, table: str) -> DataFrame:
     return df.withColumns(late) if late else df
 
 
-def _filed(schema: T.StructType) -> T.StructType:
+def _filed(table: str) -> T.StructType:
     # Declared as text: inference would turn the padded number of a bucket into an integer.
-    return T.StructType([*schema.fields, T.StructField(BUCKET_COLUMN, T.StringType()), T.StructField("batch_id", T.StringType())])
+    own = [SESSION_COLUMN] if table == "account_updates" else []
+    text = [T.StructField(c, T.StringType()) for c in (*own, BUCKET_COLUMN, "batch_id")]
+    return T.StructType([*SCHEMAS[table].fields, *text])
+
+
+def filed_bucket(slot: str = "slot"):
+    """Bucket that a stored row is filed under."""
+    return slot_bucket(slot, SLOTS_PER_HOT_BUCKET)
 
 
 def write_batch(df: DataFrame, root: str, table: str, batch: str) -> None:
-    """File rows of a table with slots under their buckets as one batch, in place of an earlier attempt at it."""
-    rows = df.withColumn(BUCKET_COLUMN, slot_bucket()).withColumn("batch_id", F.lit(batch))
+    """File rows of a table with slots under their buckets as one batch, in place of an earlier attempt at it.
+
+    Rows of a bucket are brought together first, or every task would leave a file in every bucket; a bucket with
+    many rows is split again by size.
+    """
+    rows = df.withColumn(BUCKET_COLUMN, filed_bucket()).withColumn("batch_id", F.lit(batch))
+    rows = rows.hint("rebalance", BUCKET_COLUMN).sortWithinPartitions(BUCKET_COLUMN, "batch_id", "slot", "write_version")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BUCKET_COLUMN, "batch_id").parquet(f"{root}/{table}")
 
 
 def read_filed(spark: SparkSession, root: str, table: str) -> DataFrame:
     """Rows of a filed table with their bucket and batch."""
-    return spark.read.schema(_filed(SCHEMAS[table])).parquet(f"{root}/{table}")
+    return spark.read.schema(_filed(table)).parquet(f"{root}/{table}")
 
 
 def read_table(spark: SparkSession, root: str, table: str, slots: tuple[int, int] | None = None) -> DataFrame:
     """A bronze or silver table, files of all ages under one fixed schema; of `slots` [from, to) only those folders are read."""
     rows = read_filed(spark, root, table)
     if slots is not None:
-        rows = slot_between(rows, *slots)
+        rows = slot_between(rows, *slots, SLOTS_PER_HOT_BUCKET)
     return with_late_columns(rows.select(*SCHEMAS[table].fieldNames()), table)
 
 
-def compact(spark: SparkSession, root: str, table: str) -> list[str]:
+def read_session(spark: SparkSession, root: str, session: str) -> DataFrame:
+    """Raw rows that one session received; rows from before sessions were recorded belong to none."""
+    rows = read_filed(spark, root, "account_updates")
+    return rows.filter(F.col(SESSION_COLUMN) == session).select(*SCHEMAS["account_updates"].fieldNames())
+
+
+def stored_keys(spark: SparkSession, root: str, ranges: list[tuple[int, int]], except_batch: str) -> DataFrame:
+    """Version keys stored in any of the inclusive slot ranges by other batches. Payloads are not read, nor are other buckets."""
+    rows = read_filed(spark, root, "account_updates")
+    rows = slot_between(rows, min(a for a, _ in ranges), max(b for _, b in ranges) + 1, SLOTS_PER_HOT_BUCKET)
+    inside = reduce(Column.__or__, [F.col("slot").between(a, b) for a, b in ranges])
+    return rows.filter(inside & (F.col("batch_id") != except_batch)).select(*VERSION_KEY)
+
+
+def compact(spark: SparkSession, root: str, table: str, grace_seconds: float = 0) -> list[str]:
     """Merge the batches of every closed bucket (all but the newest) into one each; returns those buckets.
 
     The merged copy is complete before the batches go. A reader in between sees rows twice, which collapse on read, and
-    never a hole. A batch that is tried again afterwards files its rows once more, which collapses as well.
+    never a hole. A batch that is tried again afterwards files its rows once more, which collapses as well. Merged
+    batches are kept for `grace_seconds`, for readers that have listed them already; a later call deletes them.
     """
+    retired, now = f"{root}/_retired/{table}", time.time()
+    waiting = {}
+    if _exists(spark, retired):
+        rows = spark.read.schema(_RETIRED).json(retired).collect()  # folders of batches that wait to be deleted
+        waiting = {r.folder: r.at for r in rows}
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
     top = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
     fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -132,16 +172,35 @@ def compact(spark: SparkSession, root: str, table: str) -> list[str]:
         return [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName().startswith(prefix)]
 
     buckets = sorted(folders(top, f"{BUCKET_COLUMN}="), key=lambda p: p.getName())[:-1]
-    batches = {p.getName().split("=", 1)[1]: folders(p, "batch_id=") for p in buckets}
+    for folder, at in list(waiting.items()):
+        if now - at >= grace_seconds:
+            fs.delete(path_of(folder), True)
+            del waiting[folder]
+    batches = {p.getName().split("=", 1)[1]: [b for b in folders(p, "batch_id=") if b.toString() not in waiting] for p in buckets}
     todo = {b: paths for b, paths in batches.items() if len(paths) > 1}
     if not todo:
+        _put_waiting(spark, retired, waiting)
         return []
     names = sorted({p.getName().split("=", 1)[1] for paths in todo.values() for p in paths})
     rows = read_filed(spark, root, table).filter(F.col(BUCKET_COLUMN).isin(list(todo)) & F.col("batch_id").isin(names))
-    merged = rows.withColumn("batch_id", F.lit(f"compact-{uuid.uuid4().hex}")).hint("rebalance", BUCKET_COLUMN)
+    merged = rows.withColumn("batch_id", F.lit(f"{COMPACTED}{uuid.uuid4().hex}")).hint("rebalance", BUCKET_COLUMN)
     merged = merged.sortWithinPartitions(BUCKET_COLUMN, "slot", "write_version")
     merged.write.mode("append").partitionBy(BUCKET_COLUMN, "batch_id").parquet(f"{root}/{table}")
     for paths in todo.values():
         for path in paths:
-            fs.delete(path, True)
+            if grace_seconds > 0:
+                waiting[path.toString()] = now
+            else:
+                fs.delete(path, True)
+    _put_waiting(spark, retired, waiting)
     return sorted(todo)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _put_waiting(spark: SparkSession, path: str, waiting: dict[str, float]) -> None:
+    if waiting or _exists(spark, path):
+        spark.createDataFrame(list(waiting.items()), _RETIRED).coalesce(1).write.mode("overwrite").json(path)
