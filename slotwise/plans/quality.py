@@ -234,10 +234,10 @@ def payload_guard(updates: DataFrame) -> DataFrame:
     )
 
 
-def payload_alarms(updates: DataFrame, every: int = ALARM_EVERY) -> DataFrame:
-    """The fault that raises the first alarm and every `every`-th one after it, numbered in slot order."""
+def payload_alarms(updates: DataFrame, every: int = ALARM_EVERY, before: int = 0) -> DataFrame:
+    """The fault that raises the first alarm and every `every`-th one after it, numbered in slot order from `before` on."""
     narrow = updates.filter(is_fault()).select("slot", "write_version", "pubkey", "ingested_at")
-    ranked = global_rank(narrow, ["slot", "write_version", "pubkey", "ingested_at"], "n")
+    ranked = global_rank(narrow, ["slot", "write_version", "pubkey", "ingested_at"], "n").withColumn("n", F.col("n") + before)
     return ranked.filter((F.col("n") == 1) | (F.col("n") % every == 0)).select(
         "n", "slot", "write_version", "pubkey", F.when(F.col("n") == 1, "first").otherwise("repeat").alias("alarm")
     )
