@@ -3,63 +3,103 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil, floor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slotwise.operators.ordering import PART, sorted_table
+from slotwise.session import stored
+
+
+CELLS = 1024  # into which the range of a wanted value is divided in one pass
+_LOG_CELLS = 512  # first cells per factor e of the value, either side of zero
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """How often each value occurs, as a stored table (v, n) sorted by value over many partitions."""
+    """How often each value occurs, as a stored table (v, n)."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    return sorted_table(counts, ["v"])
+    return stored(counts, "value-counts")
+
+
+@dataclass
+class _Cell:
+    """A range of values that holds wanted ranks: its ends occur, `before` rows lie below it."""
+
+    low: object
+    high: object
+    before: int
+    size: int
+
+    def holds(self, rank: int) -> bool:
+        return self.before <= rank < self.before + self.size
+
+
+def _first_cells(counts: DataFrame) -> list[_Cell]:
+    """All non-empty cells of a logarithmic scale, in order; their number does not depend on the rows."""
+    value = F.col("v").cast("double")
+    cell = F.floor(F.signum(value) * F.log1p(F.abs(value)) * _LOG_CELLS)
+    found = counts.groupBy(cell.alias("cell")).agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("size"))
+    return _in_order(found.collect(), 0)
+
+
+def _in_order(rows, before: int) -> list[_Cell]:
+    out = []
+    for r in sorted(rows, key=lambda r: r.low):
+        out.append(_Cell(r.low, r.high, before, int(r.size)))
+        before += int(r.size)
+    return out
+
+
+def _refined(counts: DataFrame, cells: list[_Cell]) -> list[_Cell]:
+    """The cells divided further, by one pass over the rows that lie in any of them."""
+    kind = counts.schema["v"].dataType
+    exact = kind if isinstance(kind, (T.DoubleType, T.FloatType)) else T.DecimalType(38, getattr(kind, "scale", 0))
+    value, number, part = F.col("v").cast(exact), F.lit(None).cast("int"), F.lit(None).cast("double")
+    for i, c in enumerate(cells):
+        low, high = F.lit(c.low).cast(kind), F.lit(c.high).cast(kind)
+        inside = F.col("v").between(low, high)
+        # Differences are exact before they become doubles, so two different ends never fall into one part.
+        share = (value - low.cast(exact)).cast("double") / (high.cast(exact) - low.cast(exact)).cast("double")
+        number, part = F.when(inside, F.lit(i)).otherwise(number), F.when(inside, F.floor(share * CELLS)).otherwise(part)
+    placed = counts.select("v", "n", number.alias("i"), part.alias("part")).filter("i is not null")
+    found = placed.groupBy("i", "part").agg(F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("size")).collect()
+    return [cell for i, c in enumerate(cells) for cell in _in_order([r for r in found if r.i == i], c.before)]
 
 
 def percentiles_of_counts(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """Rows (p, value): linearly interpolated percentiles of the values in a `value_counts` table.
 
-    Spark's own `percentile` keeps a count per distinct value in one buffer, which at scale is one
-    task's memory. Here the sizes of the sorted partitions (one row each) tell which partition holds
-    each wanted rank, and only those partitions are read again to find the value. What is broadcast is
-    at most two ranks per probability. `counts` may be filtered by value first.
+    Spark's own `percentile` keeps a count per distinct value in one buffer, and a sort moves every row. Here a
+    histogram is refined: rows are counted in cells, the cells that hold a wanted rank are divided again, and so on
+    until each holds one value: as a rule two passes, each of which counts on the map side and sends at most CELLS
+    rows per wanted rank. `counts` may be filtered by value first.
     """
     probs = [float(p) for p in probabilities]
     if not probs or min(probs) < 0 or max(probs) > 1:
         raise ValueError("probabilities must lie in [0, 1]")
-    sizes = counts.groupBy(PART).agg(F.sum("n").alias("size"))
-    sizes = sizes.select(
-        PART,
-        "size",
-        (F.sum("size").over(Window.orderBy(PART)) - F.col("size")).alias("before"),
-        F.sum("size").over(Window.partitionBy()).alias("total"),
-    )
-    # Every percentile lies between two neighbouring ranks.
-    def ranks(side, near):
-        def rank(p):
-            position = p * (F.col("total") - 1)
-            return F.struct(p.alias("p"), F.lit(side).alias("side"), position.alias("position"), near(position).alias("rank"))
-
-        return F.transform(F.array(*[F.lit(p) for p in probs]), rank)
-
-    here = F.filter(
-        F.concat(ranks("lo", F.floor), ranks("hi", F.ceil)),
-        lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("size")),
-    )
-    wanted = sizes.select(PART, "before", F.inline(here)).withColumn("rank", F.col("rank") - F.col("before")).drop("before")
-    wanted = F.broadcast(wanted)
-
-    inside = counts.join(wanted.select(PART).distinct(), PART, "left_semi")
-    running = F.sum("n").over(Window.partitionBy(PART).orderBy("v"))
-    inside = inside.select(PART, "v", (running - F.col("n")).alias("first"), running.alias("end"))
-    found = inside.join(wanted, PART).filter((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
-    ends = found.groupBy("p").agg(
-        F.max("position").alias("position"),
-        F.max(F.when(F.col("side") == "lo", F.col("v"))).cast("double").alias("lo"),
-        F.max(F.when(F.col("side") == "hi", F.col("v"))).cast("double").alias("hi"),
-    )
-    weight = F.col("position") - F.floor("position")
-    return ends.select("p", (F.col("lo") + (F.col("hi") - F.col("lo")) * weight).alias("value"))
+    spark, shape = counts.sparkSession, "p double, value double"
+    cells = _first_cells(counts)
+    total = sum(c.size for c in cells)
+    if not total:
+        return spark.createDataFrame([], shape)
+    positions = {p: p * (total - 1) for p in probs}
+    ranks = {r for x in positions.values() for r in (floor(x), ceil(x))}
+    values: dict[int, float] = {}
+    while True:
+        cells = [c for c in cells if any(c.holds(r) for r in ranks)]
+        values |= {r: float(c.low) for c in cells if c.low == c.high for r in ranks if c.holds(r)}
+        ranks -= set(values)
+        cells = [c for c in cells if c.low != c.high]
+        if not cells:
+            break
+        cells = _refined(counts, cells)
+    rows = []
+    for p, x in positions.items():
+        low, high = values[floor(x)], values[ceil(x)]
+        rows.append((p, low + (high - low) * (x - floor(x))))
+    return spark.createDataFrame(rows, shape)
 
 
 def percentile_row(counts: DataFrame, named: dict[str, float]) -> DataFrame:
