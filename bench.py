@@ -25,6 +25,8 @@ HEADLINE = {
     "decode": "decode_obligations",
     "state_dump": "state_dump_run",
     "stream_ingest": "stream_ingest",
+    "history_page": "history_page_seek",
+    "key_history": "account_history_hot",
 }
 RUNS = 3
 

@@ -496,7 +496,32 @@ SQL: dict[str, str] = {
         select count(*) filter (where size = 0 and lamports > 0) as impossible, count(*) filter (where size = 0 and lamports = 0) as closed,
                min(slot) filter (where size = 0 and lamports > 0) as first_slot, max(slot) filter (where size = 0 and lamports > 0) as last_slot from records"""),
     "stream_budget": _select(WIRE, """
-        select count(*) as n, min(slot) as first_slot, max(slot) as last_slot from records where slot between 2100000000 and 2200000000"""),
+        select count(*) as n, min(slot) as first_slot, max(slot) as last_slot from records where slot <= (select min(slot) from records) + 100000000"""),
+    "stream_restart_out_of_order": _select(WIRE, "select count(*) as n, min(slot) as first_slot, max(slot) as last_slot from records"),
+    "stream_replays": _select(WIRE, """
+        select kind, count(*) as n, min(slot) as first_slot, max(slot) as last_slot, cast(sum(size) as bigint) as bytes from records group by kind"""),
+    "stream_rollups": _select(WIRE, """
+        select kind, count(*) as updates, cast(sum(size) as bigint) as bytes, max(slot) as last_slot from records group by kind"""),
+    "stream_freshness": _select(UPD, """
+        select distinct kind, state from upd, (values ('fresh'), ('slow'), ('stale')) s(state) union all select 'never seen', 'unknown'"""),
+    "stream_frontier": _select(WIRE, """
+        select prev as start_slot, slot as end_slot from (select slot, lag(slot) over (order by slot) as prev from (select distinct slot from records))
+        where slot - prev > 600"""),
+    "stream_alarms": _select(WIRE, """
+        select n, slot, write_version, part as pubkey, case when n = 1 then 'first' else 'repeat' end as alarm
+        from (select *, row_number() over (order by slot, write_version, part) as n from records where size = 0 and lamports > 0) where n = 1 or n % 10 = 0"""),
+    "stream_sessions": _select(WIRE, """t as (select min(slot) as lo, max(slot) as hi, count(distinct slot) as active, count(*) as n,
+          cast(sum(size) as bigint) as b from records where slot > 2200000000)
+        select lo as first_slot, hi as last_slot, hi - lo as slot_span, round((hi - lo) * 0.4::double, 1) as chain_seconds,
+               active as slots_with_updates, round(active * 100.0 / (hi - lo), 1) as density_pct, n as updates, b as payload_bytes,
+               round(b / 1024.0 / ((hi - lo) * 0.4::double), 4) as kb_per_second from t"""),
+    "stream_lost_position": _select(WIRE, """
+        select 'main' as stream, a as start_slot, b as end_slot, 0 as filled, 'position too old: the source no longer replays it' as reason
+        from (select max(slot) filter (where slot <= 2200000000) as a, min(slot) filter (where slot > 2200000000) + 10000000 as b from records)"""),
+    "key_states_hot": _select(WIRE, """
+        select count(*) as n, cast(sum(size) as bigint) as bytes, (select count(distinct part) from records) as accounts,
+               cast((select sum(size) from (select size from records qualify row_number() over (partition by part order by slot desc, write_version desc) = 1)) as bigint) as newest_bytes,
+               max(slot) as last_slot from records"""),
     "stream_dedup": f"{UPD_S} select slot, write_version, pubkey, kind, data from updc",
     "stream_flow": f"""{UPD_S}, m as (select date_trunc('minute', ingested_at) as t, * from upd)
         select cast(epoch(t) as bigint) as minute, count(*) as writes, {_COUNTS}, cast(sum(data_len) as bigint) as bytes from m group by t""",
@@ -514,6 +539,10 @@ SQL: dict[str, str] = {
         count(*) as n, min(slot) as first_slot, max(slot) as last_slot from upd group by 1""",
 }
 
+# The same rows by another way.
+SQL["dashboard_incremental"], SQL["flow_incremental"] = SQL["system_status"], SQL["flow"]
+SQL["account_history_hot"], SQL["history_page_seek"] = SQL["account_history"], SQL["history_page"]
+
 _P = ", ".join(f"('{n}', true)" for n in _PCTS)
 SQL["health_distribution_rank_error"] = f"select * from (values {_P}) t(percentile, within)"
 SQL["dashboard_risk"] = SQL["risk_radar"]

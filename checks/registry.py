@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from checks import standins as S
 from slotwise.functions import numbers as N
-from slotwise.functions.kinds import classify_kind
+from slotwise.functions.kinds import classify_kind, with_derived
 from slotwise.functions.layouts import decode
 from slotwise.functions.slots import hot_bucket, slot_between, slot_bucket
 from slotwise.operators.dedup import collapse, collapse_table, drop_replays, latest
 from slotwise.operators.quantiles import approximate_row
-from slotwise.plans import activity, dashboard, decoding, health, quality, summary
+from slotwise.operators.rows import side_by_side
+from slotwise.plans import activity, dashboard, decoding, health, quality, rollups, summary
 from slotwise.session import ship_package, work_dir
-from slotwise.sources import cold, updates
+from slotwise.sources import cold, hot, paging, updates
 from slotwise.sources import state_dump as dumps
+from slotwise.streaming import freshness as watch
 from slotwise.streaming import ingest, monitors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,6 +187,42 @@ def account_history(spark, sf):
     return rows.withColumn("health_factor_bps", F.col("health_factor_bps").cast("string"))
 
 
+@query
+def account_history_hot(spark, sf):
+    """`account_history` from a copy ordered by key, of which one folder is read."""
+    snapshots, out = S.obligation_snapshots(spark, sf), work_dir(spark, "hot")
+    hot.write_hot(snapshots, out, "obligation_snapshots", "all")
+    key = health.discover_keys(snapshots, limit=1).first().pubkey
+    rows = hot.key_history(spark, out, "obligation_snapshots", key, list(health.HISTORY), snapshots.schema)
+    return rows.withColumn("health_factor_bps", F.col("health_factor_bps").cast("string"))
+
+
+@query
+def key_states_hot(spark, sf):
+    """Rows, versions and newest slot per key bucket of a hot copy that took over three stored batches one after the other."""
+    root, out, wire = work_dir(spark, "store"), work_dir(spark, "hot"), S.wire_updates(spark, sf)
+    part = F.pmod(F.col("write_version"), F.lit(3))
+    rows = with_derived(wire).withColumn(updates.SESSION_COLUMN, F.lit(None).cast("string"))
+    for i in range(3):
+        updates.write_batch(rows.filter(part == i), root, "account_updates", f"b{i}")
+        hot.refresh_hot(spark, root, "account_updates", out, buckets=16)
+    updates.compact(spark, root, "account_updates")
+    hot.refresh_hot(spark, root, "account_updates", out, buckets=16)
+    copy = hot.read_hot(spark, out, "account_updates")
+    per_key = latest(copy, ["slot", "data_len"]).groupBy().agg(F.count(F.lit(1)).alias("accounts"), F.sum("data_len").alias("newest_bytes"), F.max("slot").alias("last_slot"))
+    return side_by_side(copy.agg(F.count(F.lit(1)).alias("n"), F.sum("data_len").alias("bytes")), per_key)
+
+
+@query
+def history_page_seek(spark, sf):
+    """`history_page` over stored files, of which only those that can hold the page are opened."""
+    path, snapshots = work_dir(spark, "sorted"), S.obligation_snapshots(spark, sf)
+    snapshots.repartitionByRange(24, *paging.ORDER).sortWithinPartitions(*paging.ORDER).write.parquet(path)
+    pages = paging.Pages(spark, path, snapshots.schema, ["pubkey", *health.HISTORY])
+    rows = pages.page((2000000000, 5000, 0), size=1000)
+    return rows.withColumn("health_factor_bps", F.col("health_factor_bps").cast("string"))
+
+
 @query
 def history_page(spark, sf):
     """One page of the whole history, in (slot, write_version, pubkey) order, after a cursor."""
@@ -816,6 +854,69 @@ def stream_restart_new_offsets(spark, sf):
     return _stored_tables(spark, root)
 
 
+@query
+def stream_restart_out_of_order(spark, sf):
+    """The newer part of the source first, then all of it with new offsets: older records lie below the position and are stored."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for name, rows in (("newer", wire.filter(F.col("slot") > CUT_SLOT)), ("all", wire)):
+        path = _wire_files(spark, sf, rows)
+        _drain(updates.read_updates_stream(spark, path, options={"maxFilesPerTrigger": "2"}), root, offsets=f"{root}/_offsets/{name}")
+    return updates.read_table(spark, root, "account_updates").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
+
+
+@query
+def stream_replays(spark, sf):
+    """Every other record, then all records three times over, each with new offsets: nothing is stored twice and nothing is left out."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    whole = _wire_files(spark, sf, wire)
+    for name, path in (("half", _wire_files(spark, sf, wire.filter(F.col("write_version") % 2 == 0))), ("a", whole), ("b", whole), ("c", whole)):
+        _drain(updates.read_updates_stream(spark, path), root, offsets=f"{root}/_offsets/{name}")
+    rows = updates.read_table(spark, root, "account_updates")
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.sum("data_len").alias("bytes"))
+
+
+@query
+def stream_frontier(spark, sf):
+    """Holes that the frontier shows once both halves of the source are in, the newer half first."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for name, rows in (("newer", wire.filter(F.col("slot") > CUT_SLOT)), ("older", wire.filter(F.col("slot") <= CUT_SLOT))):
+        _drain(updates.read_updates_stream(spark, _wire_files(spark, sf, rows)), root, offsets=f"{root}/_offsets/{name}")
+    return spark.createDataFrame(ingest.read_frontier(spark, root).holes(), "start_slot bigint, end_slot bigint")
+
+
+@query
+def stream_alarms(spark, sf):
+    """Alarm rows of a stream of three batches and a restart in between: the first fault and each tenth one."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    path, middle = work_dir(spark, "wire"), 2_000_000_000
+    parts = (F.col("slot") <= middle, F.col("slot").between(middle + 1, CUT_SLOT), F.col("slot") > CUT_SLOT)
+    for i, part in enumerate(parts):
+        wire.filter(part).repartition(1).write.mode("append").parquet(path)  # the source delivers files by age
+        if i:
+            _drain(updates.read_updates_stream(spark, path, options={"maxFilesPerTrigger": "1"}), root, alarm_every=10)
+    return ingest.read_alarms(spark, root).select("n", "slot", "write_version", key_number("pubkey").alias("pubkey"), "alarm")
+
+
+@query
+def stream_sessions(spark, sf):
+    """The summary of the second of two sessions, from the rows that carry its name."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for name, rows in (("first", wire.filter(F.col("slot") <= CUT_SLOT)), ("second", wire.filter(F.col("slot") > CUT_SLOT))):
+        _drain(updates.read_updates_stream(spark, _wire_files(spark, sf, rows)), root, offsets=f"{root}/_offsets/{name}", session=name)
+    return activity.session_summary(updates.read_session(spark, root, "second"))
+
+
+@query
+def stream_lost_position(spark, sf):
+    """A second session whose source no longer replays the position: the hole is recorded with the reason of the error."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    moved = wire.filter(F.col("slot") > CUT_SLOT).withColumn("slot", F.col("slot") + 10_000_000)
+    for name, rows, failure in (("first", wire.filter(F.col("slot") <= CUT_SLOT), None), ("second", moved, "replay_window")):
+        _drain(updates.read_updates_stream(spark, _wire_files(spark, sf, rows)), root, offsets=f"{root}/_offsets/{name}", failure=failure)
+    found = quality.current_gaps(ingest.read_batches(spark, root, "slot_gaps"))
+    return found.select("stream", "start_slot", "end_slot", F.col("filled").cast("int").alias("filled"), "reason")
+
+
 @query
 def stream_positions(spark, sf):
     """Positions of two streams of one root, the name of one being the beginning of the other's."""
@@ -835,8 +936,8 @@ def compacted_bronze(spark, sf):
     updates.compact(spark, root, "account_updates")
     filed = updates.read_filed(spark, root, "account_updates")
     newest = F.col("slot_bucket") == filed.agg(F.max("slot_bucket")).first()[0]
-    counts = filed.groupBy("slot_bucket", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("data_len").alias("bytes"))
-    batches = F.when(F.max(newest), F.lit(1)).otherwise(F.count(F.lit(1))).cast("bigint")
+    counts = filed.withColumn("newest", newest).withColumn("slot_bucket", slot_bucket()).groupBy("slot_bucket", "newest", "batch_id").agg(F.count(F.lit(1)).alias("n"), F.sum("data_len").alias("bytes"))
+    batches = F.when(F.max("newest"), F.lit(1)).otherwise(F.count(F.lit(1))).cast("bigint")
     return counts.groupBy("slot_bucket").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), batches.alias("most_batches"))
 
 
@@ -848,13 +949,21 @@ def stream_guard(spark, sf):
     return ingest.guard_totals(spark, root)
 
 
+BUDGET_SLOTS = 100_000_000
+
+
 @query
 def stream_budget(spark, sf):
-    """A bounded sample of the stream: at most so many slots past the first one."""
-    path, root = _wire_files(spark, sf), work_dir(spark, "ingest")
-    first = 2100000000  # where the sample begins: a limit is this query's feature
-    wire = ingest.within_budget(updates.read_updates_stream(spark, path), first, 100000000)
-    _drain(wire, root)
+    """A bounded sample: at most so many slots past the stream's own first one, after which the query ends itself.
+
+    The limit is this query's feature. The second start shows that the budget holds over restarts.
+    """
+    path, root, source = work_dir(spark, "wire"), work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for rows in (source.filter(F.col("slot") <= CUT_SLOT), source.filter(F.col("slot") > CUT_SLOT)):
+        rows.repartition(1).write.mode("append").parquet(path)  # the source delivers files by age
+    for _ in range(2):
+        wire = updates.read_updates_stream(spark, path, options={"maxFilesPerTrigger": "1"})
+        ingest.start_ingest(wire, root, S.LAYOUTS, budget_slots=BUDGET_SLOTS).awaitTermination()  # ends itself
     rows = updates.read_table(spark, root, "account_updates")
     return rows.agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"))
 
@@ -953,6 +1062,61 @@ def dashboard_risk(spark, sf):
     return found.withColumn("hf", F.col("hf").cast("bigint"))
 
 
+def _rolled(spark, sf):
+    """Figures of five batches; the third one is tried twice."""
+    root, part = work_dir(spark, "rollups"), F.pmod(F.col("write_version"), F.lit(5))
+    tables = {
+        "account_updates": S.account_updates(spark, sf),
+        "obligation_snapshots": S.obligation_snapshots(spark, sf, replays=False),
+        "reserve_snapshots": S.reserve_snapshots(spark, sf),
+    }
+    for i in (0, 1, 2, 2, 3, 4):
+        rollups.store_rollup({name: rows.filter(part == i) for name, rows in tables.items()}, root, f"b{i}")
+    return rollups.read_rollups(spark, root)
+
+
+@query
+def dashboard_incremental(spark, sf):
+    """The system section from figures that were stored with each batch."""
+    return rollups.system_status(_rolled(spark, sf), S.ingest_checkpoint(spark, sf), S.slot_gaps(spark, sf), S.AS_OF)
+
+
+@query
+def flow_incremental(spark, sf):
+    """`flow` from figures that were stored with each batch."""
+    return rollups.flow(_rolled(spark, sf), S.FLOW_AS_OF, S.FLOW_MINUTES, FLOW_KINDS)
+
+
+@query
+def stream_rollups(spark, sf):
+    """Figures that a stream of several batches and a restart over all of its source has stored."""
+    root, wire = work_dir(spark, "ingest"), S.wire_updates(spark, sf)
+    for name in ("a", "b"):
+        _drain(updates.read_updates_stream(spark, _wire_files(spark, sf, wire), options={"maxFilesPerTrigger": "2"}), root, offsets=f"{root}/_offsets/{name}")
+    return rollups.activity_by_kind(rollups.read_rollups(spark, root))
+
+
+@query
+def stream_freshness(spark, sf):
+    """Every state that a kind goes through once the stream falls silent, and a kind that is expected and never seen.
+
+    The thresholds are two and four seconds; a kind that is not seen stays unknown.
+    """
+    root = work_dir(spark, "watch")
+    stream = _update_files(spark, sf).select("kind", "ingested_at")
+    kinds = S.account_updates(spark, sf).select("kind").distinct().count()
+    query = watch.start_freshness_watch(stream, root, ["never seen"], 2, 4, every="1 second")
+    try:
+        for _ in range(90):  # seconds; the watch itself has no end
+            if query.awaitTermination(1):
+                break
+            if watch.has_changes(spark, root) and watch.read_changes(spark, root).filter("state = 'stale'").select("kind").distinct().count() == kinds:
+                break
+    finally:
+        query.stop()
+    return watch.read_changes(spark, root).select("kind", "state").distinct()
+
+
 @query
 def dashboard_system(spark, sf):
     """The system section, read back from the document."""
