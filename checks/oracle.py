@@ -500,6 +500,9 @@ SQL: dict[str, str] = {
     "stream_restart_out_of_order": _select(WIRE, "select count(*) as n, min(slot) as first_slot, max(slot) as last_slot from records"),
     "stream_replays": _select(WIRE, """
         select kind, count(*) as n, min(slot) as first_slot, max(slot) as last_slot, cast(sum(size) as bigint) as bytes from records group by kind"""),
+    "stream_source": _select(WIRE, """
+        select kind, count(*) as n, min(slot) as first_slot, max(slot) as last_slot, cast(sum(size) as bigint) as bytes
+        from records where slot >= 2000000000 and kind in ('Obligation', 'Reserve') group by kind"""),
     "stream_rollups": _select(WIRE, """
         select kind, count(*) as updates, cast(sum(size) as bigint) as bytes, max(slot) as last_slot from records group by kind"""),
     "stream_freshness": _select(UPD, """
@@ -545,6 +548,7 @@ SQL["account_history_hot"], SQL["history_page_seek"] = SQL["account_history"], S
 
 _P = ", ".join(f"('{n}', true)" for n in _PCTS)
 SQL["health_distribution_rank_error"] = f"select * from (values {_P}) t(percentile, within)"
+SQL["stream_source_refill"] = SQL["stream_source"]
 SQL["dashboard_risk"] = SQL["risk_radar"]
 SQL["dashboard_system"] = SQL["system_status"]
 SQL["dashboard_export"] = f"""select cast({AS_OF_S} as bigint) as generated_s, 'overview' as section, cast(1 as bigint) as n

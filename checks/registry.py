@@ -18,6 +18,7 @@ from slotwise.operators.rows import side_by_side
 from slotwise.plans import activity, dashboard, decoding, health, quality, rollups, summary
 from slotwise.session import ship_package, work_dir
 from slotwise.sources import cold, hot, paging, updates
+from slotwise.sources import segments
 from slotwise.sources import state_dump as dumps
 from slotwise.streaming import freshness as watch
 from slotwise.streaming import ingest, monitors
@@ -816,6 +817,10 @@ def _stored_tables(spark, root):
     return summary.table_status({name: collapse_table(df, name) for name, df in tables.items()})
 
 
+def _by_kind(rows):
+    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.sum("data_len").alias("bytes"))
+
+
 @query
 def stream_ingest(spark, sf):
     """Ingest in several micro-batches, start again on the same folder, and count what was stored."""
@@ -871,8 +876,34 @@ def stream_replays(spark, sf):
     whole = _wire_files(spark, sf, wire)
     for name, path in (("half", _wire_files(spark, sf, wire.filter(F.col("write_version") % 2 == 0))), ("a", whole), ("b", whole), ("c", whole)):
         _drain(updates.read_updates_stream(spark, path), root, offsets=f"{root}/_offsets/{name}")
-    rows = updates.read_table(spark, root, "account_updates")
-    return rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot"), F.sum("data_len").alias("bytes"))
+    return _by_kind(updates.read_table(spark, root, "account_updates"))
+
+
+SOURCE_SLOT = 2_000_000_000
+
+
+def _source(spark, path, root):
+    log = f"{root}/_segments"
+    return segments.read_segments_stream(spark, path, log, SOURCE_SLOT, ("Obligation", "Reserve"))
+
+
+@query
+def stream_source(spark, sf):
+    """Records of two kinds from a slot on, from stored segments; after a restart, segments of lower slots appear."""
+    root, wire, path = work_dir(spark, "ingest"), S.wire_updates(spark, sf), work_dir(spark, "wire")
+    for part in (F.col("slot") > CUT_SLOT, F.col("slot") <= CUT_SLOT):
+        wire.filter(part).repartitionByRange(4, "slot", "write_version").write.mode("append").parquet(path)
+        _drain(_source(spark, path, root), root)
+    return _by_kind(updates.read_table(spark, root, "account_updates"))
+
+
+@query
+def stream_source_refill(spark, sf):
+    """A second store filled from the raw table of a first one, whose buckets of lower slots are not listed."""
+    first, second = work_dir(spark, "ingest"), work_dir(spark, "ingest")
+    _drain(updates.read_updates_stream(spark, _wire_files(spark, sf)), first)
+    _drain(_source(spark, f"{first}/account_updates", second), second)
+    return _by_kind(updates.read_table(spark, second, "account_updates"))
 
 
 @query
