@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.common import pick, pieces, prepare, texts
 from slotwise.llm.secrets import MAX_VOCABULARY, VOCABULARY, encoding
-from slotwise.session import work_dir
+from slotwise.session import stored, work_dir
 
 BLOCK_TOKENS = 1 << 17
 GROUP = 1024
@@ -97,7 +97,8 @@ def _before(kind, column: str, *keys: str, order: str):
 
 def document_counts(blocks: DataFrame, separator: int = SEPARATOR, group: int = GROUP) -> DataFrame:
     """(file, ordinal, start, n_tokens) of every document of every file."""
-    found = separators(blocks, separator).withColumn("part", F.floor(F.col("block") / group))
+    # Written once: the scan below needs the marks in several places, and the blocks are to be searched a single time.
+    found = stored(separators(blocks, separator), "separators").withColumn("part", F.floor(F.col("block") / group))
     n = F.size("marks").cast("long").alias("n")
     last = F.when(F.size("marks") > 0, F.element_at("marks", -1)).cast("long").alias("last")
     short = found.select("file", "part", "block", "length", n, last)
