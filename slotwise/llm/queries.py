@@ -125,7 +125,8 @@ def op13_hard_negatives(spark, sf):
     return negatives.mine(negatives.scaled(rows.withColumn("label", label)), F.col("vec_id") % 100 == 0)
 
 
-_HOST = r"rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#@:]*)', 1)), '.')"
+_HOST = r"rtrim(lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#@:]*)', 1)), '.')"
+_ADDRESS = r"'^(\[.*|[0-9]+(\.[0-9]+){3})$'"
 
 SQL["op2_url_filter"] = rf"""
 with hosts as (select distinct value, cast('0x' || substr(md5(value), 1, 6) as bigint) as n, string_split(value, '.') as labels
@@ -135,11 +136,13 @@ log as (
   union all select 'block', value, 'remove', date '2024-01-01' + cast(n % 150 + 60 as integer) from hosts where n % 6 = 0
   union all select 'block', value, 'add', date '2024-01-01' + cast(n % 150 + 150 as integer) from hosts where n % 12 = 0
   union all select 'allow', value, 'add', date '2024-01-01' + cast(n % 300 as integer) from hosts where n % 5 = 1
-  union all select 'block', array_to_string(labels[-2:], '.'), 'add', date '2024-08-01' from hosts where n % 7 = 0 and len(labels) > 2),
+  union all select 'block', array_to_string(labels[-2:], '.'), 'add', date '2024-08-01' from hosts
+  where n % 7 = 0 and len(labels) > 2 and not regexp_matches(value, {_ADDRESS})),
 daily as (select list, value, dated, max(action) as action from log group by all),
 spans as (select list, value, action, dated as since, lead(dated) over (partition by list, value order by dated) as until from daily),
 captures as (select page_id, {_HOST} as host, date '2024-01-01' + cast(page_id * 7 % 366 as integer) as fetched from pages),
-keys as (select page_id, fetched, unnest(list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1),
+keys as (select page_id, fetched, unnest(list_transform(range(1, case when regexp_matches(host, {_ADDRESS}) then 2
+                                                       else greatest(len(string_split(host, '.')) - 1, 1) + 1 end),
                                         lambda i: array_to_string(string_split(host, '.')[i:], '.'))) as value from captures where host <> ''),
 hits as (select page_id, s.list, k.value from keys k join spans s on k.value = s.value and s.action = 'add'
          and s.since <= k.fetched and (s.until is null or k.fetched < s.until)),

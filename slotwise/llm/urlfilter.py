@@ -9,7 +9,8 @@ split over tasks, as no window or group gathers captures by host.
 
 Defined results: entries without value, date or a known action are ignored; of entries of one date the last action in
 alphabetical order counts (`remove`); captures without a host or a fetch time match nothing and are kept (`none`); repeated
-captures are judged one by one; extra columns are dropped; an empty list blocks nothing.
+captures are judged one by one; an IP address matches only entries of the whole address, IPv6 in brackets; extra columns are
+dropped; an empty list blocks nothing.
 """
 
 from __future__ import annotations
@@ -19,20 +20,22 @@ from pyspark.sql import functions as F
 
 from slotwise.llm.common import pick
 
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#@:]*)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#@:]*)"
+ADDRESS = r"^(\[.*|[0-9]+(\.[0-9]+){3})$"  # hosts that are IP addresses and have no parent domains
 LISTS = ("allow", "block")
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without user, port and a closing dot; empty if there is none."""
+    """Lower-case host without user, port and a closing dot, an IPv6 address with its brackets; empty if there is none."""
     return F.rtrim(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)), F.lit("."))
 
 
 def domains(host: Column) -> Column:
-    """The host and its parent domains of at least two labels, longest first."""
+    """The host and its parent domains of at least two labels, longest first; an address stands for itself."""
     labels = F.split(host, r"\.")
     count = F.size(labels)
-    every = F.transform(F.sequence(F.lit(1), F.greatest(count - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, count), "."))
+    parents = F.when(host.rlike(ADDRESS), F.lit(1)).otherwise(F.greatest(count - 1, F.lit(1)))
+    every = F.transform(F.sequence(F.lit(1), parents), lambda i: F.array_join(F.slice(labels, i, count), "."))
     return F.when(host != "", every).otherwise(F.array().cast("array<string>"))
 
 
@@ -85,4 +88,4 @@ def entries_of(pages: DataFrame) -> DataFrame:
     out = out.union(log("block", "add", host, F.date_add(later, F.lit(90)), third & (number % 4 == 0)))
     out = out.union(log("allow", "add", host, day(300), number % 5 == 1))
     labels = F.size(F.split("value", r"\."))
-    return out.union(log("block", "add", parent, F.lit("2024-08-01").cast("date"), (number % 7 == 0) & (labels > 2)))
+    return out.union(log("block", "add", parent, F.lit("2024-08-01").cast("date"), (number % 7 == 0) & (labels > 2) & ~host.rlike(ADDRESS)))

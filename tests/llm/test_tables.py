@@ -116,3 +116,18 @@ def test_url_filter(spark):
     assert got == Counter((None if i == 1 else i, w, value.get(i)) for i, w in enumerate(want))
     assert urlfilter.filtered(shot, log.limit(0)).where("verdict <> 'none'").count() == 0
     assert urlfilter.filtered(shot.limit(0), log).count() == 0
+
+
+def test_url_filter_addresses(spark):
+    since = datetime.date(2024, 1, 1)
+    values = ["10.1.2.3", "2.3", "[2001:db8::1]", "[", "4.example"]
+    log = spark.createDataFrame([("block", v, "add", since) for v in values], "list string, value string, action string, dated date")
+    want = {
+        "http://10.1.2.3:80/x": ("10.1.2.3", "10.1.2.3"), "http://9.1.2.3/": ("9.1.2.3", None), "http://u@[2001:DB8::1]:8080/": ("[2001:db8::1]",) * 2,
+        "http://[2001:db8::2]/": ("[2001:db8::2]", None), "http://[::ffff:9.1.2.3]/": ("[::ffff:9.1.2.3]", None), "http://1.2.3.4.example/": ("1.2.3.4.example", "4.example"),
+        "http://2.3/": ("2.3", "2.3"),
+    }
+    shot = spark.createDataFrame([(i, u, since) for i, u in enumerate(want)], "page_id bigint, url string, fetched date")
+    got = {r.page_id: (r.host, r.matched) for r in urlfilter.filtered(shot, log).collect()}
+    assert got == dict(enumerate(want.values()))
+    assert urlfilter.entries_of(shot).where("value rlike '^[0-9]+\\\\.[0-9]+$' and value <> '2.3'").count() == 0
