@@ -1,5 +1,10 @@
 """What must not grow with the input: the share of one file, of one task, and the passes over payloads."""
 
+import glob
+
+import pytest
+
+from checks import compare, registry
 from checks import standins as S
 
 
@@ -10,3 +15,17 @@ def plan_of(df):
 def test_wire_records_are_packed_in_one_pass(spark, sf):
     plan = plan_of(S.build_wire_updates(spark, sf))
     assert "MapInArrow" in plan and "regexp_replace" not in plan
+
+
+def test_files_of_a_stream_keep_their_size(spark, sf, monkeypatch):
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 300)
+    files = glob.glob(f"{registry._wire_files(spark, sf)}/*.parquet")
+    rows = [spark.read.parquet(f).count() for f in files]
+    assert sum(rows) == 6000 and max(rows) < 900
+    assert registry._per_batch(spark, sf, 2) == {"maxFilesPerTrigger": "10"}
+
+
+@pytest.mark.parametrize("name", ["stream_alarms", "stream_budget", "compacted_bronze"])
+def test_batches_of_several_files_give_the_same_result(spark, sf, monkeypatch, name):
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 300)
+    assert compare.compare(spark, compare.connect(sf), name, sf) == ""
