@@ -6,6 +6,9 @@ import pytest
 
 from checks import compare, registry
 from checks import standins as S
+from slotwise.functions.kinds import tag_hex
+from slotwise.functions.layouts import Field, Layout
+from slotwise.plans import decoding
 
 
 def plan_of(df):
@@ -29,3 +32,20 @@ def test_files_of_a_stream_keep_their_size(spark, sf, monkeypatch):
 def test_batches_of_several_files_give_the_same_result(spark, sf, monkeypatch, name):
     monkeypatch.setattr(registry, "ROWS_PER_FILE", 300)
     assert compare.compare(spark, compare.connect(sf), name, sf) == ""
+
+
+def test_rejects_read_the_payloads_once(spark, sf):
+    rows = decoding.decode_rejects(S.bronze(spark, sf), S.LAYOUTS)
+    assert not [f for f in rows.inputFiles() if "/raw-" in f]  # what is left to read are the stored suspects
+
+
+def test_only_values_beyond_the_largest_are_suspects_that_stay(spark):
+    field = Field("deposited_value_sf", 8, 16)
+    layouts = {"Obligation": Layout("Obligation", 24, (field,))}
+    values = [0, 10**38 - 1, 10**38, (1 << 128) - 1]
+    tag = bytes.fromhex(tag_hex("Obligation"))
+    rows = [("Obligation", i, 0, b"\x01" * 32, tag + v.to_bytes(16, "little")) for i, v in enumerate(values)]
+    rows += [("Obligation", 9, 0, b"\x01" * 32, tag), ("Obligation", 10, 0, b"\x01" * 32, None)]
+    bronze = spark.createDataFrame(rows, "kind string, slot bigint, write_version bigint, pubkey binary, data binary")
+    found = decoding.decode_rejects(bronze, layouts).select("slot", "reason", "field").collect()
+    assert sorted(map(tuple, found)) == [(2, "overflow", field.name), (3, "overflow", field.name), (9, "short", ""), (10, "short", "")]
