@@ -49,3 +49,20 @@ def test_only_values_beyond_the_largest_are_suspects_that_stay(spark):
     bronze = spark.createDataFrame(rows, "kind string, slot bigint, write_version bigint, pubkey binary, data binary")
     found = decoding.decode_rejects(bronze, layouts).select("slot", "reason", "field").collect()
     assert sorted(map(tuple, found)) == [(2, "overflow", field.name), (3, "overflow", field.name), (9, "short", ""), (10, "short", "")]
+
+
+def test_the_report_cuts_out_telling_fields_alone(spark, sf):
+    whole, telling = S.LAYOUTS["Obligation"], decoding._telling(S.LAYOUTS["Obligation"])
+    assert {f.name for f in telling.fields} == {f.name for f in whole.fields if f.width == 16} | {"has_debt"}
+    assert len(decoding._telling(S.LAYOUTS["LendingMarket"]).fields) == 1
+    report = {r.kind: r for r in decoding.decode_report(S.bronze(spark, sf), S.LAYOUTS).collect()}
+    counts = {k: [r.asDict()[c] for c in ("decoded", "overflow")] for k, r in report.items()}
+    assert all(decoding.decode(S.bronze(spark, sf), S.LAYOUTS[k]).filter("decode_status <> 'overflow'").count() == n for k, (n, _) in counts.items())
+
+
+def test_short_records_of_a_batch_are_found_in_one_scan(spark, sf):
+    with decoding.decoded_once(S.bronze(spark, sf), S.LAYOUTS) as (_, rejects):
+        assert plan_of(rejects.filter("reason = 'short'")).count("FileScan parquet") == 1
+        mine = {tuple(r) for r in rejects.select("kind", "slot", "write_version", "reason", "field").collect()}
+    theirs = decoding.decode_rejects(S.bronze(spark, sf), S.LAYOUTS)
+    assert mine == {tuple(r) for r in theirs.select("kind", "slot", "write_version", "reason", "field").collect()}
