@@ -9,7 +9,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontamination, mixing, neardup, pii, quality, secrets, sets, sharding, tokencount
+from slotwise.llm import boosting, decontamination, mixing, neardup, pii, quality, secrets, sets, sharding, tokencount
 from slotwise.llm.common import repeated_rows, row_hash, with_copies
 from slotwise.llm.queries import QUERIES
 from slotwise.llm.spans import apart
@@ -227,6 +227,37 @@ def test_rare_kinds_are_sampled(spark):
     assert model.thresholds["phone"] < 1.0 and ("phone", 20, 34) in pii.all_spans(text, model)[1]
 
 
+def test_trees_count_every_document(spark, monkeypatch):
+    """Far more documents than a sample would take: the examples of each are counted, at any resolution."""
+    rows = [(i, f"and then of her was +1 (2{i % 10}{i // 10 % 10}) 555-{1000 + i} for all" if i % 2 else f"line {i} of 8.8.{i % 300}.9") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want, seen = sum(len(pii.examples(t)) for _, t in rows), []
+
+    def fit(x, y, **options):
+        seen.append((len(x), int(options["copies"].sum())))
+        return boosting.fit(x, y, **options)
+
+    def threshold(probability, truth, precision, copies):
+        seen.append((len(copies), int(copies.sum())))
+        return 1.0
+
+    monkeypatch.setattr(pii, "fit", fit)
+    monkeypatch.setattr(pii, "_threshold", threshold)
+    for limit in (pii.MAX_ROWS, 200):
+        seen.clear()
+        monkeypatch.setattr(pii, "MAX_ROWS", limit)
+        pii.train(docs)
+        assert sum(n for _, n in seen) == want and sum(n for n, _ in seen) <= limit
+
+
+def test_copies_of_rows_fit_the_same_trees():
+    draw = np.random.default_rng(3)
+    x, copies = draw.integers(0, 9, (300, 4)).astype(float), draw.integers(1, 6, 300)
+    y = (x[:, 0] + x[:, 1] > 8).astype(float)
+    few, all_ = boosting.fit(x, y, copies=copies), boosting.fit(np.repeat(x, copies, axis=0), np.repeat(y, copies))
+    assert np.allclose(few.score(x), all_.score(x))
+
+
 def test_token_counts(docs, cases, real):
     encode = secrets.encoding(open(secrets.VOCABULARY, "rb").read()).encode_ordinary
     for df, rows in both(docs, cases, real):
