@@ -9,6 +9,8 @@ from checks import standins as S
 from slotwise.functions.kinds import tag_hex
 from slotwise.functions.layouts import Field, Layout
 from slotwise.plans import decoding
+from slotwise.sources import updates
+from slotwise.streaming import ingest
 
 
 def plan_of(df):
@@ -34,6 +36,23 @@ def test_batches_of_several_files_give_the_same_result(spark, sf, monkeypatch, n
     assert compare.compare(spark, compare.connect(sf), name, sf) == ""
 
 
+def test_whole_streams_read_the_stored_records(spark, sf):
+    assert registry._wire_files(spark, sf) == registry._wire_files(spark, sf)
+    assert "Exchange" not in plan_of(S.wire_updates(spark, sf))
+
+
+def test_a_batch_of_replays_alone_moves_no_payloads(spark, sf, tmp_path, monkeypatch):
+    """The rows of a batch, some of them twice, arrive once more: nothing is written and every figure is kept."""
+    rows = S.wire_updates(spark, sf).orderBy("slot", "write_version", "pubkey").limit(300)
+    job, calls, write = ingest.Ingest(spark, str(tmp_path), S.LAYOUTS), [], ingest.write_tables
+    monkeypatch.setattr(ingest, "write_tables", lambda *a: (calls.append(a), write(*a)))
+    for i, batch in enumerate((rows, rows.union(rows.limit(10)))):
+        job.on_batch(batch, i)
+    assert len(calls) == 1
+    assert ingest.read_batches(spark, str(tmp_path), "payload_guard", ingest.GUARD_SCHEMA).count() == 2
+    assert updates.read_table(spark, str(tmp_path), "account_updates").count() == 300
+
+
 def test_rejects_read_the_payloads_once(spark, sf):
     rows = decoding.decode_rejects(S.bronze(spark, sf), S.LAYOUTS)
     assert not [f for f in rows.inputFiles() if "/raw-" in f]  # what is left to read are the stored suspects
