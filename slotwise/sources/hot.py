@@ -9,13 +9,17 @@ are split by size, and each of the files is sorted.
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise.operators.dedup import collapse, latest
 from slotwise.schemas import SCHEMAS, VERSION_KEY
-from slotwise.sources.updates import COMPACTED, read_filed, with_late_columns
+from slotwise.session import stored
+from slotwise.sources.updates import COMPACTED, plain_bytes, read_filed, with_late_columns
 
 KEY_BUCKET = "key_bucket"
 KEY_BUCKETS = 256
@@ -31,7 +35,7 @@ def write_hot(rows: DataFrame, out: str, table: str, batch: str, buckets: int =
     """File rows under the buckets of their keys as one batch, in place of an earlier attempt at it."""
     placed = rows.withColumn(KEY_BUCKET, key_bucket(buckets=buckets)).withColumn("batch_id", F.lit(batch))
     placed = placed.hint("rebalance", KEY_BUCKET).sortWithinPartitions(KEY_BUCKET, "batch_id", *VERSION_KEY)
-    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = plain_bytes(placed).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer = writer.option("parquet.bloom.filter.enabled#pubkey", "true")
     writer.partitionBy(KEY_BUCKET, "batch_id").parquet(f"{out}/{table}")
 
@@ -50,27 +54,45 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def refresh_hot(spark: SparkSession, root: str, table: str, out: str, buckets: int = KEY_BUCKETS) -> list[str]:
     """Take over the batches of a stored table that the copy does not hold yet; returns their names.
 
-    A merged batch holds rows of batches that may have been taken before; of it, only unknown version keys are taken.
+    A merged batch holds rows of batches that may have been taken before; of it, only unknown version keys are taken. These
+    are found from the keys alone, so that payloads which the copy holds already are neither read nor moved.
     """
     taken = f"{out}/{_TAKEN}/{table}"
     filed = read_filed(spark, root, table)
-    names = filed.select("batch_id").distinct()
+    # Spark has listed the folders, which tell the names without a scan.
+    names = {unquote(f.rsplit("/batch_id=", 1)[1].split("/", 1)[0]) for f in filed.inputFiles()}
     if _exists(spark, taken):
-        names = names.join(spark.read.schema("batch_id string").parquet(taken), "batch_id", "left_anti")
-    new = sorted(r.batch_id for r in names.collect())
+        names -= {r.batch_id for r in spark.read.schema("batch_id string").parquet(taken).collect()}
+    new = sorted(names)
     if not new:
         return []
-    rows = filed.filter(F.col("batch_id").isin(new)).select(*SCHEMAS[table].fieldNames(), "batch_id")
-    merged = F.col("batch_id").startswith(COMPACTED)
-    if any(n.startswith(COMPACTED) for n in new) and _exists(spark, f"{out}/{table}"):
-        known = read_hot(spark, out, table).select(*VERSION_KEY)
-        rows = rows.filter(~merged).unionByName(rows.filter(merged).join(known, list(VERSION_KEY), "left_anti"))
+    columns = SCHEMAS[table].fieldNames()
+    rows = filed.filter(F.col("batch_id").isin(new)).select(*columns)
+    merged = [n for n in new if n.startswith(COMPACTED)]
+    if merged and _exists(spark, f"{out}/{table}"):
+        again, fresh = filed.filter(F.col("batch_id").isin(merged)).select(*columns), [n for n in new if n not in merged]
+        # Rows under the name of this attempt are of an earlier attempt, which this one replaces.
+        known = read_hot(spark, out, table).filter(F.col("batch_id") != new[0])
+        unknown = stored(_by_key(again.select(*VERSION_KEY), known, "left_anti").distinct(), "unknown")
+        parts = [_by_key(again, unknown, "left_semi")] if unknown.head(1) else []
+        parts += [filed.filter(F.col("batch_id").isin(fresh)).select(*columns)] if fresh else []
+        rows = reduce(DataFrame.unionByName, parts) if parts else None
     # The name depends on what is taken, so a second attempt replaces the first.
-    write_hot(rows.drop("batch_id"), out, table, new[0], buckets)
+    if rows is not None:
+        write_hot(rows, out, table, new[0], buckets)
     spark.createDataFrame([(n,) for n in new], "batch_id string").coalesce(1).write.mode("append").parquet(taken)
     return new
 
 
+def _by_key(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join by version key; a missing part of a key equals a missing one.
+
+    The number that tells most keys apart comes first: sorting compares it without looking at the rest.
+    """
+    other = other.select(*[F.col(c).alias(f"__{c}") for c in VERSION_KEY])
+    return rows.join(other, reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in reversed(VERSION_KEY)]), how)
+
+
 def rows_of_key(spark: SparkSession, out: str, table: str, key, schema: T.StructType | None = None, buckets: int = KEY_BUCKETS) -> DataFrame:
     """All stored rows of one key, replays included: one folder is listed, and Bloom filters skip the other row groups."""
     fields = schema or SCHEMAS[table]

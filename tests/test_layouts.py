@@ -78,6 +78,53 @@ def test_refresh_takes_each_batch_once(spark, tmp_path):
     assert sorted(r.slot for r in rows.collect()) == [1, 2, 5, 6, 30_000_000]
 
 
+def raw_batch(spark, root, name, rows):
+    """Rows of (slot, write_version, key byte or None) as one stored batch."""
+    schema = "slot bigint, write_version bigint, pubkey binary, kind string, owner binary, lamports bigint, data binary, data_len bigint, ingested_at timestamp, session_id string"
+    rows = [(s, v, None if k is None else bytes([k]) * 32, "Reserve", bytes(32), 1, b"x", 1, None, "s") for s, v, k in rows]
+    updates.write_batch(spark.createDataFrame(rows, schema), root, "account_updates", name)
+
+
+def test_merged_rows_that_are_known_are_not_written_again(spark, tmp_path, monkeypatch):
+    root, out = str(tmp_path / "store"), str(tmp_path / "hot")
+    for name, rows in (("b0", [(1, 1, 1), (2, 2, None), (30_000_000, 3, 1)]), ("b1", [(1, 4, 1), (5, 5, None), (5, 5, None)])):
+        raw_batch(spark, root, name, rows)
+        hot.refresh_hot(spark, root, "account_updates", out, 4)
+    updates.compact(spark, root, "account_updates")
+    calls, write = [], hot.write_hot
+    monkeypatch.setattr(hot, "write_hot", lambda *a: (calls.append(a), write(*a)))
+    (merged,) = hot.refresh_hot(spark, root, "account_updates", out, 4)
+    assert merged.startswith(updates.COMPACTED) and not calls
+    assert hot.refresh_hot(spark, root, "account_updates", out, 4) == []
+    assert sorted(r.write_version for r in hot.read_hot(spark, out, "account_updates").collect()) == [1, 2, 3, 4, 5, 5]
+
+
+def test_a_refresh_that_is_tried_again_loses_no_rows(spark, tmp_path, monkeypatch):
+    """The first attempt wrote its rows and failed before its record: merged rows and those of a batch under one name."""
+    root, out = str(tmp_path / "store"), str(tmp_path / "hot")
+    raw_batch(spark, root, "a0", [(1, 1, 1), (30_000_000, 2, 1)])
+    hot.refresh_hot(spark, root, "account_updates", out, 1)
+    raw_batch(spark, root, "a1", [(2, 3, 1)])
+    updates.compact(spark, root, "account_updates")
+    raw_batch(spark, root, "b2", [(3, 4, 1)])
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "createDataFrame", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            hot.refresh_hot(spark, root, "account_updates", out, 1)
+    hot.refresh_hot(spark, root, "account_updates", out, 1)
+    assert sorted(r.write_version for r in hot.read_hot(spark, out, "account_updates").collect()) == [1, 2, 3, 4]
+
+
+def test_raw_rows_are_stored_without_dictionaries_of_bytes(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    raw_batch(spark, str(tmp_path), "b0", [(i, i, i % 5) for i in range(50)])
+    group = pq.ParquetFile(glob.glob(f"{tmp_path}/account_updates/*/*/*.parquet")[0]).metadata.row_group(0)
+    columns = {group.column(i).path_in_schema: group.column(i).encodings for i in range(group.num_columns)}
+    assert not [c for c in ("pubkey", "owner", "data") if "RLE_DICTIONARY" in columns[c] or "PLAIN_DICTIONARY" in columns[c]]
+    assert "RLE_DICTIONARY" in columns["kind"] or "PLAIN_DICTIONARY" in columns["kind"]
+
+
 @pytest.mark.parametrize("layout", ["sorted", "overlapping"])
 def test_pages_make_up_the_whole(spark, tmp_path, layout):
     df, rows = versions(spark)
