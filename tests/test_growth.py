@@ -7,7 +7,7 @@ import pytest
 from checks import compare, registry
 from checks import standins as S
 from slotwise.functions.kinds import tag_hex
-from slotwise.functions.layouts import Field, Layout
+from slotwise.functions.layouts import CUT, Field, Layout, decode, decode_fields, read_cuts, sound_rows
 from slotwise.plans import decoding
 from slotwise.sources import updates
 from slotwise.streaming import ingest
@@ -85,3 +85,29 @@ def test_short_records_of_a_batch_are_found_in_one_scan(spark, sf):
         mine = {tuple(r) for r in rejects.select("kind", "slot", "write_version", "reason", "field").collect()}
     theirs = decoding.decode_rejects(S.bronze(spark, sf), S.LAYOUTS)
     assert mine == {tuple(r) for r in theirs.select("kind", "slot", "write_version", "reason", "field").collect()}
+
+
+def test_sound_rows_derive_health_once(spark, sf):
+    layout = S.LAYOUTS["Obligation"]
+    rows = sound_rows(decode_fields(S.bronze(spark, sf), layout), layout)
+    text = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("1000000" in line for line in text.splitlines()) == 1
+    stored = decoding.redecode(S.bronze(spark, sf), S.LAYOUTS)["obligation_snapshots"]._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("1000000" in line for line in stored.splitlines()) == 1
+    marked = decode(S.bronze(spark, sf), layout)
+    key = ["slot", "write_version", "flags", "health_factor_bps", "deposited_value_sf"]
+    theirs = marked.filter("decode_status <> 'overflow'").select(*key).collect()
+    assert sorted(map(str, rows.select(*key).collect())) == sorted(map(str, theirs)) and marked.count() > len(theirs) > 0
+
+
+def test_touching_fields_are_cut_out_as_one(spark):
+    """Fields out of order, side by side, apart and overlapping; entries with gaps between what is looked at."""
+    fields = (Field("d", 24, 2), Field("a", 8, 8), Field("b", 16, 1), Field("c", 17, 4, "bytes"), Field("over", 18, 2), Field("e", 30, 6, "entries", count=2, probe=3))
+    layout = Layout("Obligation", 42, fields)
+    data = bytes(range(1, 43))
+    row = spark.createDataFrame([(data,)], "data binary").select(layout.cut().alias(CUT))
+    assert layout.cut()._jc.toString().lower().count("substring") == 5
+    got = read_cuts(row, layout).first().asDict()
+    le = lambda at, n: int.from_bytes(data[at : at + n], "little")
+    assert len(row.first()[0]) == layout.cut_size
+    assert (int(got["a"]), got["b"], bytes(got["c"]), got["over"], got["d"], got["e"]) == (le(8, 8), data[16], data[17:21], le(18, 2), le(24, 2), 2)
