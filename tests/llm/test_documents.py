@@ -250,6 +250,53 @@ def test_trees_count_every_document(spark, monkeypatch):
         assert sum(n for _, n in seen) == want and sum(n for n, _ in seen) <= limit
 
 
+def test_no_text_is_left_out_of_the_training(spark, monkeypatch):
+    """Texts without digits and at signs have examples too, and an old caller's `sample_rows` drops none."""
+    rows = [(i, f"line {i} of 8.8.{i % 300}.9") for i in range(40)] + [(100 + i, "the dead:beef:cafe and face:bad:bed") for i in range(40)] + [(None, "x 8.8.8.8"), (7, None)]
+    want, seen = sum(len(pii.examples(t or "")) for _, t in rows), []
+    monkeypatch.setattr(pii, "fit", lambda x, y, **options: (seen.append(int(options["copies"].sum())), boosting.fit(x, y, **options))[1])
+    monkeypatch.setattr(pii, "_threshold", lambda probability, truth, precision, copies: (seen.append(int(copies.sum())), 1.0)[1])
+    for some in (None, 5):
+        seen.clear()
+        pii.train(spark.createDataFrame(rows, "doc_id bigint, text string"), some)
+        assert sum(seen) == want > 40 * len(pii.examples(rows[0][1]))
+
+
+def test_binned_examples_fit_the_same_trees(spark, monkeypatch):
+    """Long spans and many digits around them: the trees are those of the examples as they are."""
+    draw, got = np.random.default_rng(5), []
+    rows = [(i, f"{'ab' * (i % 90)}{i}@{'cd' * (i * 7 % 120)}.org or +1 (2{i % 10}{i // 10 % 10}) 555-{1000 + i} or {'1' * draw.integers(1, 150)}") for i in range(300)]
+    monkeypatch.setattr(pii, "fit", lambda x, y, **options: (got.append((x, options)), boosting.fit(x, y, **options))[1])
+    trees = pii.train(spark.createDataFrame(rows, "doc_id bigint, text string")).trees
+    raw = [(e, t) for t in (r[1] for r in rows) for e in pii.examples(t)]
+    x = np.array([e[0] for e, _ in raw], float)
+    # Held-out texts are the first by crc32, so the training examples are those of the other texts.
+    n = int(got[0][1]["copies"].sum())
+    crc = np.array([zlib.crc32(t.encode()) >> pii.CELL_BITS for _, t in raw])
+    kind = x[:, :4].argmax(axis=1)
+    positive = {t: {int(np.argmax(e[0][:4])) for e in pii.examples(t) if e[1]} for _, t in rows}
+    good = np.array([k in positive[t] for k, (_, t) in zip(kind, raw)])
+    groups = {}
+    for g, _, c in {((int(k), bool(y)), t, c) for k, y, (_, t), c in zip(kind, good, raw, crc)}:
+        groups.setdefault(g, []).append(int(c))
+    last = {g: _last_held(cells) for g, cells in groups.items()}
+    kept = np.array([c > last[(int(k), bool(y))] for k, y, c in zip(kind, good, crc)])
+    assert kept.sum() == n and len(got[0][0]) < n
+    many = np.bincount(kind[kept], minlength=4)
+    weight = np.minimum(1.0, pii.KIND_WEIGHT / np.maximum(many, 1))[kind[kept]]
+    plain = boosting.fit(x[kept], np.array([e[1] for e, _ in raw])[kept], trees=80, depth=4, weight=weight)
+    assert np.allclose(plain.score(x), trees.score(x))
+
+
+def _last_held(cells):
+    """The cell of the last held-out text: one in four, never all."""
+    order = sorted(cells)
+    for at in sorted(set(order)):
+        seen = sum(c <= at for c in order)
+        if seen * pii.FOLDS >= len(order):
+            return at if seen < len(order) else at - 1
+
+
 def test_copies_of_rows_fit_the_same_trees():
     draw = np.random.default_rng(3)
     x, copies = draw.integers(0, 9, (300, 4)).astype(float), draw.integers(1, 6, 300)
