@@ -168,7 +168,8 @@ def _linked(placed: DataFrame, radius: int) -> DataFrame:
     """Edges (a, b) among points (fp, words...) placed in cells."""
     # Cell sizes are counted in parts, so that no task holds a crowded cell before the chunks split it.
     sizes = placed.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    return _met(placed.join(sizes, "cell"), CHUNK).mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
+    # Spark takes the cells for no larger than the points they are exploded from, and would broadcast many millions of them.
+    return _met(placed.join(sizes.hint("merge"), "cell"), CHUNK).mapInArrow(_cell_links(radius), "a bigint, b bigint").distinct()
 
 
 def grid_links(points: DataFrame, radius: int = RADIUS) -> DataFrame:

@@ -13,6 +13,7 @@ from slotwise.llm import boosting, decontamination, mixing, neardup, pii, qualit
 from slotwise.llm.common import repeated_rows, row_hash, with_copies
 from slotwise.llm.queries import QUERIES
 from slotwise.llm.spans import apart
+from slotwise.session import stored
 
 
 def rows_of(df, *columns):
@@ -152,6 +153,16 @@ def test_repeated_shingles_do_not_hide_a_copy(spark):
     assert sorted(r.doc_id for r in neardup.unique_documents(df).collect()) == list(range(0, 20, 2))
 
 
+def test_cells_are_not_broadcast(spark):
+    """Spark takes exploded cells for as small as the few points they come from."""
+    points = spark.range(3000).select(F.xxhash64(F.col("id") % 2900).alias("fp")).distinct()
+    points = stored(points.union(points.select(F.col("fp").bitwiseXOR(F.lit(1)))), "points")
+    links = neardup.grid_links(points)
+    assert links.count() >= 2900
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_personal_data(docs, cases, real):
     model = pii.train(real[0])
     for df, rows in both(docs, cases, real):
