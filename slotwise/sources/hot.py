@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 
 from slotwise.operators.dedup import collapse, latest
 from slotwise.schemas import SCHEMAS, VERSION_KEY
-from slotwise.session import stored
-from slotwise.sources.updates import COMPACTED, plain_bytes, read_filed, with_late_columns
+from slotwise.session import tidy
+from slotwise.sources.updates import COMPACTED, held, plain_bytes, read_filed, with_late_columns
 
 KEY_BUCKET = "key_bucket"
 KEY_BUCKETS = 256
@@ -37,7 +37,8 @@ def write_hot(rows: DataFrame, out: str, table: str, batch: str, buckets: int =
     placed = placed.hint("rebalance", KEY_BUCKET).sortWithinPartitions(KEY_BUCKET, "batch_id", *VERSION_KEY)
     writer = plain_bytes(placed).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer = writer.option("parquet.bloom.filter.enabled#pubkey", "true")
-    writer.partitionBy(KEY_BUCKET, "batch_id").parquet(f"{out}/{table}")
+    with tidy(rows.sparkSession):
+        writer.partitionBy(KEY_BUCKET, "batch_id").parquet(f"{out}/{table}")
 
 
 def read_hot(spark: SparkSession, out: str, table: str, schema: T.StructType | None = None) -> DataFrame:
@@ -73,13 +74,14 @@ def refresh_hot(spark: SparkSession, root: str, table: str, out: str, buckets: i
         again, fresh = filed.filter(F.col("batch_id").isin(merged)).select(*columns), [n for n in new if n not in merged]
         # Rows under the name of this attempt are of an earlier attempt, which this one replaces.
         known = read_hot(spark, out, table).filter(F.col("batch_id") != new[0])
-        unknown = stored(_by_key(again.select(*VERSION_KEY), known, "left_anti").distinct(), "unknown")
-        parts = [_by_key(again, unknown, "left_semi")] if unknown.head(1) else []
-        parts += [filed.filter(F.col("batch_id").isin(fresh)).select(*columns)] if fresh else []
-        rows = reduce(DataFrame.unionByName, parts) if parts else None
-    # The name depends on what is taken, so a second attempt replaces the first.
-    if rows is not None:
+        with held(_by_key(again.select(*VERSION_KEY), known, "left_anti").distinct(), "unknown") as unknown:
+            parts = [_by_key(again, unknown, "left_semi")] if unknown.head(1) else []
+            parts += [filed.filter(F.col("batch_id").isin(fresh)).select(*columns)] if fresh else []
+            if parts:
+                write_hot(reduce(DataFrame.unionByName, parts), out, table, new[0], buckets)
+    else:
         write_hot(rows, out, table, new[0], buckets)
+    # The name depends on what is taken, so a second attempt replaces the first.
     spark.createDataFrame([(n,) for n in new], "batch_id string").coalesce(1).write.mode("append").parquet(taken)
     return new
 
