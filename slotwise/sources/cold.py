@@ -16,7 +16,7 @@ from slotwise.operators.dedup import collapse
 from slotwise.plans.quality import gaps_companion
 from slotwise.plans.summary import freeze_manifest
 from slotwise.schemas import BUCKET_COLUMN, SCHEMAS, SLOTS_PER_BUCKET, VERSION_KEY
-from slotwise.session import stored
+from slotwise.session import stored, tidy
 from slotwise.sources.updates import with_late_columns
 
 FILE_ORDER = ("slot", "write_version", "pubkey")
@@ -124,6 +124,11 @@ def export_cold(df: DataFrame, out: str, table: str = "account_updates", full: b
     may have been exported while it was still filling. Files are planned by size, so a bucket that holds
     a large share of all rows becomes several files. Spark's commit protocol publishes each bucket whole.
     """
+    with tidy(df.sparkSession):
+        return _export(df, out, table, full)
+
+
+def _export(df: DataFrame, out: str, table: str, full: bool) -> ExportResult:
     spark = df.sparkSession
     path = f"{out}/{table}"
     plan = _file_plan(df)
